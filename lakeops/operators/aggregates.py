@@ -17,14 +17,19 @@ def average(col: str) -> Column:
 
 def regional_revenue(lines: DataFrame, customers: DataFrame, rsd: float = 0.05) -> DataFrame:
     """Line items, orders, customers (exact and approximate) and revenue per region."""
-    joined = lines.join(customers.select("customer_id", "region"), "customer_id")
+    # One row per customer and order first: the distinct counts then expand far fewer rows.
+    per_order = lines.groupBy("customer_id", "order_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count("line_total").alias("priced"),
+        F.sum("line_total").alias("total"))
+    joined = per_order.join(customers.select("customer_id", "region"), "customer_id")
+    revenue, priced = F.sum("total"), F.sum("priced")
     return joined.groupBy("region").agg(
-        F.count(F.lit(1)).alias("line_items"),
+        F.sum("n").alias("line_items"),
         F.countDistinct("order_id").alias("orders_exact"),
         F.countDistinct("customer_id").alias("customers_exact"),
         F.approx_count_distinct("customer_id", rsd).alias("customers_approx"),
-        F.sum("line_total").alias("revenue"),
-        average("line_total").alias("avg_line"))
+        revenue.alias("revenue"),
+        (revenue.cast("double") / F.when(priced > 0, priced)).alias("avg_line"))
 
 
 def distinct_values(df: DataFrame, keys: Sequence[str], col: str | Column, name: str,

@@ -15,7 +15,7 @@ from lakeops.operators.merge import (
     not_matched_insert,
 )
 from lakeops.operators.ordering import latest_per_key
-from lakeops.operators.windows import HOT_ROWS, ordered_features
+from lakeops.operators.windows import HOT_ROWS, features_with, find_spread
 
 FEED_COLUMNS = ("_change_type", "_commit_version", "_commit_timestamp")
 
@@ -68,22 +68,24 @@ def scd2_log(events: DataFrame, keys: Sequence[str], sequence_by: str, delete_wh
 
 
 def scd2_history(log: DataFrame, keys: Sequence[str], coalesce_noop: bool = False,
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
+                 hot_rows: int = HOT_ROWS, measure: DataFrame | None = None) -> DataFrame:
     """Versions with ``__START_AT`` and ``__END_AT``; a delete only closes the open version.
 
     ``coalesce_noop`` drops an event whose payload equals the one before it. Keys with very many
-    events are split along the sequence (:func:`ordered_features`).
+    events are split along the sequence (:func:`lakeops.operators.windows.ordered_features`);
+    they are looked for in ``measure`` (keys and ``__seq``) when ``log`` is costly to compute.
     """
     payload = [c for c in log.columns if c not in ("__seq", "__deleted")]
-    steps, base = log, log
+    spread = find_spread(log if measure is None else measure, keys, ["__seq"], hot_rows)
+    steps = log
     if coalesce_noop:
         rest = [c for c in payload if c not in keys]
         steps = steps.withColumn("__row", F.struct(F.col("__deleted"), *rest))
-        steps = ordered_features(steps, keys, ["__seq"], {"__prev": ("lag", "__row")}, hot_rows,
-                                 base)
+        steps = features_with(steps, keys, ["__seq"], {"__prev": ("lag", "__row")}, spread,
+                              stage=True)
         steps = steps.where(~F.col("__row").eqNullSafe(F.col("__prev"))).drop("__row", "__prev")
-    steps = ordered_features(steps, keys, ["__seq"], {"__END_AT": ("lead", "__seq")}, hot_rows,
-                             base)
+    steps = features_with(steps, keys, ["__seq"], {"__END_AT": ("lead", "__seq")}, spread,
+                          stage=True)
     return steps.where(~F.col("__deleted")).select(
         *payload, F.col("__seq").alias("__START_AT"), "__END_AT")
 
@@ -93,7 +95,10 @@ def apply_scd2(events: DataFrame, keys: Sequence[str], sequence_by: str, delete_
                coalesce_noop: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """History after ``events`` on top of an earlier :func:`scd2_log`."""
     log = scd2_log(events, keys, sequence_by, delete_when, except_cols, state)
-    return scd2_history(log, keys, coalesce_noop, hot_rows)
+    seen = events.select(*keys, F.col(sequence_by).alias("__seq"))
+    if state is not None:
+        seen = state.select(*keys, "__seq").unionByName(seen)
+    return scd2_history(log, keys, coalesce_noop, hot_rows, seen)
 
 
 def refresh_scd2(history: DataFrame, log: DataFrame, events: DataFrame, keys: Sequence[str],

@@ -5,11 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.operators.windows import _as_number, _quantiles, _range_number
+from lakeops.operators.windows import as_number, quantiles, with_range_number
 from lakeops.sources.files import list_files
 
 
@@ -57,20 +57,20 @@ def cluster_by(df: DataFrame, keys: Sequence[str], n_files: int, bits: int = 8)
     """
     if not 1 <= len(keys) <= 4:
         raise ValueError("one to four clustering keys")
-    ranks: dict[str, Column] = {}
-    numbered = df.withColumns({f"__k{i}": F.col(k) for i, k in enumerate(keys)})
+    curve = df.withColumns({f"__k{i}": F.col(k) for i, k in enumerate(keys)})
     for i in range(len(keys)):
-        numbered = _sortable(numbered, f"__k{i}")
-    for i in range(len(keys)):
-        number = _as_number(numbered, f"__k{i}")
-        cuts = sorted(set(_quantiles(numbered, number, 2 ** bits)))
-        ranks[f"__r{i}"] = _range_number(number, cuts)
+        curve = _sortable(curve, f"__k{i}")
+    numbers = [as_number(curve, f"__k{i}") for i in range(len(keys))]
+    curve = curve.withColumns({f"__k{i}": n for i, n in enumerate(numbers)})
+    for i, cuts in enumerate(quantiles(curve, [F.col(f"__k{i}") for i in range(len(keys))],
+                                       2 ** bits)):
+        curve = with_range_number(curve, f"__k{i}", f"__r{i}", sorted(set(cuts)))
     z = F.lit(0).cast("bigint")
     for bit in range(bits):
         for i in range(len(keys)):
             one = F.shiftright(F.col(f"__r{i}").cast("bigint"), bit).bitwiseAND(F.lit(1))
             z = z + F.shiftleft(one, bit * len(keys) + i)
-    curve = numbered.withColumns(ranks).withColumn("__z", z)
+    curve = curve.withColumn("__z", z)
     spread = F.xxhash64(*df.columns)
     return (curve.repartitionByRange(n_files, F.col("__z"), spread)
             .sortWithinPartitions("__z").select(*df.columns))

@@ -14,11 +14,13 @@ from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.operators.ordering import order_columns
+from lakeops.session import settle
 
 HOT_ROWS = 1_000_000
 MAX_CUTS = 2048
@@ -39,7 +41,7 @@ def _bare(order_by: Sequence[str]) -> list[str]:
     return [c.lstrip("-") for c in order_by]
 
 
-def _as_number(df: DataFrame, name: str) -> Column:
+def as_number(df: DataFrame, name: str) -> Column:
     """A non-decreasing double image of an orderable column; NULL sorts lowest."""
     dtype = df.schema[name].dataType
     col = F.col(name)
@@ -67,10 +69,13 @@ def large_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS,
     return {i["item"]: i["count"] for r in rows for i in r["top"] if i["count"] > limit}
 
 
-def _quantiles(df: DataFrame, col: Column, parts: int) -> list[float]:
+def quantiles(df: DataFrame, cols: Sequence[Column], parts: int) -> list[list[float]]:
+    """Approximate cut points of each column into ``parts`` ranges; one pass for all columns."""
     probs = [i / parts for i in range(1, parts)]
-    found = df.select(col.alias("x")).approxQuantile("x", probs, 1 / (4 * parts))
-    return [x for x in found if math.isfinite(x)]
+    names = [f"x{i}" for i in range(len(cols))]
+    rows = df.select(*[c.alias(n) for c, n in zip(cols, names, strict=True)])
+    found = rows.approxQuantile(names, probs, 1 / (4 * parts))
+    return [[x for x in column if math.isfinite(x)] for column in found]
 
 
 def find_spread(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
@@ -82,24 +87,24 @@ def find_spread(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     parts = min(MAX_CUTS, 2 * math.ceil(sum(hot.values()) / hot_rows))
     rows = df.where(F.xxhash64(*keys).isin(list(hot)))
     names = _bare(order_by)
-    lead = _as_number(df, names[0])
-    found = _quantiles(rows, lead, parts)
+    lead = as_number(df, names[0])
+    found = quantiles(rows, [lead], parts)[0]
     heavy = sorted(x for x, n in Counter(found).items() if n > 1)
     tie_cuts: list[float] = []
     if heavy and len(names) > 1:
         tied = rows.where(lead.isin(heavy))
-        tie_cuts = sorted(set(_quantiles(tied, _as_number(df, names[1]), parts)))
+        tie_cuts = sorted(set(quantiles(tied, [as_number(df, names[1])], parts)[0]))
     cuts = sorted(set(found) | {math.nextafter(x, math.inf) for x in heavy})
     return Spread(tuple(sorted(hot)), tuple(cuts), tuple(heavy), tuple(tie_cuts))
 
 
-def _range_number(x: Column, cuts: Sequence[float], low: int = 0) -> Column:
-    """Number of cut points at or below ``x``, as a balanced tree of comparisons."""
+def with_range_number(df: DataFrame, col: str, out: str, cuts: Sequence[float]) -> DataFrame:
+    """Add the number of cut points at or below ``col`` (a binary search in the JVM)."""
     if not cuts:
-        return F.lit(low)
-    mid = len(cuts) // 2
-    return (F.when(x < F.lit(cuts[mid]), _range_number(x, cuts[:mid], low))
-            .otherwise(_range_number(x, cuts[mid + 1:], low + mid + 1)))
+        return df.withColumn(out, F.lit(0))
+    splits = [-math.inf, *cuts, math.inf]
+    ranged = Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep")
+    return ranged.transform(df).withColumn(out, F.col(out).cast("int"))
 
 
 def _with_ranges(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
@@ -107,19 +112,19 @@ def _with_ranges(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     names = _bare(order_by)
     hot = F.xxhash64(*keys).isin(list(spread.hot))
     df = (df.withColumn("__k", F.struct(*keys)).withColumn("__hot", hot)
-          .withColumn("__x", _as_number(df, names[0])))
-    main = F.when(F.col("__hot"), _range_number(F.col("__x"), spread.cuts)).otherwise(F.lit(0))
+          .withColumn("__x", as_number(df, names[0])))
+    df = with_range_number(df, "__x", "__m", spread.cuts)
+    main = F.when(F.col("__hot"), F.col("__m")).otherwise(F.lit(0))
     df = df.withColumn("__m", -main if order_by[0].startswith("-") else main)
     # A range that holds one single value of the leading column is cut again by the tiebreak.
     tied = [bisect_left(spread.cuts, h) + 1 for h in spread.heavy]
     df = df.withColumn("__tied", F.col("__hot") & F.abs("__m").isin(tied) if tied else F.lit(False))
-    sub: Column = F.lit(0)
-    if spread.tie_cuts:
-        number = _range_number(_as_number(df, names[1]), spread.tie_cuts)
-        sub = F.when(F.col("__tied"), number).otherwise(F.lit(0))
-        if order_by[1].startswith("-"):
-            sub = -sub
-    return df.withColumn("__s", sub)
+    if not spread.tie_cuts:
+        return df.withColumn("__s", F.lit(0))
+    df = df.withColumn("__x", as_number(df, names[1]))
+    df = with_range_number(df, "__x", "__s", spread.tie_cuts)
+    sub = F.when(F.col("__tied"), F.col("__s")).otherwise(F.lit(0))
+    return df.withColumn("__s", -sub if order_by[1].startswith("-") else sub)
 
 
 def _plain(df: DataFrame, part: Sequence[str], order_by: Sequence[str],
@@ -140,7 +145,7 @@ def _plain(df: DataFrame, part: Sequence[str], order_by: Sequence[str],
 
 def ordered_features(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
                      features: Mapping[str, tuple], hot_rows: int = HOT_ROWS,
-                     measure: DataFrame | None = None) -> DataFrame:
+                     measure: DataFrame | None = None, stage: bool = False) -> DataFrame:
     """Add window columns over ``PARTITION BY keys ORDER BY order_by``.
 
     ``features`` maps a new column to one of ``("row_number",)``, ``("running_sum", col)`` (the
@@ -148,16 +153,29 @@ def ordered_features(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]
     ``("lag", col)`` or ``("lead", col)``. Groups above ``hot_rows`` rows are split; ``order_by``
     then needs a numeric, date or timestamp leading column, one direction for lag and lead, and
     should be a total order. ``measure`` is a cheaper frame with the same keys and order columns
-    to look for large groups in.
+    to look for large groups in. With ``stage`` an expensive ``df`` that must be split is written
+    to the shared folder once instead of being computed for every pass.
     """
     spread = find_spread(df if measure is None else measure, keys, order_by, hot_rows)
+    return features_with(df, keys, order_by, features, spread, stage=stage)
+
+
+def features_with(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
+                  features: Mapping[str, tuple], spread: Spread | None,
+                  base: DataFrame | None = None, stage: bool = False) -> DataFrame:
+    """:func:`ordered_features` with a known spread.
+
+    ``base`` has the same rows with fewer steps behind them; range totals are taken from it.
+    """
     if spread is None:
         return df.withColumns(_plain(df, keys, order_by, features))
-    return _split_features(df, keys, order_by, features, spread)
+    if stage:
+        df = settle(df, "split")
+    return _split_features(df, keys, order_by, features, spread, df if base is None else base)
 
 
 def _split_features(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
-                    features: Mapping[str, tuple], spread: Spread) -> DataFrame:
+                    features: Mapping[str, tuple], spread: Spread, base: DataFrame) -> DataFrame:
     neighbours = {a[1] for a in features.values() if a[0] in ("lag", "lead")}
     summed = {a[1] for a in features.values() if a[0] in ("running_sum", "total")}
     down = {c.startswith("-") for c in order_by}
@@ -175,7 +193,8 @@ def _split_features(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     aggs += [first(F.struct(c), position).alias(f"__first_{c}") for c in neighbours]
     aggs += [last(F.struct(c), position).alias(f"__last_{c}") for c in neighbours]
     # At most MAX_CUTS groups x MAX_CUTS ranges, however large the input.
-    ranges = ranged.where("__hot").groupBy(*part).agg(*aggs)
+    source = ranged if base is df else _with_ranges(base, keys, order_by, spread)
+    ranges = source.where("__hot").groupBy(*part).agg(*aggs)
 
     in_order = Window.partitionBy("__k").orderBy("__m", "__s")
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
@@ -228,7 +247,7 @@ def rank_within(df: DataFrame, keys: Sequence[str], by: str, rank: str = "rnk",
     group nor a hot value ends in one task.
     """
     value = by.lstrip("-")
-    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    counted = settle(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")), "counted")
     ranked = ordered_features(counted, keys, [by], {
         dense: ("row_number",), "__upto": ("running_sum", "__n"), "__all": ("total", "__n"),
     }, hot_rows)
@@ -248,10 +267,12 @@ def top_k_any(df: DataFrame, by: Sequence[str], rankings: Mapping[str, Sequence[
 
     ``rankings`` maps a rank column to a total order. Spark cannot limit a group early when
     rankings are combined by OR, so each ranking is an ordered feature that splits large groups.
+    Every ranking reads ``df``; :func:`lakeops.session.settle` it first when it is expensive.
     """
     base = df
     for name, order_by in rankings.items():
-        df = ordered_features(df, by, order_by, {name: ("row_number",)}, hot_rows, base)
+        spread = find_spread(base, by, order_by, hot_rows)
+        df = features_with(df, by, order_by, {name: ("row_number",)}, spread, base)
     keep = F.lit(False)
     for name in rankings:
         keep = keep | (F.col(name) <= k)

@@ -18,6 +18,7 @@ from lakeops.operators.clean import order_lines
 from lakeops.operators.ordering import top_k
 from lakeops.operators.quality import Rules, audit, enforce, is_empty, violations
 from lakeops.operators.windows import HOT_ROWS, top_k_any
+from lakeops.session import settle
 
 # Expectations of the silver datasets.
 CUSTOMER_RULES: Rules = {
@@ -109,7 +110,8 @@ def item_sales(lines: DataFrame, items: DataFrame) -> DataFrame:
 def gold_top_10_items(lines: DataFrame, items: DataFrame, k: int = 10,
                       hot_rows: int = HOT_ROWS) -> DataFrame:
     """Items among the first ``k`` of their category by revenue or by units."""
-    ranked = top_k_any(item_sales(lines, items), ["category"], {
+    sales = settle(item_sales(lines, items), "item-sales")
+    ranked = top_k_any(sales, ["category"], {
         "rank_revenue": ["-revenue", "item_id"], "rank_units": ["-units_sold", "item_id"],
     }, k, hot_rows)
     return ranked.select("item_id", "name", "category", "units_sold", "revenue", "rank_revenue",
