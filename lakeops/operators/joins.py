@@ -25,6 +25,20 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], buckets: in
     return left.join(right, [*on, "__salt"], how).drop("__salt")
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """The planner's size estimate of ``df``."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
+                   max_bytes: int = 32 << 20) -> DataFrame:
+    """Join with a broadcast hint on ``small``, given only while its estimate is below
+    ``max_bytes``; beyond that Spark and AQE choose (sort-merge, with skew splitting)."""
+    if plan_bytes(small) <= max_bytes:
+        small = small.hint("broadcast")
+    return big.join(small, on, how)
+
+
 def full_outer(facts: DataFrame, dim: DataFrame, facts_key: str, dim_key: str) -> DataFrame:
     """FULL OUTER JOIN with both key columns kept, for a skewed ``facts`` side.
 

@@ -59,11 +59,11 @@ def large_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS,
     """Hash -> approximate row count of every group above ``hot_rows`` (and 1/max_groups of all).
 
     Frequent-item sketches over disjoint slices of the hash space: partial sketches combine in
-    the map tasks, and the result is at most 64 x 256 entries whatever the data size.
+    the map tasks, and the result is at most 64 x 128 entries whatever the data size.
     """
     hashed = df.select(F.xxhash64(*keys).alias("h"))
     rows = (hashed.groupBy(F.pmod("h", F.lit(_SKETCH_GROUPS)).alias("g"))
-            .agg(F.expr("approx_top_k(h, 256, 4096)").alias("top"),
+            .agg(F.expr("approx_top_k(h, 128, 1024)").alias("top"),
                  F.count(F.lit(1)).alias("n")).collect())
     limit = max(hot_rows, sum(r["n"] for r in rows) / max_groups)
     return {i["item"]: i["count"] for r in rows for i in r["top"] if i["count"] > limit}

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from lakeops.operators.cdc import changed_rows
-from lakeops.operators.joins import full_outer, salted_join
+from lakeops.operators.joins import broadcast_join, full_outer, salted_join
 from lakeops.plans import domain as d
 from lakeops.plans.domain import check
 from lakeops.plans.registry import query
@@ -96,12 +96,12 @@ def _(spark, sf):
     SELECT n_name, count(*) AS suppliers, CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
     FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name""")
 def _(spark, sf):
-    # nation is a fixed reference table (one row per nation), whatever the scale.
-    nation = d.table(spark, sf, "nation").hint("broadcast")
-    return (d.table(spark, sf, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-            .groupBy("n_name").agg(
-                F.count(F.lit(1)).alias("suppliers"),
-                F.sum(F.col("s_acctbal").cast("decimal(18,2)")).alias("balance")))
+    nation = d.table(spark, sf, "nation").select("n_nationkey", "n_name")
+    rows = broadcast_join(d.table(spark, sf, "supplier"), nation,
+                          F.col("s_nationkey") == F.col("n_nationkey"))
+    return rows.groupBy("n_name").agg(
+        F.count(F.lit(1)).alias("suppliers"),
+        F.sum(F.col("s_acctbal").cast("decimal(18,2)")).alias("balance"))
 
 
 @query("join_two_keys", "J9", sql=check("""

@@ -7,7 +7,8 @@ orders count and discounts are not subtracted.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,10 @@ from lakeops.operators.ordering import top_k
 from lakeops.operators.quality import Rules, audit, enforce, is_empty, violations
 from lakeops.operators.windows import HOT_ROWS, top_k_any
 from lakeops.session import settle
+from lakeops.sources.files import SchemaLike, read_files
+from lakeops.streaming.flows import append_stream, ingest_stream, read_stream
+
+Save = Callable[[DataFrame, str], DataFrame]
 
 # Expectations of the silver datasets.
 CUSTOMER_RULES: Rules = {
@@ -161,31 +166,81 @@ def gold_audit(daily: DataFrame, customers: DataFrame, items: DataFrame, as_of:
     ], on_violation)
 
 
-def run_medallion(spark: SparkSession, bronze: dict[str, DataFrame], out: str,
-                  as_of: str, stored: Callable[[DataFrame, str], DataFrame] | None = None,
-                  ) -> dict[str, DataFrame]:
+def refresh_gold(silver: dict[str, DataFrame], save: Save, as_of: str) -> dict[str, DataFrame]:
+    """Recompute the gold datasets; fails when the audit finds a violation."""
+    orders, customers = silver["silver_orders"], silver["silver_customers"]
+    gold = {
+        "gold_daily_revenue": save(gold_daily_revenue(orders, customers), "gold_daily_revenue"),
+        "gold_top_10_customers": save(gold_top_10_customers(orders, customers),
+                                      "gold_top_10_customers"),
+        "gold_top_10_items": save(
+            gold_top_10_items(silver["silver_order_items"], silver["silver_items"]),
+            "gold_top_10_items"),
+    }
+    gold_audit(*gold.values(), as_of, on_violation="raise").count()
+    return gold
+
+
+def _save_below(out: str) -> Save:
+    def save(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{out}/{name}")
+        return df.sparkSession.read.parquet(f"{out}/{name}")
+    return save
+
+
+def run_medallion(bronze: dict[str, DataFrame], out: str, as_of: str) -> dict[str, DataFrame]:
     """Refresh silver and gold from ``bronze`` (customers, orders, items) in dependency order.
 
     Every dataset is written below ``out`` and later ones read the files, so each is computed
-    once. Fails when the audit finds a violation. Streaming refreshes keep their own bronze and
-    silver tables (:mod:`lakeops.streaming`) and pass them in here.
+    once.
     """
-    def save(df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{out}/{name}")
+    save = _save_below(out)
+    silver = {
+        "silver_customers": save(silver_customers(bronze["customers"]), "silver_customers"),
+        "silver_orders": save(silver_orders(bronze["orders"]), "silver_orders"),
+        "silver_order_items": save(silver_order_items(bronze["orders"]), "silver_order_items"),
+        "silver_items": save(silver_items(bronze["items"]), "silver_items"),
+    }
+    return {**silver, **refresh_gold(silver, save, as_of)}
+
+
+@dataclass(frozen=True)
+class Landing:
+    """A folder of arriving files and how to read it."""
+
+    path: str
+    fmt: str
+    schema: SchemaLike
+    options: Mapping[str, str] = field(default_factory=dict)
+    prepare: Callable[[DataFrame], DataFrame] | None = None
+
+
+def refresh_medallion(spark: SparkSession, landing: Mapping[str, Landing], out: str,
+                      as_of: str) -> dict[str, DataFrame]:
+    """Incremental refresh: customers and orders flow through checkpointed append streams to
+    silver, each row once; the item catalogue and gold are recomputed.
+
+    Run it again after new files arrived; a run without new files changes nothing.
+    """
+    def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{out}/{name}")
 
-    keep = stored or save
-    customers = keep(silver_customers(bronze["customers"]), "silver_customers")
-    orders = keep(silver_orders(bronze["orders"]), "silver_orders")
-    lines = keep(silver_order_items(bronze["orders"]), "silver_order_items")
-    items = keep(silver_items(bronze["items"]), "silver_items")
-    gold = {
-        "gold_daily_revenue": keep(gold_daily_revenue(orders, customers), "gold_daily_revenue"),
-        "gold_top_10_customers": keep(gold_top_10_customers(orders, customers),
-                                      "gold_top_10_customers"),
-        "gold_top_10_items": keep(gold_top_10_items(lines, items), "gold_top_10_items"),
-    }
-    gold_audit(gold["gold_daily_revenue"], gold["gold_top_10_customers"],
-               gold["gold_top_10_items"], as_of, on_violation="raise").count()
-    return {"silver_customers": customers, "silver_orders": orders,
-            "silver_order_items": lines, "silver_items": items, **gold}
+    def hop(source: str, target: str, step: Callable[[DataFrame], DataFrame]) -> None:
+        rows = read_stream(spark, f"{out}/{source}", "parquet", table(source).schema)
+        append_stream(step(rows), f"{out}/{target}", f"{out}/_checkpoints/{target}")
+
+    for name in ("customers", "orders"):
+        src = landing[name]
+        ingest_stream(spark, src.path, src.fmt, f"{out}/bronze_{name}",
+                      f"{out}/_checkpoints/bronze_{name}", src.schema, prepare=src.prepare,
+                      **src.options)
+    hop("bronze_customers", "silver_customers", silver_customers)
+    hop("bronze_orders", "silver_orders", silver_orders)
+    hop("bronze_orders", "silver_order_items", silver_order_items)
+    save, items = _save_below(out), landing["items"]
+    catalogue = read_files(spark, items.path, items.fmt, items.schema, **items.options)
+    if items.prepare:
+        catalogue = items.prepare(catalogue)
+    silver = {n: table(n) for n in ("silver_customers", "silver_orders", "silver_order_items")}
+    silver["silver_items"] = save(silver_items(catalogue), "silver_items")
+    return {**silver, **refresh_gold(silver, save, as_of)}

@@ -87,15 +87,14 @@ def rescue_json(raw: DataFrame, schema: SchemaLike, value: str = "value",
     rows = raw.withColumns({"__typed": F.from_json(text, struct),
                             "__raw": F.from_json(text, "map<string,string>")})
 
-    def unfit(key: Column, found: Column) -> Column:
-        known, broken = F.lit(False), F.lit(False)
-        for f in struct.fields:
-            named = key == F.lit(f.name)
-            known = known | named
-            broken = broken | (named & F.col("__typed").getField(f.name).isNull())
-        return ~known | (broken & found.isNotNull())
-
-    extra = F.map_filter("__raw", unfit)
+    # Keys that found a typed value; set difference keeps this linear for wide schemas.
+    fitting = F.array_compact(F.array(*[
+        F.when(F.col("__typed").getField(f.name).isNotNull(), f.name) for f in struct.fields]))
+    odd = F.array_except(F.map_keys("__raw"), fitting)
+    names = F.array(*[F.lit(f.name) for f in struct.fields])
+    rows = rows.withColumn("__odd", odd)
+    extra = F.map_filter("__raw", lambda k, v: F.array_contains("__odd", k) & (
+        v.isNotNull() | ~F.array_contains(names, k)))
     if path_col is not None:
         place = F.create_map(F.lit("_file_path"), F.col(path_col).cast("string"))
         extra = F.when(F.size(extra) > 0, F.map_concat(extra, place))
@@ -104,9 +103,9 @@ def rescue_json(raw: DataFrame, schema: SchemaLike, value: str = "value",
     body = (F.when(no_object, F.to_json(F.create_map(F.lit("_corrupt_record"), F.col(value))))
             .when(F.size(extra) > 0, F.to_json(extra)))
     kept = [c for c in raw.columns if c != value]
-    names = as_struct(schema).names
+    declared = as_struct(schema).names
     return rows.select(*kept, *[F.col("__typed").getField(f.name).alias(n)
-                                for n, f in zip(names, struct.fields, strict=True)],
+                                for n, f in zip(declared, struct.fields, strict=True)],
                        body.alias(rescued))
 
 

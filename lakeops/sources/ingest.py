@@ -41,12 +41,15 @@ def _last_load(spark: SparkSession, target: str) -> int:
     return _ledger(spark, target).agg(F.coalesce(F.max("__load"), F.lit(0))).first()[0]
 
 
-def _save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    row = spark.createDataFrame([(schema.json(),)], "schema STRING")
-    row.coalesce(1).write.mode("overwrite").text(path)
+def save_text(spark: SparkSession, path: str, text: str) -> None:
+    spark.range(1).select(F.lit(text)).write.mode("overwrite").text(path)
 
 
-def _load_schema(spark: SparkSession, path: str) -> T.StructType | None:
+def save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    save_text(spark, path, schema.json())
+
+
+def load_schema(spark: SparkSession, path: str) -> T.StructType | None:
     if not path_exists(spark, path):
         return None
     return T.StructType.fromJson(json.loads(spark.read.text(path).first()[0]))
@@ -54,7 +57,7 @@ def _load_schema(spark: SparkSession, path: str) -> T.StructType | None:
 
 def read_loaded(spark: SparkSession, target: str) -> DataFrame:
     """Rows of all finished loads, in the table's current schema."""
-    schema = _load_schema(spark, f"{target}/schema")
+    schema = load_schema(spark, f"{target}/schema")
     if schema is None:
         raise FileNotFoundError(f"nothing has been loaded into {target}")
     last = _last_load(spark, target)
@@ -101,17 +104,17 @@ def copy_into(spark: SparkSession, target: str, src: str, fmt: str,
 def _load_chunk(spark, target, chunk, fmt, schema, select, merge_schema, options) -> None:
     rows = read_files(spark, [r["path"] for r in chunk], fmt, schema, **options)
     rows = select(rows) if select else rows
-    current = _load_schema(spark, f"{target}/schema")
+    current = load_schema(spark, f"{target}/schema")
     if current is None:
         current = rows.schema
-        _save_schema(spark, f"{target}/schema", current)
+        save_schema(spark, f"{target}/schema", current)
     else:
         wider, verdict = evolve_schema(current, rows.schema)
         if verdict.new_fields and not merge_schema:
             raise UnknownFieldError(verdict.new_fields, schema_recorded=False)
         if verdict.new_fields:
             current = wider
-            _save_schema(spark, f"{target}/schema", current)
+            save_schema(spark, f"{target}/schema", current)
     fitted = [F.col(f.name).cast(f.dataType) if f.name in rows.columns
               else F.lit(None).cast(f.dataType).alias(f.name) for f in current.fields]
     number = _last_load(spark, target) + 1

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeops.sources.drift import UnknownFieldError, evolve_schema
-from lakeops.sources.files import SchemaLike, as_struct, hinted_schema, read_files
-from lakeops.sources.ingest import _load_schema, _save_schema
+from lakeops.sources.files import (
+    SchemaLike, as_struct, hinted_schema, list_files, read_files)
+from lakeops.sources.ingest import load_schema, save_schema, save_text
 
 
 def _start(writer, trigger: str | None) -> StreamingQuery:
@@ -89,17 +90,30 @@ def ingest_stream(spark: SparkSession, src: str, fmt: str, sink: str, checkpoint
 
 
 def _tracked_schema(spark, src, fmt, checkpoint, hints, evolution, infer, options):
-    place = f"{checkpoint}/schema"
+    """The recorded schema, compared with that of the files modified since the last look."""
+    place, mark = f"{checkpoint}/schema", f"{checkpoint}/schema-mark"
     reading = {k: v for k, v in options.items() if k != "maxFilesPerTrigger"}
+    current = load_schema(spark, place)
+    files = list_files(spark, src, reading.get("pathGlobFilter"))
+    if current is not None:
+        reading["modifiedAfter"] = spark.read.text(mark).first()[0]
+        since = F.lit(reading["modifiedAfter"]).cast("timestamp")
+        files = files.where(F.col("modificationTime") > since)
+    # One second back, so that files written in the newest second are looked at again.
+    look_back = F.max("modificationTime") - F.expr("INTERVAL 1 SECOND")
+    newest = files.agg(F.date_format(look_back, "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
+    if newest is None and current is not None:
+        return current
     seen = read_files(spark, src, fmt, infer=infer, **reading).schema
     seen = hinted_schema(seen, hints) if hints else seen
-    current = _load_schema(spark, place)
     if current is None:
-        _save_schema(spark, place, seen)
+        save_schema(spark, place, seen)
+        save_text(spark, mark, newest)
         return seen
     schema, verdict = evolve_schema(current, seen, evolution)
-    if verdict.action == "ok":
-        return schema
     if verdict.action == "restart":
-        _save_schema(spark, place, schema)
-    raise UnknownFieldError(verdict.new_fields + verdict.widened, verdict.action == "restart")
+        save_schema(spark, place, schema)
+    if verdict.action != "ok":
+        raise UnknownFieldError(verdict.new_fields + verdict.widened, verdict.action == "restart")
+    save_text(spark, mark, newest)
+    return schema

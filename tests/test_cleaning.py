@@ -122,3 +122,11 @@ def test_column_profile(hot):
     got = {r["summary"]: r["v"] for r in column_profile(hot, ["v"]).collect()}
     assert set(got) == {"count", "mean", "stddev", "min", "25%", "50%", "75%", "max"}
     assert got["count"] == "4000" and float(got["max"]) == 96
+
+
+def test_broadcast_only_below_the_size_limit(spark, hot, tmp_path):
+    from lakeops.operators.joins import broadcast_join
+    small = spark.range(0, 30).selectExpr("id AS k", "id * 2 AS w")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan(broadcast_join(hot, small, ["k"]))
+    assert "strategy=broadcast" not in plan(broadcast_join(hot, small, ["k"], max_bytes=1))
