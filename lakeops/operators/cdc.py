@@ -15,7 +15,7 @@ from lakeops.operators.merge import (
     not_matched_insert,
 )
 from lakeops.operators.ordering import latest_per_key
-from lakeops.operators.windows import HOT_ROWS, features_with, find_spread
+from lakeops.operators.windows import HOT_ROWS, Spread, features_with, find_spread
 
 FEED_COLUMNS = ("_change_type", "_commit_version", "_commit_timestamp")
 
@@ -68,15 +68,18 @@ def scd2_log(events: DataFrame, keys: Sequence[str], sequence_by: str, delete_wh
 
 
 def scd2_history(log: DataFrame, keys: Sequence[str], coalesce_noop: bool = False,
-                 hot_rows: int = HOT_ROWS, measure: DataFrame | None = None) -> DataFrame:
+                 hot_rows: int = HOT_ROWS) -> DataFrame:
     """Versions with ``__START_AT`` and ``__END_AT``; a delete only closes the open version.
 
     ``coalesce_noop`` drops an event whose payload equals the one before it. Keys with very many
-    events are split along the sequence (:func:`lakeops.operators.windows.ordered_features`);
-    they are looked for in ``measure`` (keys and ``__seq``) when ``log`` is costly to compute.
+    events are split along the sequence (:func:`lakeops.operators.windows.ordered_features`).
     """
+    return _history(log, keys, coalesce_noop, find_spread(log, keys, ["__seq"], hot_rows))
+
+
+def _history(log: DataFrame, keys: Sequence[str], coalesce_noop: bool,
+             spread: Spread | None) -> DataFrame:
     payload = [c for c in log.columns if c not in ("__seq", "__deleted")]
-    spread = find_spread(log if measure is None else measure, keys, ["__seq"], hot_rows)
     steps = log
     if coalesce_noop:
         rest = [c for c in payload if c not in keys]
@@ -94,11 +97,15 @@ def apply_scd2(events: DataFrame, keys: Sequence[str], sequence_by: str, delete_
                except_cols: Sequence[str] = (), state: DataFrame | None = None,
                coalesce_noop: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """History after ``events`` on top of an earlier :func:`scd2_log`."""
-    log = scd2_log(events, keys, sequence_by, delete_when, except_cols, state)
     seen = events.select(*keys, F.col(sequence_by).alias("__seq"))
     if state is not None:
         seen = state.select(*keys, "__seq").unionByName(seen)
-    return scd2_history(log, keys, coalesce_noop, hot_rows, seen)
+    spread = find_spread(seen, keys, ["__seq"], hot_rows)
+    log = _with_state(_as_log(events, keys, sequence_by, delete_when, except_cols), state)
+    if spread is None:
+        # No key is large: removing repeats and building history share one shuffle by key.
+        log = log.repartition(*keys)
+    return _history(_one_per(log, [*keys, "__seq"], [], keys), keys, coalesce_noop, spread)
 
 
 def refresh_scd2(history: DataFrame, log: DataFrame, events: DataFrame, keys: Sequence[str],

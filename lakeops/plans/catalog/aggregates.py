@@ -184,6 +184,18 @@ def _(spark, sf):
         "high": ("max", "line_total"), "mean": ("avg", "line_total")})
 
 
+@query("column_description", "A14", sql=check("""
+    SELECT summary, round(v, 2) AS amount FROM (
+        SELECT 'count' AS summary, CAST(count(amount) AS DOUBLE) AS v FROM sales
+        UNION ALL SELECT 'mean', CAST(sum(amount) AS DOUBLE) / count(amount) FROM sales
+        UNION ALL SELECT 'stddev', stddev_samp(CAST(amount AS DOUBLE)) FROM sales
+        UNION ALL SELECT 'min', CAST(min(amount) AS DOUBLE) FROM sales
+        UNION ALL SELECT 'max', CAST(max(amount) AS DOUBLE) FROM sales)""", "sales"))
+def _(spark, sf):
+    return d.orders(spark, sf).describe("amount").select(
+        "summary", F.round(F.col("amount").cast("double"), 2).alias("amount"))
+
+
 @query("column_profile", "A14")
 def _(spark, sf):
     return column_profile(d.orders(spark, sf), ["amount", "customer_id"])

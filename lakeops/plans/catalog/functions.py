@@ -29,7 +29,8 @@ def _(spark, sf):
            CAST(CAST(ts AS DATE) + 5 AS VARCHAR) AS due,
            strftime(to_timestamp(floor(epoch(ts)))::TIMESTAMP, '%Y-%m-%d %H:%M:%S') AS text,
            ts > TIMESTAMP '2024-01-31' - INTERVAL 14 DAYS AS recent,
-           strftime(ts + INTERVAL 90 SECONDS, '%Y-%m-%d %H:%M:%S') AS later
+           strftime(ts + INTERVAL 90 SECONDS, '%Y-%m-%d %H:%M:%S') AS later,
+           TRY_CAST(event_type AS TIMESTAMP) IS NULL AS no_time
     FROM events""")
 def _(spark, sf):
     ts = F.col("ts").cast("timestamp")
@@ -43,7 +44,7 @@ def _(spark, sf):
         F.from_unixtime(seconds, "yyyy-MM-dd HH:mm:ss").alias("text"),
         (ts > bound).alias("recent"),
         F.date_format(F.timestamp_add("SECOND", F.lit(90), ts), "yyyy-MM-dd HH:mm:ss")
-        .alias("later"))
+        .alias("later"), F.try_to_timestamp("event_type").isNull().alias("no_time"))
 
 
 @query("numeric_functions", "F.numeric", sql="""

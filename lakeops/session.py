@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,20 +27,25 @@ def build_session(app: str = "lakeops", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
-def _shared_root(spark: SparkSession) -> str:
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="lakeops-")
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``; in local mode without that
+    setting, a temporary folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="lakeops-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the cluster's shared checkpoint folder."""
-    return f"{_shared_root(spark)}/lakeops/{label}-{uuid.uuid4().hex}"
+    return f"{shared_root(spark)}/lakeops/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:

@@ -155,3 +155,8 @@ def test_versions_ranges_and_net_changes(spark, states, rows):
 def test_delete_of_an_unknown_key_is_ignored(spark, states, rows):
     feed = spark.createDataFrame([(50, "x", 1, "delete", 3)], "id INT, v STRING, x INT, _change_type STRING, _commit_version BIGINT")
     assert rows(apply_change_feed(states[0], feed, ["id"])) == rows(states[0])
+
+
+def test_history_of_ordinary_keys_needs_one_shuffle(events):
+    plan = apply_scd2(events, **ARGS, coalesce_noop=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -186,3 +186,20 @@ def test_generated_orders_are_repeatable(spark, rows):
     assert rows(a) == rows(b) and a.agg(F.max("amount")).first()[0] < 200
     counts = {r[0]: r[1] for r in skewed_orders(spark, 5000).groupBy("customer_id").count().collect()}
     assert counts == {1: 5000, **{i: 100 for i in range(2, 21)}}
+
+
+def test_scratch_folder_comes_from_the_session(spark, monkeypatch):
+    from lakeops import session
+    assert session.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+    class Bare:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "local[2]"
+
+    assert "lakeops-" in session.scratch_path(Bare, "x")
+    Bare.sparkContext.master = "yarn"
+    with pytest.raises(ValueError, match="checkpoint"):
+        session.scratch_path(Bare, "x")
