@@ -79,14 +79,26 @@ def lookback(df: DataFrame, ts: str, as_of: date, days: int) -> DataFrame:
     return df.where(F.col(ts).cast("timestamp_ntz") > start)
 
 
-def run_metrics(runs: DataFrame, job: str, start: str, end: str, state: str, as_of: date,
+def _seconds(start: str, end: str) -> Column:
+    return (F.unix_timestamp(F.col(end).cast("timestamp"))
+            - F.unix_timestamp(F.col(start).cast("timestamp")))
+
+
+def recent_runs(runs: DataFrame, job: str, job_id, start: str, end: str, as_of: date,
+                days: int = 14) -> DataFrame:
+    """Runs of one job in the last ``days`` with their duration in seconds, newest first."""
+    recent = lookback(runs, start, as_of, days).where(F.col(job) == F.lit(job_id))
+    return recent.withColumn("duration_s", _seconds(start, end)).orderBy(F.desc(start))
+
+
+def run_metrics(runs: DataFrame, job: str | Sequence[str], start: str, end: str, state: str, as_of: date,
                 days: int = 30, failed: str = "FAILED") -> DataFrame:
-    """Per job: finished runs, failures, failure rate, mean and longest duration in seconds."""
+    """Per job (or job and task): finished runs, failures, failure rate, mean and longest
+    duration in seconds."""
     recent = lookback(runs, start, as_of, days).where(F.col(state).isNotNull())
-    seconds = (F.unix_timestamp(F.col(end).cast("timestamp"))
-               - F.unix_timestamp(F.col(start).cast("timestamp")))
     bad = F.sum(F.when(F.col(state) == failed, 1).otherwise(0))
-    return recent.withColumn("__s", seconds).groupBy(job).agg(
+    keys = [job] if isinstance(job, str) else list(job)
+    return recent.withColumn("__s", _seconds(start, end)).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total"), bad.alias("failed"),
         (bad / F.count(F.lit(1))).alias("fail_rate"),
         average("__s").alias("avg_s"), F.max("__s").alias("max_s"))

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.columns import money
 from lakeops.operators.aggregates import (
-    analyze, average, column_profile, distinct_values, regional_revenue, run_metrics, summary_row,
-    two_stage_agg)
+    analyze, average, column_profile, distinct_values, recent_runs, regional_revenue, run_metrics,
+    summary_row, two_stage_agg)
 from lakeops.plans import domain as d
 from lakeops.plans.domain import check, table
 from lakeops.plans.registry import query
@@ -125,27 +125,56 @@ def _(spark, sf):
         errors.alias("errors"), (errors / F.count(F.lit(1))).alias("error_rate"))
 
 
-@query("run_metrics", "A10", sql="""
-    WITH runs AS (SELECT user_id, ts AS period_start, ts + to_seconds(CAST(floor(value) AS BIGINT)) AS period_end,
-        CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'view' THEN NULL ELSE 'SUCCEEDED' END AS state
-        FROM events),
+def _runs(spark, sf):
+    """Events as job runs that last ``value`` seconds; views are runs that have not finished."""
+    state = (F.when(F.col("event_type") == "error", "FAILED")
+             .when(F.col("event_type") != "view", "SUCCEEDED"))
+    return d.events(spark, sf).select(
+        "event_id", "user_id", "event_type", F.col("ts").alias("period_start"),
+        (F.col("ts") + F.expr("make_dt_interval(0, 0, 0, floor(value))")).alias("period_end"),
+        state.alias("state"))
+
+
+_RUNS = """runs AS (
+    SELECT event_id, user_id, event_type, ts AS period_start,
+           ts + to_seconds(CAST(floor(value) AS BIGINT)) AS period_end,
+           CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'view' THEN NULL ELSE 'SUCCEEDED' END AS state
+    FROM events),
     recent AS (SELECT *, CAST(floor(epoch(period_end)) AS BIGINT) - CAST(floor(epoch(period_start)) AS BIGINT) AS s
-        FROM runs WHERE period_start > TIMESTAMP '2024-01-31' - INTERVAL 14 DAYS AND state IS NOT NULL)
+        FROM runs WHERE period_start > TIMESTAMP '2024-01-31' - INTERVAL 14 DAYS)"""
+
+
+@query("run_metrics", "A10", sql=f"""
+    WITH {_RUNS}
     SELECT user_id, count(*) AS total, count(*) FILTER (state = 'FAILED') AS failed,
            CAST(count(*) FILTER (state = 'FAILED') AS DOUBLE) / count(*) AS fail_rate,
            CAST(sum(s) AS DOUBLE) / count(s) AS avg_s, max(s) AS max_s
-    FROM recent GROUP BY user_id HAVING count(*) FILTER (state = 'FAILED') > 0""")
+    FROM recent WHERE state IS NOT NULL GROUP BY user_id HAVING count(*) FILTER (state = 'FAILED') > 0""")
 def _(spark, sf):
-    state = (F.when(F.col("event_type") == "error", "FAILED")
-             .when(F.col("event_type") != "view", "SUCCEEDED"))
-    runs = d.events(spark, sf).select(
-        "user_id", F.col("ts").alias("period_start"),
-        (F.col("ts") + F.expr("make_dt_interval(0, 0, 0, floor(value))")).alias("period_end"),
-        state.alias("state"))
-    return run_metrics(runs, "user_id", "period_start", "period_end", "state",
+    return run_metrics(_runs(spark, sf), "user_id", "period_start", "period_end", "state",
                        date(2024, 1, 31), 14).where("fail_rate > 0")
 
 
+@query("slowest_tasks", "A10", "L2", sql=f"""
+    WITH {_RUNS}
+    SELECT event_type, user_id, count(*) AS total, CAST(sum(s) AS DOUBLE) / count(s) AS avg_s, max(s) AS max_s
+    FROM recent WHERE state IS NOT NULL GROUP BY ALL ORDER BY avg_s DESC, event_type, user_id LIMIT 20""")
+def _(spark, sf):
+    tasks = run_metrics(_runs(spark, sf), ["event_type", "user_id"], "period_start", "period_end",
+                        "state", date(2024, 1, 31), 14)
+    return tasks.orderBy(F.desc("avg_s"), "event_type", "user_id").limit(20).drop(
+        "failed", "fail_rate")
+
+
+@query("recent_runs_of_a_job", "A10", "L1", sql=f"""
+    WITH {_RUNS}
+    SELECT event_id, state, strftime(period_start, '%Y-%m-%d %H:%M:%S.%f') AS period_start, s AS duration_s
+    FROM recent WHERE event_type = 'purchase'""")
+def _(spark, sf):
+    return recent_runs(_runs(spark, sf), "event_type", "purchase", "period_start", "period_end",
+                       date(2024, 1, 31)).select("event_id", "state", "period_start", "duration_s")
+
+
 @query("daily_totals", "A11", sql="""
     SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n,
            CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lakeops.sources.drift import UnknownFieldError, evolve_schema
+from lakeops.sources.drift import UnknownFieldError, evolve_schema, rescue_json
 from lakeops.sources.files import (
     SchemaLike, as_struct, hinted_schema, list_files, read_files)
 from lakeops.sources.ingest import load_schema, save_schema, save_text
@@ -74,17 +74,26 @@ def ingest_stream(spark: SparkSession, src: str, fmt: str, sink: str, checkpoint
                   schema: SchemaLike | None = None, hints: str | None = None,
                   evolution: str = "addNewColumns", infer: bool = False,
                   prepare: Callable[[DataFrame], DataFrame] | None = None,
-                  trigger: str | None = None, **options: str) -> StreamingQuery:
+                  trigger: str | None = None, case_sensitive: bool = True,
+                  **options: str) -> StreamingQuery:
     """Load new files of ``src`` into ``sink`` and stop when all are read.
 
     Without ``schema`` the columns are inferred from the files (all STRING unless ``infer``),
     with ``hints`` on top, and kept in ``checkpoint/schema``. New fields are treated by the
     ``evolution`` mode: ``addNewColumns`` records them, fails once with UnknownFieldError, and
-    reads them on the next run.
+    reads them on the next run; ``rescue`` (JSON lines) keeps the schema and puts what does not
+    fit into ``_rescued_data``, with ``case_sensitive`` deciding about keys in another case.
     """
     if schema is None:
         schema = _tracked_schema(spark, src, fmt, checkpoint, hints, evolution, infer, options)
-    rows = read_stream(spark, src, fmt, schema, **options)
+    if evolution == "rescue":
+        if fmt != "json":
+            raise ValueError("rescue reads JSON lines")
+        text = read_stream(spark, src, "text", "value STRING", **options)
+        text = text.select("value", F.col("_metadata.file_path").alias("source_file"))
+        rows = rescue_json(text, schema, case_sensitive=case_sensitive, path_col="source_file")
+    else:
+        rows = read_stream(spark, src, fmt, schema, **options)
     return append_stream(prepare(rows) if prepare else rows, sink, f"{checkpoint}/offsets",
                          trigger)
 

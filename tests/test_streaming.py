@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lakeops.operators import cdc
-from lakeops.sources.drift import UnknownFieldError
+from lakeops.sources.drift import UnknownFieldError, rescue_report
 from lakeops.streaming import flows, upserts
 
 
@@ -130,3 +130,20 @@ def test_stream_static_join_modes(spark, land):
     s = flows.read_stream(spark, land("a.json", '{"id":1}'), "json", "id INT")
     with pytest.raises(ValueError):
         flows.enrich_stream(s, spark.range(1), ["id"], "right")
+
+
+@pytest.mark.parametrize("exact,rescued", [(True, {1018, 1019, 1020}), (False, {1018, 1020})])
+def test_rescue_mode_keeps_every_row(spark, tmp_path, land, exact, rescued):
+    src = land("drift.json", '{"order_id":1018,"amount":"not-a-number","status":"placed"}',
+               '{"order_id":1019,"amount":2.5,"Status":"placed"}',
+               '{"order_id":1020,"amount":3.5,"status":"placed","referral_code":"R"}',
+               '{"order_id":1021,"amount":4.5,"status":"placed"}')
+    sink = str(tmp_path / "s")
+    flows.ingest_stream(spark, src, "json", sink, str(tmp_path / "c"), "order_id BIGINT, amount DOUBLE, status STRING",
+                        evolution="rescue", case_sensitive=exact)
+    got = {r["order_id"]: r for r in spark.read.parquet(sink).collect()}
+    assert set(got) == {1018, 1019, 1020, 1021}
+    assert {k for k, r in got.items() if r["_rescued_data"]} == rescued
+    assert "drift.json" in got[1018]["_rescued_data"] and got[1018]["source_file"].endswith("drift.json")
+    report = rescue_report(spark.read.parquet(sink)).collect()
+    assert [r["rescued_rows"] for r in report] == [len(rescued)]
