@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.operators.ordering import key_hash
+
 
 def average(col: str) -> Column:
     """Exact decimal sum over the count of non-NULL values, as a double."""
@@ -42,7 +44,7 @@ def distinct_values(df: DataFrame, keys: Sequence[str], col: str | Column, name:
     """
     value = F.col(col) if isinstance(col, str) else col
     pairs = df.select(*keys, value.alias("__v")).where("__v IS NOT NULL").distinct()
-    sizes = (pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = (pairs.groupBy(*keys, key_hash(keys)).agg(F.count(F.lit(1)).alias("__n"))
              .where(F.col("__n") > chunk_values)
              .select(*[F.col(k).alias(f"__{k}") for k in keys],
                      F.ceil(F.col("__n") / chunk_values).alias("__chunks")))

@@ -14,7 +14,7 @@ from lakeops.operators.merge import (
     merge_into,
     not_matched_insert,
 )
-from lakeops.operators.ordering import latest_per_key
+from lakeops.operators.ordering import distinct_keys, latest_per_key
 from lakeops.operators.windows import HOT_ROWS, Spread, features_with, find_spread
 
 FEED_COLUMNS = ("_change_type", "_commit_version", "_commit_timestamp")
@@ -115,7 +115,7 @@ def refresh_scd2(history: DataFrame, log: DataFrame, events: DataFrame, keys: Se
     ``log`` is the state that already contains ``events``; the history of all other keys is
     passed through.
     """
-    touched = events.select(*keys).distinct()
+    touched = distinct_keys(events, keys)
     rebuilt = scd2_history(log.join(touched, list(keys), "left_semi"), keys, coalesce_noop,
                            hot_rows)
     return history.join(touched, list(keys), "left_anti").unionByName(rebuilt)

@@ -1,8 +1,8 @@
 """MERGE semantics as a DataFrame transformation.
 
 The target is only ever the left side of a left join: a small source is broadcast and the target
-is not shuffled, and with a large source AQE can still split hot target keys (it cannot in a full
-outer join). Inserts are the source rows without a target key, found by an anti join on keys.
+is not shuffled, and with a large source AQE can split hot target keys (it cannot in a full outer
+join). Inserts are the source rows without a target key, found by an anti join on keys.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.operators.ordering import distinct_keys, key_hash
+
 AMBIGUOUS = "MERGE: several source rows match one target row"
 
 
@@ -115,7 +117,7 @@ def _updated_target(target, source, pairs, by_kind, columns, types, null_safe) -
     source_keys = [b for _, b in pairs]
     payload = [c for c in source.columns if c not in source_keys]
     # Equal source keys combine in the map tasks; a count above one can only fail or go unused.
-    unique = (source.groupBy(*source_keys)
+    unique = (source.groupBy(*source_keys, key_hash(source_keys))
               .agg(*[F.any_value(c).alias(c) for c in payload], F.count(F.lit(1)).alias("__n"))
               .select(*source.columns, "__n"))
     joined = target.alias("t").join(
@@ -154,11 +156,11 @@ def _update_value(clause: Clause, name: str, source: DataFrame) -> Column | None
 
 
 def _inserted(target, source, pairs, clauses, columns, types, null_safe) -> DataFrame:
-    wanted = source.select(*[F.col(b).alias(f"__{b}") for _, b in pairs]).distinct()
-    keys = [(a, f"__{b}") for a, b in pairs]
+    wanted = distinct_keys(source, [b for _, b in pairs])
     # Reduce the target to the keys the source names before anything of it is shuffled.
-    present = (target.select(*[a for a, _ in pairs]).alias("t")
-               .join(wanted.alias("w"), _same_key(keys, "t", "w", null_safe), "left_semi"))
+    target_keys = [a for a, _ in pairs]
+    present = distinct_keys(target.select(*target_keys).alias("t").join(
+        wanted.alias("w"), _same_key(pairs, "t", "w", null_safe), "left_semi"), target_keys)
     new = source.alias("s").join(
         present.alias("t"), _same_key([(b, a) for a, b in pairs], "s", "t", null_safe),
         "left_anti")

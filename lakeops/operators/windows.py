@@ -252,13 +252,14 @@ def rank_within(df: DataFrame, keys: Sequence[str], by: str, rank: str = "rnk",
         dense: ("row_number",), "__upto": ("running_sum", "__n"), "__all": ("total", "__n"),
     }, hot_rows)
     first = F.col("__upto") - F.col("__n") + 1
+    # One struct as join key: equal NULLs meet, and the join cannot settle for a partitioning by
+    # group alone, which few groups would make uneven.
+    place = F.struct(*keys, value).alias("__v")
     ranks = ranked.select(
-        *[F.col(c).alias(f"__r_{c}") for c in (*keys, value)],
-        first.cast("int").alias(rank), F.col(dense),
+        place, first.cast("int").alias(rank), F.col(dense),
         F.when(F.col("__all") > 1, (first - 1) / (F.col("__all") - 1))
         .otherwise(F.lit(0.0)).alias(percent))
-    match = [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in (*keys, value)]
-    return df.join(ranks, match, "inner").drop(*[f"__r_{c}" for c in (*keys, value)])
+    return df.select("*", place).join(ranks, "__v").select(*df.columns, rank, dense, percent)
 
 
 def top_k_any(df: DataFrame, by: Sequence[str], rankings: Mapping[str, Sequence[str]], k: int,

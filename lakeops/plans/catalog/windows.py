@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from lakeops.operators.ordering import top_k
-from lakeops.operators.windows import ordered_features, rank_within, top_k_any
+from lakeops.operators.windows import (
+    features_with, find_spread, ordered_features, rank_within, top_k_any)
 from lakeops.plans import domain as d
 from lakeops.plans.domain import check
 from lakeops.plans.registry import query
@@ -15,11 +16,15 @@ SPLIT_ROWS = 2_000
 
 def spend_timeline(orders):
     """Every order of a customer with its number, running and total spend, and the one before."""
-    distinct = orders.select("customer_id", "order_id", "order_ts", "amount").distinct()
-    return ordered_features(distinct, ["customer_id"], ["order_ts", "order_id"], {
+    keys, order_by = ["customer_id"], ["order_ts", "order_id"]
+    spread = find_spread(orders, keys, order_by)
+    rows = orders.select("customer_id", "order_id", "order_ts", "amount")
+    if spread is None:
+        # No customer is large: removing repeats and the windows share one shuffle.
+        rows = rows.repartition(*keys)
+    return features_with(rows.distinct(), keys, order_by, {
         "running_spend": ("running_sum", "amount"), "total_spend": ("total", "amount"),
-        "order_seq": ("row_number",), "prev_amount": ("lag", "amount")},
-        measure=orders.select("customer_id", "order_ts", "order_id"))
+        "order_seq": ("row_number",), "prev_amount": ("lag", "amount")}, spread, stage=True)
 
 
 @query("spend_timeline", "W1", "W2", "W3", "W4", "W6", "W7", sql=check("""

@@ -76,3 +76,12 @@ def test_top_k_is_limited_before_the_shuffle(spark):
 def test_small_reference_tables_are_broadcast(spark):
     plan = queries()["join_broadcast"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "AdaptiveSparkPlan" in plan
+
+
+def test_spend_timeline_needs_one_shuffle(spark):
+    assert formatted(spark, "spend_timeline").count("hashpartitioning") == 1
+
+
+def test_a_merge_is_not_a_full_outer_join(spark):
+    plan = formatted(spark, "merge_latest_of_batch")
+    assert "SortMergeJoin FullOuter" not in plan and "WindowGroupLimit" in plan

@@ -84,3 +84,13 @@ def test_top_k_any(skewed, rows, hot_rows):
             .where("a <= 5 OR b <= 5"))
     got = top_k_any(skewed, ["k"], {"a": ["-amount", "id"], "b": ["ts", "id"]}, 5, hot_rows)
     assert rows(got) == rows(want)
+
+
+def test_ranks_are_joined_by_value_not_by_group(spark, skewed):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = rank_within(skewed, ["k"], "-amount")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = plan[plan.index("SortMergeJoin"):]
+    assert join.count("Exchange hashpartitioning(__v") == 2
