@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.operators.ordering import key_hash
+from lakeops.operators.joins import key_match
 
 
 def average(col: str) -> Column:
@@ -44,13 +44,13 @@ def distinct_values(df: DataFrame, keys: Sequence[str], col: str | Column, name:
     """
     value = F.col(col) if isinstance(col, str) else col
     pairs = df.select(*keys, value.alias("__v")).where("__v IS NOT NULL").distinct()
-    sizes = (pairs.groupBy(*keys, key_hash(keys)).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = (pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
              .where(F.col("__n") > chunk_values)
-             .select(*[F.col(k).alias(f"__{k}") for k in keys],
-                     F.ceil(F.col("__n") / chunk_values).alias("__chunks")))
-    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+             .select(*keys, F.ceil(F.col("__n") / chunk_values).alias("__chunks")))
+    same = key_match(pairs, sizes, [(k, k) for k in keys], null_safe=True)
+    sized = pairs.alias("t").join(sizes.alias("s"), same, "left")
     chunk = F.pmod(F.xxhash64("__v"), F.coalesce("__chunks", F.lit(1)))
-    return (pairs.join(sizes, same, "left").select(*keys, chunk.cast("int").alias("chunk"), "__v")
+    return (sized.select(*[f"t.{k}" for k in keys], chunk.cast("int").alias("chunk"), "__v")
             .groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list("__v")).alias(name)))
 
 

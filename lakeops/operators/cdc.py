@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.operators.clean import reject_null
+from lakeops.operators.joins import key_match
 from lakeops.operators.merge import (
     matched_delete,
     matched_update,
     merge_into,
     not_matched_insert,
 )
-from lakeops.operators.ordering import distinct_keys, latest_per_key
+from lakeops.operators.ordering import latest_per_key
 from lakeops.operators.windows import HOT_ROWS, Spread, features_with, find_spread
 
 FEED_COLUMNS = ("_change_type", "_commit_version", "_commit_timestamp")
@@ -115,10 +116,12 @@ def refresh_scd2(history: DataFrame, log: DataFrame, events: DataFrame, keys: Se
     ``log`` is the state that already contains ``events``; the history of all other keys is
     passed through.
     """
-    touched = distinct_keys(events, keys)
-    rebuilt = scd2_history(log.join(touched, list(keys), "left_semi"), keys, coalesce_noop,
-                           hot_rows)
-    return history.join(touched, list(keys), "left_anti").unionByName(rebuilt)
+    touched = events.select(*keys).distinct()
+    pairs = [(k, k) for k in keys]
+    old = log.alias("t").join(touched.alias("s"), key_match(log, touched, pairs), "left_semi")
+    kept = history.alias("t").join(
+        touched.alias("s"), key_match(history, touched, pairs), "left_anti")
+    return kept.unionByName(scd2_history(old, keys, coalesce_noop, hot_rows))
 
 
 def current_rows(history: DataFrame) -> DataFrame:

@@ -3,11 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def key_match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
+              aliases: tuple[str, str] = ("t", "s"), null_safe: bool = False) -> Column:
+    """Join condition of two aliased frames on (left, right) key columns.
+
+    Equality of the key hashes is part of it. It changes no result, but a side that was grouped
+    by the key before cannot offer its partitioning to the join: Spark shuffles both sides for
+    it, and AQE, which only splits partitions that come straight from a shuffle, can split the
+    hot keys of the other side. The price is one more shuffle of the grouped side.
+    """
+    a, b = aliases
+    tests, same_type = [], True
+    for x, y in pairs:
+        p, q = F.col(f"{a}.{x}"), F.col(f"{b}.{y}")
+        tests.append(p.eqNullSafe(q) if null_safe else p == q)
+        same_type &= left.schema[x].dataType == right.schema[y].dataType
+    if same_type:  # equal values of different types have different hashes
+        tests.append(F.xxhash64(*[F.col(f"{a}.{x}") for x, _ in pairs])
+                     == F.xxhash64(*[F.col(f"{b}.{y}") for _, y in pairs]))
+    return reduce(lambda m, n: m & n, tests)
+
+
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], buckets: int = 16,
                 row_key: Sequence[str] | None = None, how: str = "inner") -> DataFrame:
     """Equi-join that spreads every key of ``big`` over ``buckets`` partitions.

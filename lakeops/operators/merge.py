@@ -9,12 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.operators.ordering import distinct_keys, key_hash
+from lakeops.operators.joins import key_match
 
 AMBIGUOUS = "MERGE: several source rows match one target row"
 
@@ -95,14 +94,6 @@ def _check_star(target: DataFrame, source: DataFrame, clauses: Sequence[Clause],
         raise ValueError(f"source lacks {missing}: name the values or use evolve=True")
 
 
-def _same_key(pairs, left: str, right: str, null_safe: bool) -> Column:
-    tests = []
-    for a, b in pairs:
-        x, y = F.col(f"{left}.{a}"), F.col(f"{right}.{b}")
-        tests.append(x.eqNullSafe(y) if null_safe else x == y)
-    return reduce(lambda p, q: p & q, tests)
-
-
 def _chosen(clauses: Sequence[Clause], offset: int) -> Column | None:
     """Index of the first clause that applies, NULL when none does."""
     choice = None
@@ -117,11 +108,11 @@ def _updated_target(target, source, pairs, by_kind, columns, types, null_safe) -
     source_keys = [b for _, b in pairs]
     payload = [c for c in source.columns if c not in source_keys]
     # Equal source keys combine in the map tasks; a count above one can only fail or go unused.
-    unique = (source.groupBy(*source_keys, key_hash(source_keys))
+    unique = (source.groupBy(*source_keys)
               .agg(*[F.any_value(c).alias(c) for c in payload], F.count(F.lit(1)).alias("__n"))
               .select(*source.columns, "__n"))
     joined = target.alias("t").join(
-        unique.alias("s"), _same_key(pairs, "t", "s", null_safe), "left")
+        unique.alias("s"), key_match(target, unique, pairs, null_safe=null_safe), "left")
     is_match = F.col("s.__n").isNotNull()
     if matched and not (len(matched) == 1 and matched[0].action == "delete"
                         and matched[0].condition is None):
@@ -156,14 +147,15 @@ def _update_value(clause: Clause, name: str, source: DataFrame) -> Column | None
 
 
 def _inserted(target, source, pairs, clauses, columns, types, null_safe) -> DataFrame:
-    wanted = distinct_keys(source, [b for _, b in pairs])
+    target_keys, source_keys = [a for a, _ in pairs], [b for _, b in pairs]
     # Reduce the target to the keys the source names before anything of it is shuffled.
-    target_keys = [a for a, _ in pairs]
-    present = distinct_keys(target.select(*target_keys).alias("t").join(
-        wanted.alias("w"), _same_key(pairs, "t", "w", null_safe), "left_semi"), target_keys)
+    wanted, known = source.select(*source_keys).distinct(), target.select(*target_keys)
+    present = known.alias("t").join(
+        wanted.alias("s"), key_match(known, wanted, pairs, null_safe=null_safe), "left_semi")
+    back = [(b, a) for a, b in pairs]
     new = source.alias("s").join(
-        present.alias("t"), _same_key([(b, a) for a, b in pairs], "s", "t", null_safe),
-        "left_anti")
+        present.distinct().alias("t"),
+        key_match(source, present, back, ("s", "t"), null_safe), "left_anti")
     new = new.withColumn("__clause", _chosen(clauses, 0)).where(F.col("__clause").isNotNull())
     out = []
     for name in columns:

@@ -28,18 +28,3 @@ def top_k(df: DataFrame, by: Sequence[str], order_by: Sequence[str], k: int,
     w = Window.partitionBy(*by).orderBy(*order_columns(order_by))
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
 
-
-def key_hash(keys: Sequence[str]) -> Column:
-    """A hash of the key, as an extra grouping column.
-
-    Grouping by key and hash gives the same groups as grouping by key, but leaves a partitioning
-    that a join on the key cannot reuse. Spark then shuffles both sides for the join, and AQE,
-    which only splits partitions that come straight from a shuffle, can split hot keys of the
-    other side. The grouped side is shuffled once more, after it has been reduced.
-    """
-    return F.xxhash64(*keys).alias("__g")
-
-
-def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The distinct keys of ``df``, to be joined to a side that may have hot keys."""
-    return df.select(*keys, key_hash(keys)).distinct().drop("__g")
