@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.llm.common import table
 from lakeops.llm.langid import identify_language
+from lakeops.llm.pii import personal_data_report
 from lakeops.llm.quality_gam import classify_quality
+from lakeops.llm.simhash import near_copies
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -24,11 +26,21 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_pii")
+def _(spark, sf):
+    return personal_data_report(table(spark, sf, "documents"))
+
+
 @query("op2_quality")
 def _(spark, sf):
     return classify_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query("op8_simhash")
+def _(spark, sf):
+    return near_copies(table(spark, sf, "documents"))
+
+
 @query("op9_language")
 def _(spark, sf):
     return identify_language(table(spark, sf, "documents"))
