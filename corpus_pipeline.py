@@ -8,11 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.llm.common import table
 from lakeops.llm.langid import keep_identified
+from lakeops.llm.packing import pack
+from lakeops.llm.pii import sanitise
 from lakeops.llm.quality_gam import keep_good
+from lakeops.llm.simhash import keep_one_of_each
 from lakeops.session import settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -28,9 +32,27 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return keep_identified(docs)
 
 
+def distinct_enough(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return keep_one_of_each(docs)
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data, and terms that give it away, generalised or removed."""
+    return sanitise(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality", good_quality),
     ("language", known_language),
+    ("near_duplicates", distinct_enough),
+    ("personal_data", without_personal_data),
+    ("packing", packed),
 ]
 
 # Trained models, fingerprints and token ids are not SQL; tests compare with a brute-force version.

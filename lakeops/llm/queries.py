@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.llm.common import table
 from lakeops.llm.langid import identify_language
+from lakeops.llm.packing import pack
 from lakeops.llm.pii import personal_data_report
 from lakeops.llm.quality_gam import classify_quality
 from lakeops.llm.simhash import near_copies
@@ -36,6 +38,11 @@ def _(spark, sf):
     return classify_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query("op4_packing")
+def _(spark, sf):
+    return pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query("op8_simhash")
 def _(spark, sf):
     return near_copies(table(spark, sf, "documents"))
