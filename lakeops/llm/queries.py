@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeops.llm.byte_bpe import encode_documents
 from lakeops.llm.common import table
 from lakeops.llm.langid import identify_language
 from lakeops.llm.packing import pack
@@ -38,6 +39,12 @@ def _(spark, sf):
     return classify_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query("op3_byte_bpe")
+def _(spark, sf):
+    return encode_documents(table(spark, sf, "documents"),
+                            public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 @query("op4_packing")
 def _(spark, sf):
     return pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
