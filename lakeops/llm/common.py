@@ -57,3 +57,16 @@ def running_starts(sizes: Column, chunk: int = 256) -> Column:
     totals = F.transform(cut, lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda a, v: a + v))
     starts = prefix(totals, F.lit(0).cast("bigint"))
     return F.flatten(F.zip_with(cut, starts, prefix))
+
+
+def range_of(at: Column, cuts: list, kind: str, step: int = 32) -> Column:
+    """How many of the sorted ``cuts`` are not above a value, in two steps of few comparisons each."""
+    if not cuts:
+        return F.lit(0)
+
+    def literal(values: list) -> Column:
+        return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+    block = F.size(F.filter(literal(cuts[::step]), lambda c: c <= at))
+    fine = F.filter(F.slice(literal(cuts), (block - 1) * step + 1, step), lambda c: c <= at)
+    return F.when(block > 0, (block - 1) * step + F.size(fine)).otherwise(0)

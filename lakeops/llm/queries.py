@@ -10,10 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from lakeops.llm.byte_bpe import encode_documents
 from lakeops.llm.common import table
 from lakeops.llm.langid import identify_language
+from lakeops.llm.licenses import scan_licenses
+from lakeops.llm.merkle import compare_with_next
 from lakeops.llm.packing import pack
 from lakeops.llm.pii import personal_data_report
 from lakeops.llm.quality_gam import classify_quality
+from lakeops.llm.rules import RULES, STRICT, BASE, judge
 from lakeops.llm.simhash import near_copies
+from lakeops.llm.urls import filter_urls, rules_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -50,6 +54,63 @@ def _(spark, sf):
     return pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op5_licenses")
+def _(spark, sf):
+    return scan_licenses(table(spark, sf, "documents")).drop("notices")
+
+
+@query("op6_rules", sql=f"""
+    WITH texts AS (SELECT doc_id, coalesce(text, '') AS t,
+                          regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    windows AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+                FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS i FROM texts)),
+    again AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+    covered AS (SELECT doc_id, count(DISTINCT p) AS n
+                FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY doc_id),
+    lines AS (SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT l) AS dup
+              FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM texts)
+              WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+    measured AS (
+        SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+               length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+               coalesce(lines.dup, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+               coalesce(lines.n, 0) AS n_lines
+        FROM texts LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
+    ledger AS (SELECT *, {" + ".join(f"CASE WHEN {r.fails} THEN {1 << i} ELSE 0 END"
+                                     for i, r in enumerate(RULES))} AS failed FROM measured)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+           (failed & {BASE.mask()}) <> 0 AS base_failed,
+           (failed & {BASE.mask() | STRICT.mask()}) = 0 AS kept, CAST(failed AS BIGINT) AS failed
+    FROM ledger""")
+def _(spark, sf):
+    return judge(table(spark, sf, "documents"))
+
+
+# The rules of the contract, as (action, host and path).
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+             ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+@query("op7_urls", sql=f"""
+    WITH rules(action, rule) AS (VALUES {", ".join(map(str, URL_RULES))}),
+    cut AS (SELECT action, rule, split_part(rule, '/', 1) AS rule_host,
+                   substr(rule, strpos(rule, '/')) AS rule_path FROM rules),
+    parts AS (SELECT page_id, translate(regexp_extract(u, '^([^/?#]*)', 1),
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                     regexp_extract(u, '^[^/?#]*([^?#]*)', 1) AS path
+              FROM (SELECT page_id, CASE WHEN strpos(url, '://') > 0
+                                         THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS u FROM pages)),
+    fits AS (SELECT page_id, rule, action FROM parts JOIN cut
+             ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+             QUALIFY row_number() OVER (PARTITION BY page_id
+                                        ORDER BY length(rule) DESC, length(rule_host) DESC, rule) = 1)
+    SELECT page_id, host, path, rule,
+           coalesce(action, CASE WHEN host <> '' THEN 'allow' ELSE 'block' END) AS verdict
+    FROM parts LEFT JOIN fits USING (page_id)""")
+def _(spark, sf):
+    return filter_urls(table(spark, sf, "pages"), rules_of(spark, URL_RULES))
+
+
 @query("op8_simhash")
 def _(spark, sf):
     return near_copies(table(spark, sf, "documents"))
@@ -58,3 +119,8 @@ def _(spark, sf):
 @query("op9_language")
 def _(spark, sf):
     return identify_language(table(spark, sf, "documents"))
+
+
+@query("op10_merkle")
+def _(spark, sf):
+    return compare_with_next(table(spark, sf, "documents"))

@@ -23,9 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import lower_ascii
+from lakeops.llm.common import lower_ascii, range_of
 
-STEP = 32  # borders are searched in two steps of about so many comparisons
 RULE = "struct<size:int,host_size:int,rule:string,path:string,action:string>"
 
 
@@ -81,17 +80,6 @@ def borders(keyed: DataFrame, ranges: int, per_range: int = 16) -> list[str]:
     return sorted({sample[len(sample) * i // ranges] for i in range(1, ranges)}) if sample else []
 
 
-def range_of(at: Column, cuts: list[str]) -> Column:
-    """How many cuts are not above a key."""
-    if not cuts:
-        return F.lit(0)
-    all_cuts = F.split(F.lit(",".join(cuts)), ",")
-    firsts = F.split(F.lit(",".join(cuts[::STEP])), ",")
-    block = F.size(F.filter(firsts, lambda c: c <= at))
-    fine = F.filter(F.slice(all_cuts, (block - 1) * STEP + 1, STEP), lambda c: c <= at)
-    return F.when(block > 0, (block - 1) * STEP + F.size(fine)).otherwise(0)
-
-
 def sweep(keyed: DataFrame, stacks: DataFrame, ranges: int) -> DataFrame:
     """``keyed`` (page_id, host, path, key, at) with the stack of rules active at each row."""
     spark = keyed.sparkSession
@@ -116,10 +104,10 @@ def sweep(keyed: DataFrame, stacks: DataFrame, ranges: int) -> DataFrame:
                          *[F.lit(None).cast(t).alias(c) for c, t in columns])
 
     columns = [(c, t) for c, t in keyed.dtypes if c in ("page_id", "host", "path")]
-    rows = keyed.select(range_of(F.col("at"), cuts).cast("int").alias("part"), "at", F.lit(2).alias("kind"),
+    rows = keyed.select(range_of(F.col("at"), cuts, "string").cast("int").alias("part"), "at", F.lit(2).alias("kind"),
                         F.lit(None).cast(f"array<{RULE}>").alias("stack"), *[c for c, _ in columns])
     together = (events(opening, 0, F.col("part"))
-                .unionByName(events(begin.union(close), 1, range_of(F.col("at"), cuts)))
+                .unionByName(events(begin.union(close), 1, range_of(F.col("at"), cuts, "string")))
                 .unionByName(rows))
     order = Window.partitionBy("part").orderBy("at", "kind")
     return (together.withColumn("active", F.last("stack", ignorenulls=True).over(order))
