@@ -76,7 +76,7 @@ class KernelModel:
         return best, (e / e.sum(axis=1, keepdims=True))[np.arange(len(m)), best]
 
 
-def fit_kernel(x: np.ndarray, y: np.ndarray, languages: list[str], landmarks: int = 96,
+def fit_kernel(x: np.ndarray, y: np.ndarray, languages: list[str], landmarks: int = 160,
                ridge: float = 1e-2, seed: int = 7) -> KernelModel:
     """Nyström features on landmarks drawn from each language in turn, then ridge regression."""
     rng = np.random.default_rng(seed)
@@ -99,8 +99,8 @@ def fit_kernel(x: np.ndarray, y: np.ndarray, languages: list[str], landmarks: in
                        (centre - mean @ solved).astype(np.float32))
 
 
-def learn_languages(docs: DataFrame, per_language: int = 600, max_languages: int = 128,
-                    landmarks: int = 96) -> KernelModel | None:
+def learn_languages(docs: DataFrame, per_language: int = 800, max_languages: int = 128,
+                    landmarks: int = 160) -> KernelModel | None:
     """Fit on known languages outside the held-out quarter."""
     known = (docs.select("doc_id", "lang", "text")
              .filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"), 4, 2)))
@@ -168,12 +168,12 @@ def identify_language(docs: DataFrame, **limits: int) -> DataFrame:
                     F.col("_llm_guess.score").alias("score")))
 
 
-def accepted(guess: Column, min_score: float = 0.3) -> Column:
+def accepted(guess: Column, min_score: float = 0.2) -> Column:
     """Whether a prediction is kept: a language is named, and not by a bare majority of noise."""
     return (guess["lang"] != "und") & (guess["score"] >= min_score)
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.3, **limits: int) -> DataFrame:
+def keep_identified(docs: DataFrame, min_score: float = 0.2, **limits: int) -> DataFrame:
     """The rows of ``docs`` whose language is found, with all their columns."""
     predict = language_of(learn_languages(docs, **limits))
     return docs.filter(accepted(predict("text"), min_score))
