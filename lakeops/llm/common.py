@@ -27,6 +27,17 @@ def row_key(doc_id: Column, text: Column) -> Column:
                     F.xxhash64(whole).alias("h"), F.length(whole).alias("n"))
 
 
+def hash_sample(df: DataFrame, rows: int, *by: str) -> DataFrame:
+    """``rows`` rows at most, chosen by a hash of the columns ``by``; all of a smaller table.
+
+    A share of the hashes is taken first, so that no task hands on many more rows than it should.
+    """
+    scale = 1 << 30
+    share = min(scale, -(-scale * rows * 11 // (10 * max(df.count(), 1))) + scale // (1 << 20))
+    drawn = F.xxhash64(*by, F.lit("sample"))
+    return df.where(F.pmod(drawn, F.lit(scale)) < share).orderBy(drawn, *by).limit(rows)
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, A_TO_Z, a_to_z)
 

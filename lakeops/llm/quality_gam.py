@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import held_out, in_slices
+from lakeops.llm.common import hash_sample, held_out, in_slices
 
 FEATURES = ("log_chars", "log_words", "word_length", "upper", "digits", "symbols", "exclamations",
             "bars", "marks", "spaces", "wide", "entropy", "distinct_words", "root_distinct",
@@ -178,9 +178,9 @@ def learn_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000) ->
     """Fit on the labelled rows outside the held-out third, ``max_rows`` at most (by id hash)."""
     known = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
              .filter(~held_out(F.col("doc_id"), 3, 1))
-             .groupBy("doc_id").agg(F.round(F.avg("quality")).cast("int").alias("label"))
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("label", "text")
+             .groupBy("doc_id").agg(F.round(F.avg("quality")).cast("int").alias("label")))
+    chosen = hash_sample(known, max_rows, "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text")
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in in_slices(batches):

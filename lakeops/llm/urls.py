@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import lower_ascii, range_of
+from lakeops.llm.common import hash_sample, lower_ascii, range_of
 
 RULE = "struct<size:int,host_size:int,rule:string,path:string,action:string>"
 
@@ -70,12 +70,10 @@ def _endings(key: Column) -> Column:
 
 
 def borders(keyed: DataFrame, ranges: int, per_range: int = 16) -> list[str]:
-    """Keys that cut the table into about even ranges, from the ``ranges * per_range`` rows with the
-    smallest hashes."""
+    """Keys that cut the table into about even ranges, from ``ranges * per_range`` rows at most."""
     if ranges < 2:
         return []
-    drawn = (keyed.select("at", F.xxhash64("at", F.lit("border")).alias("draw"))
-             .orderBy("draw", "at").limit(ranges * per_range).select("at").collect())
+    drawn = hash_sample(keyed.select("at"), ranges * per_range, "at").collect()
     sample = sorted(r["at"] for r in drawn)
     return sorted({sample[len(sample) * i // ranges] for i in range(1, ranges)}) if sample else []
 
