@@ -16,7 +16,7 @@ from lakeops.operators.merge import (
     not_matched_insert,
 )
 from lakeops.operators.ordering import latest_per_key
-from lakeops.operators.windows import HOT_ROWS, Spread, features_with, find_spread
+from lakeops.operators.windows import ordered_features
 
 FEED_COLUMNS = ("_change_type", "_commit_version", "_commit_timestamp")
 
@@ -35,8 +35,13 @@ def _with_state(log: DataFrame, state: DataFrame | None) -> DataFrame:
 
 
 def _payload_hash(log: DataFrame, keys: Sequence[str]) -> Column:
-    rest = [c for c in log.columns if c not in (*keys, "__seq", "__deleted")]
-    return F.xxhash64(*[F.col(c) for c in rest]) if rest else F.lit(0)
+    """A hash that tells (1, NULL) from (NULL, 1): hash functions pass over NULLs."""
+    parts = [F.lit(0)]
+    for name, kind in log.dtypes:
+        if name not in (*keys, "__seq", "__deleted"):
+            col = F.col(f"`{name}`")
+            parts += [col.isNull(), F.to_json(F.struct(col)) if "map<" in kind else col]
+    return F.xxhash64(*parts)
 
 
 def _one_per(log: DataFrame, group: Sequence[str], order: Sequence[str],
@@ -69,48 +74,34 @@ def scd2_log(events: DataFrame, keys: Sequence[str], sequence_by: str, delete_wh
 
 
 def scd2_history(log: DataFrame, keys: Sequence[str], coalesce_noop: bool = False,
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
+                 ranges: int | None = None) -> DataFrame:
     """Versions with ``__START_AT`` and ``__END_AT``; a delete only closes the open version.
 
-    ``coalesce_noop`` drops an event whose payload equals the one before it. Keys with very many
-    events are split along the sequence (:func:`lakeops.operators.windows.ordered_features`).
+    ``coalesce_noop`` drops an event whose payload equals the one before it. A key's events may lie
+    in several ranges of the sequence (:func:`lakeops.operators.windows.ordered_features`).
     """
-    return _history(log, keys, coalesce_noop, find_spread(log, keys, ["__seq"], hot_rows))
-
-
-def _history(log: DataFrame, keys: Sequence[str], coalesce_noop: bool,
-             spread: Spread | None) -> DataFrame:
     payload = [c for c in log.columns if c not in ("__seq", "__deleted")]
     steps = log
     if coalesce_noop:
         rest = [c for c in payload if c not in keys]
         steps = steps.withColumn("__row", F.struct(F.col("__deleted"), *rest))
-        steps = features_with(steps, keys, ["__seq"], {"__prev": ("lag", "__row")}, spread,
-                              stage=True)
+        steps = ordered_features(steps, keys, ["__seq"], {"__prev": ("lag", "__row")}, ranges)
         steps = steps.where(~F.col("__row").eqNullSafe(F.col("__prev"))).drop("__row", "__prev")
-    steps = features_with(steps, keys, ["__seq"], {"__END_AT": ("lead", "__seq")}, spread,
-                          stage=True)
+    steps = ordered_features(steps, keys, ["__seq"], {"__END_AT": ("lead", "__seq")}, ranges)
     return steps.where(~F.col("__deleted")).select(
         *payload, F.col("__seq").alias("__START_AT"), "__END_AT")
 
 
 def apply_scd2(events: DataFrame, keys: Sequence[str], sequence_by: str, delete_when: str,
                except_cols: Sequence[str] = (), state: DataFrame | None = None,
-               coalesce_noop: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+               coalesce_noop: bool = False, ranges: int | None = None) -> DataFrame:
     """History after ``events`` on top of an earlier :func:`scd2_log`."""
-    seen = events.select(*keys, F.col(sequence_by).alias("__seq"))
-    if state is not None:
-        seen = state.select(*keys, "__seq").unionByName(seen)
-    spread = find_spread(seen, keys, ["__seq"], hot_rows)
-    log = _with_state(_as_log(events, keys, sequence_by, delete_when, except_cols), state)
-    if spread is None:
-        # No key is large: removing repeats and building history share one shuffle by key.
-        log = log.repartition(*keys)
-    return _history(_one_per(log, [*keys, "__seq"], [], keys), keys, coalesce_noop, spread)
+    log = scd2_log(events, keys, sequence_by, delete_when, except_cols, state)
+    return scd2_history(log, keys, coalesce_noop, ranges)
 
 
 def refresh_scd2(history: DataFrame, log: DataFrame, events: DataFrame, keys: Sequence[str],
-                 coalesce_noop: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+                 coalesce_noop: bool = False, ranges: int | None = None) -> DataFrame:
     """History after a batch, rebuilding only the keys the batch touches.
 
     ``log`` is the state that already contains ``events``; the history of all other keys is
@@ -121,7 +112,7 @@ def refresh_scd2(history: DataFrame, log: DataFrame, events: DataFrame, keys: Se
     old = log.alias("t").join(touched.alias("s"), key_match(log, touched, pairs), "left_semi")
     kept = history.alias("t").join(
         touched.alias("s"), key_match(history, touched, pairs), "left_anti")
-    return kept.unionByName(scd2_history(old, keys, coalesce_noop, hot_rows))
+    return kept.unionByName(scd2_history(old, keys, coalesce_noop, ranges))
 
 
 def current_rows(history: DataFrame) -> DataFrame:

@@ -5,75 +5,93 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from lakeops.operators.windows import as_number, quantiles, with_range_number
+from lakeops.session import scratch_path
 from lakeops.sources.files import list_files
 
 
-def compact(spark: SparkSession, src: str, dst: str, target_bytes: int = 1 << 30,
-            where: str | None = None) -> int:
-    """Rewrite ``src`` into files of about ``target_bytes``; returns the planned file count.
+def compact(spark: SparkSession, path: str, target_bytes: int = 1 << 30, where: str | None = None,
+            partition_by: Sequence[str] = ()) -> int:
+    """Rewrite the files of a parquet table into files of about ``target_bytes``, in place; returns the
+    planned number of files.
 
-    The scan packs small files into tasks of the target size and each task writes one file, so
-    no row is shuffled.
+    A table without partitions is packed by the scan: small files share a task, each task writes one
+    file, and no row is shuffled. A partitioned table is rebalanced by its partition columns; with
+    ``where``, a condition over these columns, only the named partitions are rewritten and all other
+    files stay untouched. The new files are written to the shared folder first, so a job
+    that dies leaves the table as it was. Sizes are set in a session of its own.
     """
-    total = list_files(spark, src).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    if where and not partition_by:
+        raise ValueError("only whole partitions can be compacted apart: name the partition columns")
+    own = spark.newSession()
+    rows = spark.read.parquet(path)
+    chosen = rows.where(where) if where else rows
+    total = (chosen.select("_metadata.file_path", "_metadata.file_size").distinct()
+             .agg(F.coalesce(F.sum("file_size"), F.lit(0))).first()[0] if where else
+             list_files(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
     parts = max(1, math.ceil(total / target_bytes))
-    packing = {"spark.sql.files.maxPartitionBytes": str(target_bytes),
-               "spark.sql.files.minPartitionNum": str(parts),
-               "spark.sql.files.openCostInBytes": "0"}
-    before = {k: spark.conf.get(k, None) for k in packing}
-    try:
-        for key, value in packing.items():
-            spark.conf.set(key, value)
-        rows = spark.read.parquet(src)
-        (rows.where(where) if where else rows).write.mode("errorifexists").parquet(dst)
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    for key, value in {"spark.sql.files.maxPartitionBytes": target_bytes, "spark.sql.files.minPartitionNum": parts,
+                       "spark.sql.files.openCostInBytes": 0, "spark.sql.adaptive.enabled": "true",
+                       "spark.sql.adaptive.advisoryPartitionSizeInBytes": target_bytes,
+                       "spark.sql.sources.partitionOverwriteMode": "dynamic"}.items():
+        own.conf.set(key, str(value))
+    staged = scratch_path(spark, "compacted")
+    packed = own.read.parquet(path)
+    packed = packed.where(where) if where else packed
+    if partition_by:
+        packed = packed.hint("rebalance", *partition_by)
+    packed.write.partitionBy(*partition_by).parquet(staged)
+    # Staged files have about the target size: no task splits one, small ones still share a task.
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes * 4 // 3))
+    staged_rows = own.read.schema(rows.schema).parquet(staged)
+    staged_rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return parts
 
 
-def _sortable(df: DataFrame, name: str) -> DataFrame:
-    """Replace a string by an order-keeping number made of its first six bytes."""
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, T.BooleanType):
-        return df.withColumn(name, F.col(name).cast("int"))
-    if not isinstance(dtype, T.StringType):
-        return df
-    head = F.rpad(F.substring(F.to_binary(F.col(name), F.lit("utf-8")), 1, 6), 6, F.lit(b"\0"))
-    return df.withColumn(name, F.conv(F.hex(head), 16, 10).cast("double"))
+def cluster_by(df: DataFrame, keys: Sequence[str], n_files: int) -> DataFrame:
+    """Lay rows out along a Z-order curve over up to four columns of any orderable types.
 
-
-def cluster_by(df: DataFrame, keys: Sequence[str], n_files: int, bits: int = 8) -> DataFrame:
-    """Lay rows out along a Z-order curve over up to four columns.
-
-    Every key becomes a rank bucket (2**bits quantile ranges), the bits of the buckets are
-    interleaved, and rows are range-partitioned on the result. A hash of the row comes second in
-    the range key, so equal key values can still be spread over several files.
+    Every key becomes a rank: the number of its range among ranges that hold about as many rows
+    each. The more files, the more ranges; the bits of the ranks are interleaved, and rows are
+    range-partitioned on the result. One key needs no curve. Keys and a hash of the row come next
+    in the range key, so equal ranks stay sorted and equal values can be spread over several files.
     """
     if not 1 <= len(keys) <= 4:
         raise ValueError("one to four clustering keys")
-    curve = df.withColumns({f"__k{i}": F.col(k) for i, k in enumerate(keys)})
-    for i in range(len(keys)):
-        curve = _sortable(curve, f"__k{i}")
-    numbers = [as_number(curve, f"__k{i}") for i in range(len(keys))]
-    curve = curve.withColumns({f"__k{i}": n for i, n in enumerate(numbers)})
-    for i, cuts in enumerate(quantiles(curve, [F.col(f"__k{i}") for i in range(len(keys))],
-                                       2 ** bits)):
-        curve = with_range_number(curve, f"__k{i}", f"__r{i}", sorted(set(cuts)))
+    spread, columns = F.xxhash64(*df.columns), [F.col(f"`{k}`") for k in keys]
+    if len(keys) == 1:
+        return df.repartitionByRange(n_files, *columns, spread).sortWithinPartitions(*columns)
+    bits = max(4, math.ceil(math.log2(max(n_files, 2)) / len(keys)) + 2)
+    curve = df.withColumns({f"__r{i}": _rank(c, _cuts(df, k, 1 << bits))
+                            for i, (k, c) in enumerate(zip(keys, columns, strict=True))})
     z = F.lit(0).cast("bigint")
     for bit in range(bits):
         for i in range(len(keys)):
             one = F.shiftright(F.col(f"__r{i}").cast("bigint"), bit).bitwiseAND(F.lit(1))
             z = z + F.shiftleft(one, bit * len(keys) + i)
-    curve = curve.withColumn("__z", z)
-    spread = F.xxhash64(*df.columns)
-    return (curve.repartitionByRange(n_files, F.col("__z"), spread)
-            .sortWithinPartitions("__z").select(*df.columns))
+    return (curve.withColumn("__z", z).repartitionByRange(n_files, F.col("__z"), *columns, spread)
+            .sortWithinPartitions("__z", *columns).select(*df.columns))
+
+
+def _cuts(df: DataFrame, key: str, ranges: int) -> list:
+    """The smallest value of each of about ``ranges`` even ranges of a column, as literals."""
+    value = F.col(f"`{key}`")
+    firsts = (df.where(value.isNotNull()).select(value.alias("v")).repartitionByRange(ranges, "v")
+              .groupBy(F.spark_partition_id().alias("p")).agg(F.min("v").alias("v"))
+              .orderBy("v").select("v").collect())
+    return [r["v"] for r in firsts]
+
+
+def _rank(value: Column, cuts: list, step: int = 64) -> Column:
+    """How many cuts aren't above a value, found in two steps; 0 for NULL."""
+    if not cuts:
+        return F.lit(0)
+    block = F.size(F.filter(F.array(*[F.lit(c) for c in cuts[::step]]), lambda c: c <= value))
+    fine = F.filter(F.slice(F.array(*[F.lit(c) for c in cuts]), (block - 1) * step + 1, step), lambda c: c <= value)
+    return F.when(value.isNull() | (block <= 0), 0).otherwise(
+        F.least((block - 1) * step + F.size(fine), F.lit(len(cuts) - 1)))
 
 
 def file_ranges(df: DataFrame, cols: Sequence[str]) -> DataFrame:

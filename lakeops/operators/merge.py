@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -106,17 +107,17 @@ def _chosen(clauses: Sequence[Clause], offset: int) -> Column | None:
 def _updated_target(target, source, pairs, by_kind, columns, types, null_safe) -> DataFrame:
     matched, by_source = by_kind["matched"], by_kind["by_source"]
     source_keys = [b for _, b in pairs]
-    payload = [c for c in source.columns if c not in source_keys]
-    # Equal source keys combine in the map tasks; a count above one can only fail or go unused.
-    unique = (source.groupBy(*source_keys)
-              .agg(*[F.any_value(c).alias(c) for c in payload], F.count(F.lit(1)).alias("__n"))
-              .select(*source.columns, "__n"))
+    only_delete = len(matched) == 1 and matched[0].action == "delete" and matched[0].condition is None
+    rows = source.withColumn("__found", F.lit(True))
     joined = target.alias("t").join(
-        unique.alias("s"), key_match(target, unique, pairs, null_safe=null_safe), "left")
-    is_match = F.col("s.__n").isNotNull()
-    if matched and not (len(matched) == 1 and matched[0].action == "delete"
-                        and matched[0].condition is None):
-        several = F.col("s.__n") > 1
+        rows.alias("s"), key_match(target, rows, pairs, null_safe=null_safe), "left")
+    is_match = F.col("s.__found").isNotNull()
+    if matched and not only_delete:
+        # Keys alone are counted (a hash aggregate); keys that occur twice are few, mostly none.
+        twice = (source.groupBy(*source_keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1"))
+        joined = joined.join(twice.alias("d"), reduce(
+            lambda m, n: m & n, [F.col(f"t.{a}").eqNullSafe(F.col(f"d.{b}")) for a, b in pairs]), "left")
+        several = is_match & F.col("d.__n").isNotNull()
         joined = joined.where(F.when(several, F.raise_error(F.lit(AMBIGUOUS)).cast("boolean"))
                               .otherwise(F.lit(True)))
     choice = (F.when(is_match, _chosen(matched, 0))

@@ -26,8 +26,9 @@ def write_table(df: DataFrame, path: str, mode: str = "replace",
 
     ``overwrite_strict`` and ``append`` refuse other columns or types than the table has
     (``overwrite_schema`` lifts that for an overwrite). ``constraints`` are conditions that must
-    not be FALSE; one violating row stops the write before the table changes: rows are checked
-    while they are staged in the shared folder.
+    not be FALSE; one violating row stops the write before the table changes. An append that
+    fails commits nothing; before an overwrite the rows are checked while they are staged in the
+    shared folder.
     """
     spark = df.sparkSession
     if mode not in ("replace", "overwrite_strict", "append"):
@@ -44,7 +45,8 @@ def write_table(df: DataFrame, path: str, mode: str = "replace",
             broken = ~F.coalesce(F.expr(rule), F.lit(True))
             df = df.where(F.when(broken, F.raise_error(message).cast("boolean"))
                           .otherwise(F.lit(True)))
-        df = settle(df, "checked")
+        if mode != "append":
+            df = settle(df, "checked")
     writer = df.write.mode("append" if mode == "append" else "overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -1,280 +1,242 @@
 """Ordered window features that stay parallel when one group holds a large share of the rows.
 
-A plain window puts every row of a group into one task. Here a first pass over the key column
-looks for groups that are too large; without any, the result is the plain Catalyst window. The
-rows of large groups are cut into consecutive ranges of the order columns, the window runs inside
-each range, and a small table of range totals carries the running values across the cuts.
+A plain window puts every row of a group into one task. Here the rows are range-partitioned by the
+group and order columns, so a large group lies in several consecutive ranges. The window runs inside
+each range, and only the groups that reach over a border (two for each range at most) need
+totals carried from range to range: a table of at most two rows per range, which is broadcast.
+Any orderable types and directions work, and every group takes the same path, whatever its size.
 """
 
 from __future__ import annotations
 
-import math
-from bisect import bisect_left
-from collections import Counter
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from lakeops.operators.ordering import order_columns
+from lakeops.operators.ordering import order_columns, top_k
 from lakeops.session import settle
 
-HOT_ROWS = 1_000_000
-MAX_CUTS = 2048
-_SKETCH_GROUPS = 64
-
-
-@dataclass(frozen=True)
-class Spread:
-    """Hashes of the large groups and the cut points of the order columns."""
-
-    hot: tuple[int, ...]
-    cuts: tuple[float, ...]
-    heavy: tuple[float, ...]
-    tie_cuts: tuple[float, ...]
-
 
 def _bare(order_by: Sequence[str]) -> list[str]:
     return [c.lstrip("-") for c in order_by]
 
 
-def as_number(df: DataFrame, name: str) -> Column:
-    """A non-decreasing double image of an orderable column; NULL sorts lowest."""
-    dtype = df.schema[name].dataType
-    col = F.col(name)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        col = F.unix_micros(col.cast("timestamp"))
-    elif isinstance(dtype, T.DateType):
-        col = F.unix_date(col)
-    elif not isinstance(dtype, T.NumericType):
-        raise ValueError(f"{name}: cut points need a number, a date or a timestamp")
-    return F.coalesce(col.cast("double"), F.lit(float("-inf")))
+def in_ranges(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
+              ranges: int | None = None) -> DataFrame:
+    """``df`` with ``__p``: numbers of consecutive ranges of ``keys`` and ``order_by``."""
+    by = [*[F.col(k).asc() for k in keys], *order_columns(order_by)]
+    spread = df.repartitionByRange(ranges, *by) if ranges else df.repartitionByRange(*by)
+    return spread.withColumn("__p", F.spark_partition_id())
 
 
-def large_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS,
-                 max_groups: int = MAX_CUTS) -> dict[int, int]:
-    """Hash -> approximate row count of every group above ``hot_rows`` (and 1/max_groups of all).
-
-    Frequent-item sketches over disjoint slices of the hash space: partial sketches combine in
-    the map tasks, and the result is at most 64 x 128 entries whatever the data size.
-    """
-    hashed = df.select(F.xxhash64(*keys).alias("h"))
-    rows = (hashed.groupBy(F.pmod("h", F.lit(_SKETCH_GROUPS)).alias("g"))
-            .agg(F.expr("approx_top_k(h, 128, 1024)").alias("top"),
-                 F.count(F.lit(1)).alias("n")).collect())
-    limit = max(hot_rows, sum(r["n"] for r in rows) / max_groups)
-    return {i["item"]: i["count"] for r in rows for i in r["top"] if i["count"] > limit}
-
-
-def quantiles(df: DataFrame, cols: Sequence[Column], parts: int) -> list[list[float]]:
-    """Approximate cut points of each column into ``parts`` ranges; one pass for all columns."""
-    probs = [i / parts for i in range(1, parts)]
-    names = [f"x{i}" for i in range(len(cols))]
-    rows = df.select(*[c.alias(n) for c, n in zip(cols, names, strict=True)])
-    found = rows.approxQuantile(names, probs, 1 / (4 * parts))
-    return [[x for x in column if math.isfinite(x)] for column in found]
-
-
-def find_spread(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
-                hot_rows: int = HOT_ROWS) -> Spread | None:
-    """Measure ``df``; None when no group is large enough to split."""
-    hot = large_groups(df, keys, hot_rows)
-    if not hot:
-        return None
-    parts = min(MAX_CUTS, 2 * math.ceil(sum(hot.values()) / hot_rows))
-    rows = df.where(F.xxhash64(*keys).isin(list(hot)))
-    names = _bare(order_by)
-    lead = as_number(df, names[0])
-    found = quantiles(rows, [lead], parts)[0]
-    heavy = sorted(x for x, n in Counter(found).items() if n > 1)
-    tie_cuts: list[float] = []
-    if heavy and len(names) > 1:
-        tied = rows.where(lead.isin(heavy))
-        tie_cuts = sorted(set(quantiles(tied, [as_number(df, names[1])], parts)[0]))
-    cuts = sorted(set(found) | {math.nextafter(x, math.inf) for x in heavy})
-    return Spread(tuple(sorted(hot)), tuple(cuts), tuple(heavy), tuple(tie_cuts))
-
-
-def with_range_number(df: DataFrame, col: str, out: str, cuts: Sequence[float]) -> DataFrame:
-    """Add the number of cut points at or below ``col`` (a binary search in the JVM)."""
-    if not cuts:
-        return df.withColumn(out, F.lit(0))
-    splits = [-math.inf, *cuts, math.inf]
-    ranged = Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep")
-    return ranged.transform(df).withColumn(out, F.col(out).cast("int"))
-
-
-def _with_ranges(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
-                 spread: Spread) -> DataFrame:
-    names = _bare(order_by)
-    hot = F.xxhash64(*keys).isin(list(spread.hot))
-    df = (df.withColumn("__k", F.struct(*keys)).withColumn("__hot", hot)
-          .withColumn("__x", as_number(df, names[0])))
-    df = with_range_number(df, "__x", "__m", spread.cuts)
-    main = F.when(F.col("__hot"), F.col("__m")).otherwise(F.lit(0))
-    df = df.withColumn("__m", -main if order_by[0].startswith("-") else main)
-    # A range that holds one single value of the leading column is cut again by the tiebreak.
-    tied = [bisect_left(spread.cuts, h) + 1 for h in spread.heavy]
-    df = df.withColumn("__tied", F.col("__hot") & F.abs("__m").isin(tied) if tied else F.lit(False))
-    if not spread.tie_cuts:
-        return df.withColumn("__s", F.lit(0))
-    df = df.withColumn("__x", as_number(df, names[1]))
-    df = with_range_number(df, "__x", "__s", spread.tie_cuts)
-    sub = F.when(F.col("__tied"), F.col("__s")).otherwise(F.lit(0))
-    return df.withColumn("__s", -sub if order_by[1].startswith("-") else sub)
-
-
-def _plain(df: DataFrame, part: Sequence[str], order_by: Sequence[str],
-           features: Mapping[str, tuple]) -> dict[str, Column]:
+def _local(part: Sequence[str], order_by: Sequence[str], kind: str, args: Sequence[str]) -> Column:
     order = order_columns(order_by)
-    seq = Window.partitionBy(*part).orderBy(*order)
-    ties = Window.partitionBy(*part).orderBy(order[0])
+    seq, ties = Window.partitionBy(*part).orderBy(*order), Window.partitionBy(*part).orderBy(order[0])
     whole = Window.partitionBy(*part)
     build = {
-        "row_number": lambda: F.row_number().over(seq),
+        "row_number": lambda: F.row_number().over(seq).cast("bigint"),
+        "rank": lambda: F.rank().over(ties).cast("bigint"),
+        "dense_rank": lambda: F.dense_rank().over(ties).cast("bigint"),
+        "count": lambda: F.count(F.lit(1)).over(whole),
         "running_sum": lambda c: F.sum(c).over(ties),
         "total": lambda c: F.sum(c).over(whole),
         "lag": lambda c: F.lag(c).over(seq),
         "lead": lambda c: F.lead(c).over(seq),
     }
-    return {name: build[kind](*args) for name, (kind, *args) in features.items()}
+    return build[kind](*args)
 
 
-def ordered_features(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
-                     features: Mapping[str, tuple], hot_rows: int = HOT_ROWS,
-                     measure: DataFrame | None = None, stage: bool = False) -> DataFrame:
-    """Add window columns over ``PARTITION BY keys ORDER BY order_by``.
+def _plus(a: Column, b: Column) -> Column:
+    """The sum of what isn't NULL, as one aggregate over both would give it."""
+    return F.when(b.isNull(), a).otherwise(F.coalesce(a, F.lit(0)) + b)
 
-    ``features`` maps a new column to one of ``("row_number",)``, ``("running_sum", col)`` (the
-    default RANGE frame on the leading order column: ties share a value), ``("total", col)``,
-    ``("lag", col)`` or ``("lead", col)``. Groups above ``hot_rows`` rows are split; ``order_by``
-    then needs a numeric, date or timestamp leading column, one direction for lag and lead, and
-    should be a total order. ``measure`` is a cheaper frame with the same keys and order columns
-    to look for large groups in. With ``stage`` an expensive ``df`` that must be split is written
-    to the shared folder once instead of being computed for every pass.
-    """
-    spread = find_spread(df if measure is None else measure, keys, order_by, hot_rows)
-    return features_with(df, keys, order_by, features, spread, stage=stage)
 
+def ordered_features(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
+                     features: Mapping[str, tuple], ranges: int | None = None) -> DataFrame:
+    """Add window columns over ``PARTITION BY keys ORDER BY order_by``.
 
-def features_with(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
-                  features: Mapping[str, tuple], spread: Spread | None,
-                  base: DataFrame | None = None, stage: bool = False) -> DataFrame:
-    """:func:`ordered_features` with a known spread.
-
-    ``base`` has the same rows with fewer steps behind them; range totals are taken from it.
+    ``features`` maps a new column to one of ``("row_number",)``, ``("rank",)``, ``("dense_rank",)``,
+    ``("count",)``, ``("running_sum", col)`` (the default RANGE frame on the leading order column:
+    ties share a value), ``("total", col)``, ``("lag", col)`` or ``("lead", col)``. Ranks go by the
+    leading order column alone. Row numbers and neighbours need a total order. ``ranges`` is the
+    number of ranges, by default Spark's shuffle partitions.
     """
-    if spread is None:
-        return df.withColumns(_plain(df, keys, order_by, features))
-    if stage:
-        df = settle(df, "split")
-    return _split_features(df, keys, order_by, features, spread, df if base is None else base)
-
-
-def _split_features(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
-                    features: Mapping[str, tuple], spread: Spread, base: DataFrame) -> DataFrame:
-    neighbours = {a[1] for a in features.values() if a[0] in ("lag", "lead")}
-    summed = {a[1] for a in features.values() if a[0] in ("running_sum", "total")}
-    down = {c.startswith("-") for c in order_by}
-    if neighbours and len(down) > 1:
-        raise ValueError("lag and lead over a split group need one sort direction")
-
-    part = ["__k", "__m", "__s"]
-    ranged = _with_ranges(df, keys, order_by, spread)
-    local = ranged.withColumns(_plain(ranged, part, order_by, features))
-
-    position = F.struct(*_bare(order_by))
-    first, last = (F.max_by, F.min_by) if down == {True} else (F.min_by, F.max_by)
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    aggs += [F.sum(c).alias(f"__sum_{c}") for c in summed]
-    aggs += [first(F.struct(c), position).alias(f"__first_{c}") for c in neighbours]
-    aggs += [last(F.struct(c), position).alias(f"__last_{c}") for c in neighbours]
-    # At most MAX_CUTS groups x MAX_CUTS ranges, however large the input.
-    source = ranged if base is df else _with_ranges(base, keys, order_by, spread)
-    ranges = source.where("__hot").groupBy(*part).agg(*aggs)
-
-    in_order = Window.partitionBy("__k").orderBy("__m", "__s")
-    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    up_to_main = Window.partitionBy("__k").orderBy("__m")
-    before_main = up_to_main.rangeBetween(Window.unboundedPreceding, -1)
-    group = Window.partitionBy("__k")
-    carry: dict[str, Column] = {}
+    part, lead = ["__p", *keys], _bare(order_by)[0]
+    columns = {n: _local(part, order_by, kind, args) for n, (kind, *args) in features.items()}
+    columns["__n"] = _local(part, order_by, "row_number", ())
+    columns["__size"] = _local(part, order_by, "count", ())
+    columns |= {f"__sum_{c}": _local(part, order_by, "total", (c,)) for c in _summed(features)}
+    # Written once: the borders of the ranges are the same for the carried totals and the result.
+    local = settle(in_ranges(df, keys, order_by, ranges).withColumns(columns), "ranges")
+    carry = F.broadcast(_carry(local, keys, lead, features))
+    own = F.col("__p") == F.col("__cp")
+    for k in keys:
+        own = own & F.col(f"`{k}`").eqNullSafe(F.col("__c")[k])
+    joined = local.join(carry, own, "left")
+
+    none, value = F.lit(0).cast("bigint"), F.col(f"`{lead}`")
+    # Whether the row's leading value can also lie in an earlier, or in a later range.
+    begun = F.col("__head").isNotNull() & value.eqNullSafe(F.col("__head.__value"))
+    goes_on = F.col("__tail").isNotNull() & value.eqNullSafe(F.col("__tail.__value"))
+    before = F.coalesce("__rows_before", none)
     merged: dict[str, Column] = {}
     for name, (kind, *args) in features.items():
-        here, from_carry = F.col(name), F.col(f"__c_{name}")
+        here = F.col(f"`{name}`")
         if kind == "row_number":
-            carry[name] = F.sum("__n").over(earlier)
-            merged[name] = (here + F.coalesce(from_carry, F.lit(0))).cast("int")
-        elif kind == "running_sum":
-            total = F.col(f"__sum_{args[0]}")
-            carry[name] = F.struct(F.sum(total).over(up_to_main).alias("incl"),
-                                   F.sum(total).over(before_main).alias("before"))
-            running = F.when(from_carry["before"].isNull(), here).otherwise(
-                F.coalesce(here, F.lit(0)) + from_carry["before"])
-            merged[name] = F.when(F.col("__tied"), from_carry["incl"]).otherwise(running)
+            merged[name] = (here + before).cast("int")
+        elif kind == "rank":
+            merged[name] = (here + before - F.coalesce(F.when(begun, F.col("__head.__count")), none)).cast("int")
+        elif kind == "dense_rank":
+            merged[name] = (here + F.coalesce("__values_before", none)).cast("int")
+        elif kind == "count":
+            merged[name] = here + F.coalesce("__rows_elsewhere", none)
         elif kind == "total":
-            carry[name] = F.sum(f"__sum_{args[0]}").over(group)
-            merged[name] = F.when(F.col("__hot"), from_carry).otherwise(here)
+            merged[name] = _plus(here, F.col(f"__elsewhere_{args[0]}"))
+        elif kind == "running_sum":
+            merged[name] = _plus(_plus(here, F.col(f"__before_{args[0]}")),
+                                 F.when(goes_on, F.col(f"__tail.{args[0]}")))
         elif kind == "lag":
-            carry[name] = F.lag(f"__last_{args[0]}").over(in_order)
-            merged[name] = F.when(F.col("__at_start"), from_carry[args[0]]).otherwise(here)
+            merged[name] = F.when((F.col("__n") == 1) & F.col("__cp").isNotNull(),
+                                  F.col(f"__c_prev.{args[0]}")).otherwise(here)
         else:
-            carry[name] = F.lead(f"__first_{args[0]}").over(in_order)
-            merged[name] = F.when(F.col("__at_end"), from_carry[args[0]]).otherwise(here)
-
-    if neighbours:
-        seq = Window.partitionBy(*part).orderBy(*order_columns(order_by))
-        local = local.withColumns({
-            "__at_start": F.col("__hot") & (F.row_number().over(seq) == 1),
-            "__at_end": F.col("__hot") & F.lead(F.lit(1)).over(seq).isNull(),
-        })
-    carried = ranges.select(*part, *[c.alias(f"__c_{n}") for n, c in carry.items()])
-    joined = local.join(carried, part, "left")
-    kept = [F.col(c) for c in df.columns if c not in features]
+            merged[name] = F.when((F.col("__n") == F.col("__size")) & F.col("__cp").isNotNull(),
+                                  F.col(f"__c_next.{args[0]}")).otherwise(here)
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in features]
     return joined.select(*kept, *[c.alias(n) for n, c in merged.items()])
 
 
+def _summed(features: Mapping[str, tuple]) -> list[str]:
+    return sorted({a[1] for a in features.values() if a[0] in ("running_sum", "total")})
+
+
+def _carry(local: DataFrame, keys: Sequence[str], lead: str, features: Mapping[str, tuple]) -> DataFrame:
+    """What a group's other ranges add to its rows in one range: (__cp, __c) and the totals.
+
+    Only the first and last group of a range can reach over a border, so there are at most two
+    rows for each range.
+    """
+    summed, kinds = _summed(features), {a[0] for a in features.values()}
+    near = [F.col(f"`{c}`") for c in sorted({a[1] for a in features.values() if a[0] in ("lag", "lead")})]
+    dense = [n for n, a in features.items() if a[0] == "dense_rank"][:1]
+    named = local.select("*", F.struct(*[F.col(f"`{k}`") for k in keys]).alias("__c"),
+                         F.struct(F.col(f"`{lead}`").alias("__value")).alias("__v"))
+    first, last = F.col("__n") == 1, F.col("__n") == F.col("__size")
+    edges = (named.where(first).groupBy("__p").agg(F.min("__c").alias("a"), F.max("__c").alias("b"))
+             .select("__p", F.explode(F.array_distinct(F.array("a", "b"))).alias("edge"))
+             .groupBy("edge").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("edge"))
+    rows = named.join(F.broadcast(edges), F.col("__c").eqNullSafe(F.col("edge")), "left_semi")
+    heads = rows.where(first).select(
+        "__p", "__c", F.col("__size").alias("n"), F.col("__v").alias("head"), F.struct(F.lit(1), *near).alias("first"),
+        *[f"__sum_{c}" for c in summed])
+    tails = rows.where(last).select(
+        F.col("__p").alias("tp"), F.col("__c").alias("tc"), F.col("__v").alias("tail"),
+        F.struct(F.lit(1), *near).alias("last"), *[F.col(f"`{d}`").alias("n_values") for d in dense])
+    ranges = heads.join(tails, (F.col("__p") == F.col("tp")) & F.col("__c").eqNullSafe(F.col("tc"))).drop("tp", "tc")
+
+    by = Window.partitionBy("__c").orderBy("__p")
+    past, whole = by.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("__c")
+    known = F.when(F.col("head").eqNullSafe(F.lag("tail").over(by)) & (F.row_number().over(by) > 1), 1).otherwise(0)
+    out = ranges.withColumn("known", known).select(
+        F.col("__p").alias("__cp"), "__c", "head", "tail", F.sum("n").over(past).alias("__rows_before"),
+        (F.sum("n").over(whole) - F.col("n")).alias("__rows_elsewhere"),
+        *[(F.coalesce(F.sum(F.col("n_values") - F.col("known")).over(past), F.lit(0)) - F.col("known"))
+          .alias("__values_before") for _ in dense],
+        *[F.sum(f"__sum_{c}").over(past).alias(f"__before_{c}") for c in summed],
+        *[_plus(F.sum(f"__sum_{c}").over(past), F.sum(f"__sum_{c}").over(
+            by.rowsBetween(1, Window.unboundedFollowing))).alias(f"__elsewhere_{c}") for c in summed],
+        F.lag("last").over(by).alias("__c_prev"), F.lead("first").over(by).alias("__c_next"))
+    if not kinds & {"rank", "running_sum"}:
+        return out.drop("head", "tail").withColumns({"__head": F.lit(None), "__tail": F.lit(None)})
+
+    # Rows with the first or last leading value of their range: such a value can go on in others.
+    ends = F.broadcast(out.select(F.col("__cp").alias("ep"), F.col("__c").alias("ec"), "head", "tail"))
+    values = (rows.join(ends, (F.col("__p") == F.col("ep")) & F.col("__c").eqNullSafe(F.col("ec")))
+              .where(F.col("__v").eqNullSafe(F.col("head")) | F.col("__v").eqNullSafe(F.col("tail")))
+              .groupBy("__p", "__c", "__v").agg(
+                  F.count(F.lit(1)).alias("__count"), *[F.sum(F.col(f"`{c}`")).alias(c) for c in summed]))
+    along = Window.partitionBy("__c", "__v").orderBy("__p")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    later = along.rowsBetween(1, Window.unboundedFollowing)
+    values = values.select(
+        F.col("__p").alias("vp"), F.col("__c").alias("vc"), "__v",
+        F.struct(F.col("__v.__value").alias("__value"), F.sum("__count").over(earlier).alias("__count")).alias("__head"),
+        F.struct(F.col("__v.__value").alias("__value"), *[F.sum(c).over(later).alias(c) for c in summed]).alias("__tail"))
+
+    head, tail = values.drop("__tail"), values.drop("__head")
+
+    def meet(side: DataFrame, value: str) -> Column:
+        return ((F.col("__cp") == side["vp"]) & F.col("__c").eqNullSafe(side["vc"])
+                & F.col(value).eqNullSafe(side["__v"]))
+
+    out = out.join(head, meet(head, "head"), "left").drop("vp", "vc", "__v")
+    return out.join(tail, meet(tail, "tail"), "left").drop("vp", "vc", "__v", "head", "tail")
+
+
 def rank_within(df: DataFrame, keys: Sequence[str], by: str, rank: str = "rnk",
-                dense: str = "dense_rnk", percent: str = "pct",
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+                dense: str = "dense_rnk", percent: str = "pct", ranges: int | None = None) -> DataFrame:
     """``rank``, ``dense_rank`` and ``percent_rank`` of ``by`` (``"-x"`` = descending) per group.
 
-    Ranks depend on the value alone, so equal values are counted once (combined in the map
-    tasks), the distinct values are ranked, and the ranks are joined back by value. Neither a hot
-    group nor a hot value ends in one task.
+    A hash of the row comes second in the order, so that a value with very many rows can lie in
+    several ranges too.
     """
-    value = by.lstrip("-")
-    counted = settle(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")), "counted")
-    ranked = ordered_features(counted, keys, [by], {
-        dense: ("row_number",), "__upto": ("running_sum", "__n"), "__all": ("total", "__n"),
-    }, hot_rows)
-    first = F.col("__upto") - F.col("__n") + 1
-    # One struct as join key: equal NULLs meet, and the join cannot settle for a partitioning by
-    # group alone, which few groups would make uneven.
-    place = F.struct(*keys, value).alias("__v")
-    ranks = ranked.select(
-        place, first.cast("int").alias(rank), F.col(dense),
-        F.when(F.col("__all") > 1, (first - 1) / (F.col("__all") - 1))
-        .otherwise(F.lit(0.0)).alias(percent))
-    return df.select("*", place).join(ranks, "__v").select(*df.columns, rank, dense, percent)
-
-
-def top_k_any(df: DataFrame, by: Sequence[str], rankings: Mapping[str, Sequence[str]], k: int,
-              hot_rows: int = HOT_ROWS) -> DataFrame:
+    spread = df.withColumn("__tie", F.xxhash64(*df.columns))
+    ranked = ordered_features(spread, keys, [by, "__tie"], {
+        rank: ("rank",), dense: ("dense_rank",), "__all": ("count",)}, ranges)
+    share = F.when(F.col("__all") > 1, (F.col(f"`{rank}`") - 1) / (F.col("__all") - 1)).otherwise(F.lit(0.0))
+    return ranked.select(*[F.col(f"`{c}`") for c in df.columns], rank, dense, share.alias(percent))
+
+
+def top_k_any(df: DataFrame, by: Sequence[str], rankings: Mapping[str, Sequence[str]], k: int) -> DataFrame:
     """Rows within the first ``k`` of at least one ranking, with their position in all of them.
 
-    ``rankings`` maps a rank column to a total order. Spark cannot limit a group early when
-    rankings are combined by OR, so each ranking is an ordered feature that splits large groups.
-    Every ranking reads ``df``; :func:`lakeops.session.settle` it first when it is expensive.
+    ``rankings`` maps a rank column to a total order. The first ``k`` of every ranking are limited in
+    the map tasks; these candidates are at most ``k`` times the rankings per group. Their place
+    in a ranking is one more than the rows before them: each row finds the first of its group's
+    candidates that it precedes, and is counted there. Every ranking reads ``df``;
+    :func:`lakeops.session.settle` it first when it is expensive.
     """
-    base = df
+    found = None
+    for order_by in rankings.values():
+        first = top_k(df, by, order_by, k, "__rank").drop("__rank")
+        found = first if found is None else found.union(first)
+    found = settle(found.distinct(), "candidates")
+    out = found
     for name, order_by in rankings.items():
-        spread = find_spread(base, by, order_by, hot_rows)
-        df = features_with(df, by, order_by, {name: ("row_number",)}, spread, base)
-    keep = F.lit(False)
-    for name in rankings:
-        keep = keep | (F.col(name) <= k)
-    return df.where(keep)
+        out = _place(df, out, found, by, name, order_by)
+    return out
+
+
+def _place(df: DataFrame, out: DataFrame, found: DataFrame, by: Sequence[str], name: str,
+           order_by: Sequence[str]) -> DataFrame:
+    """``out`` with the position ``name`` of its rows among all rows of ``df`` in one ranking."""
+    names = _bare(order_by)
+
+    def row(prefix: str = "") -> Column:
+        return F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(names)])
+
+    def before(a: Column, b: Column) -> Column:
+        """Whether ``a`` stands before ``b``, with Spark's places for NULL."""
+        test = F.lit(False)
+        for i, c in reversed(list(enumerate(order_by))):
+            x, y = (b, a) if c.startswith("-") else (a, b)
+            x, y = x[f"o{i}"], y[f"o{i}"]
+            smaller = F.coalesce(x < y, x.isNull() & y.isNotNull())
+            test = smaller | (x.eqNullSafe(y) & test)
+        return test
+
+    w = Window.partitionBy(*by).orderBy(*order_columns(order_by))
+    group = F.struct(*[F.col(f"`{b}`") for b in by])
+    # Candidates in their order; a group has no more of them than k times the rankings.
+    places = found.select(group.alias("__g"), row().alias("__o"), F.row_number().over(w).alias("__i"))
+    lists = places.groupBy("__g").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("__i", "__o"))), lambda s: s["__o"]).alias("__list"))
+    counted = (df.select(group.alias("__g"), row().alias("__o")).join(lists, "__g")
+               .select("__g", (F.size(F.filter("__list", lambda c: ~before(F.col("__o"), c))) + 1).alias("__i"))
+               .groupBy("__g", "__i").agg(F.count(F.lit(1)).alias("n")))
+    running = Window.partitionBy("__g").orderBy("__i")
+    placed = (places.join(counted, ["__g", "__i"], "left")
+              .select("__g", "__o", (F.sum(F.coalesce("n", F.lit(0))).over(running) + 1).cast("int").alias(name)))
+    ours = out.select("*", group.alias("__g2"), row().alias("__o2"))
+    return (ours.join(placed, F.col("__g2").eqNullSafe(F.col("__g")) & F.col("__o2").eqNullSafe(F.col("__o")))
+            .drop("__g", "__o", "__g2", "__o2"))

@@ -32,10 +32,9 @@ def _(spark, sf):
            CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2))))
                 AS DOUBLE) AS net,
            {_AVG.format('CAST(l_extendedprice AS DECIMAL(18,2))')} AS avg_price
-    FROM lineitem WHERE l_shipdate <= TIMESTAMP '2001-01-01' GROUP BY ALL""")
+    FROM lineitem GROUP BY ALL""")
 def _(spark, sf):
-    rows = table(spark, sf, "lineitem").where(
-        F.col("l_shipdate") <= F.lit("2001-01-01").cast("timestamp_ntz")).select(
+    rows = table(spark, sf, "lineitem").select(
         "l_returnflag", "l_linestatus", "l_quantity", money("l_extendedprice").alias("price"),
         money("l_discount").alias("discount"))
     return rows.groupBy("l_returnflag", "l_linestatus").agg(
@@ -80,16 +79,18 @@ def _(spark, sf):
     SELECT customer_id, 0 AS chunk, array_to_string(list_sort(list(DISTINCT priority)), '|') AS priorities
     FROM sales GROUP BY customer_id""", "sales"))
 def _(spark, sf):
-    return distinct_values(d.orders(spark, sf), ["customer_id"], "priority", "priorities")
+    # There are few priorities: one chunk for each customer.
+    return distinct_values(d.orders(spark, sf), ["customer_id"], "priority", "priorities", chunks=1)
 
 
 @query("flatten_distinct", "A6", sql=check("""
-    SELECT status, 0 AS chunk, array_to_string(list_sort(list(DISTINCT item_id)), '|') AS item_ids
-    FROM nested_lines GROUP BY status""", "nested_lines"))
+    SELECT status, CAST('0x' || left(md5(CAST(item_id AS VARCHAR)), 8) AS BIGINT) % 32 AS chunk,
+           array_to_string(list_sort(list(DISTINCT item_id)), '|') AS item_ids
+    FROM nested_lines GROUP BY ALL""", "nested_lines"))
 def _(spark, sf):
     # The distinct elements of all nested arrays of a group: exploded before they are collected.
     elements = d.nested_orders(spark, sf).select("status", F.explode("items.item_id").alias("i"))
-    return distinct_values(elements, ["status"], "i", "item_ids")
+    return distinct_values(elements, ["status"], "i", "item_ids", chunks=32)
 
 
 @query("pivot_daily_revenue", "A7", sql=check("""
@@ -207,11 +208,11 @@ def _(spark, sf):
 
 
 @query("two_stage_aggregate", "A13", sql=check(f"""
-    SELECT flag, count(quantity) AS n, sum(quantity)::BIGINT AS units,
+    SELECT flag, count(DISTINCT item_id) AS items, count(quantity) AS n, sum(quantity)::BIGINT AS units,
            CAST(min(line_total) AS DOUBLE) AS low, CAST(max(line_total) AS DOUBLE) AS high,
            {_AVG.format('line_total')} AS mean FROM lines GROUP BY flag""", "lines"))
 def _(spark, sf):
-    return two_stage_agg(d.lines(spark, sf), ["flag"], {
+    return two_stage_agg(d.lines(spark, sf), ["flag"], ("items", "item_id"), {
         "n": ("count", "quantity"), "units": ("sum", "quantity"), "low": ("min", "line_total"),
         "high": ("max", "line_total"), "mean": ("avg", "line_total")})
 
@@ -228,9 +229,19 @@ def _(spark, sf):
         "summary", F.round(F.col("amount").cast("double"), 2).alias("amount"))
 
 
-@query("column_profile", "A14")
+@query("column_profile", "A14", sql=check("""
+    SELECT * FROM (
+        SELECT 'count' AS summary, CAST(count(amount) AS DOUBLE) AS amount, CAST(count(customer_id) AS DOUBLE) AS customer_id FROM sales
+        UNION ALL SELECT 'mean', round(CAST(sum(amount) AS DOUBLE) / count(amount), 2), round(avg(customer_id), 2) FROM sales
+        UNION ALL SELECT 'stddev', round(stddev_samp(CAST(amount AS DOUBLE)), 2), round(stddev_samp(customer_id), 2) FROM sales
+        UNION ALL SELECT 'min', CAST(min(amount) AS DOUBLE), CAST(min(customer_id) AS DOUBLE) FROM sales
+        UNION ALL SELECT '25%', CAST(quantile_disc(amount, 0.25) AS DOUBLE), quantile_disc(customer_id, 0.25) FROM sales
+        UNION ALL SELECT '50%', CAST(quantile_disc(amount, 0.5) AS DOUBLE), quantile_disc(customer_id, 0.5) FROM sales
+        UNION ALL SELECT '75%', CAST(quantile_disc(amount, 0.75) AS DOUBLE), quantile_disc(customer_id, 0.75) FROM sales
+        UNION ALL SELECT 'max', CAST(max(amount) AS DOUBLE), CAST(max(customer_id) AS DOUBLE) FROM sales)""", "sales"))
 def _(spark, sf):
-    return column_profile(d.orders(spark, sf), ["amount", "customer_id"])
+    profile = column_profile(d.orders(spark, sf), ["amount", "customer_id"], 1_000_000)
+    return profile.select("summary", *[F.round(c, 2).alias(c) for c in ("amount", "customer_id")])
 
 
 @query("summary_row", "A15", sql=check("""

@@ -194,7 +194,7 @@ def _(spark, sf):
     graded = table(spark, sf, "events").select(
         "event_type", "ts", (F.floor("value") % 3).alias("grade"))
     return cdc.apply_scd2(graded, ["event_type"], "ts", "false", ["ts"], coalesce_noop=True,
-                          hot_rows=1_500)
+                          ranges=40)
 
 
 @query("scd2_incremental", "M10", "T6", sql=f"WITH {_SCD2_SQL} SELECT * FROM hist WHERE event_type <> 'error'")

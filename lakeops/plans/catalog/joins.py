@@ -9,68 +9,73 @@ from lakeops.plans.domain import check
 from lakeops.plans.registry import query
 
 
-def _big_items(spark, sf):
-    """Half of the catalogue, so that every outer and anti join has something to show."""
-    return d.items(spark, sf).where("size > 25")
+def _listed(spark, sf):
+    """The whole catalogue under other numbers for small items, so that every outer and anti join
+    has unmatched rows on both sides."""
+    renumbered = F.when(F.col("size") > 25, F.col("item_id")).otherwise(-F.col("item_id"))
+    return d.items(spark, sf).withColumn("item_id", renumbered)
 
 
-_BIG = "big AS (SELECT * FROM items WHERE size > 25)"
+_LISTED = """listed AS (SELECT * REPLACE (CASE WHEN size > 25 THEN item_id ELSE -item_id END AS item_id)
+    FROM items)"""
 
 
 @query("join_inner", "J1", sql=check(f"""
-    WITH {_BIG} SELECT order_id, item_id, supplier_id, name, category, CAST(line_total AS DOUBLE) AS line_total
-    FROM lines JOIN big USING (item_id)""", "lines", "items"))
+    WITH {_LISTED} SELECT order_id, item_id, supplier_id, name, category, CAST(line_total AS DOUBLE) AS line_total
+    FROM lines JOIN listed USING (item_id)""", "lines", "items"))
 def _(spark, sf):
-    return d.lines(spark, sf).join(_big_items(spark, sf), "item_id").select(
+    return d.lines(spark, sf).join(_listed(spark, sf), "item_id").select(
         "order_id", "item_id", "supplier_id", "name", "category", "line_total")
 
 
 @query("join_left", "J2", sql=check(f"""
-    WITH {_BIG} SELECT name, count(*) AS n, count(category) AS found,
+    WITH {_LISTED} SELECT name, count(*) AS n, count(category) AS found,
         CAST(sum(line_total) AS DOUBLE) AS revenue
-    FROM lines LEFT JOIN big USING (item_id) GROUP BY name""", "lines", "items"))
+    FROM lines LEFT JOIN listed USING (item_id) GROUP BY name""", "lines", "items"))
 def _(spark, sf):
-    rows = d.lines(spark, sf).join(_big_items(spark, sf), "item_id", "left")
+    rows = d.lines(spark, sf).join(_listed(spark, sf), "item_id", "left")
     return rows.groupBy("name").agg(
         F.count(F.lit(1)).alias("n"), F.count("category").alias("found"),
         F.sum("line_total").alias("revenue"))
 
 
 @query("join_right", "J3", sql=check("""
-    SELECT c.customer_id, c.name, count(o.order_id) AS n
-    FROM (SELECT * FROM sales WHERE amount > 400000) o RIGHT JOIN customers c USING (customer_id)
+    SELECT c.customer_id, c.name, count(o.order_id) AS n, count(DISTINCT o.order_id) AS orders
+    FROM (SELECT order_id, CASE WHEN amount > 400000 THEN customer_id ELSE -customer_id END AS customer_id
+          FROM sales) o RIGHT JOIN customers c USING (customer_id)
     GROUP BY ALL""", "sales", "customers"))
 def _(spark, sf):
-    large = d.orders(spark, sf).where("amount > 400000").select("order_id", "customer_id")
-    rows = large.join(d.customers(spark, sf).select("customer_id", "name"), "customer_id", "right")
-    return rows.groupBy("customer_id", "name").agg(F.count("order_id").alias("n"))
+    # Orders of small amounts are booked on other numbers: rows without a match on both sides.
+    booked = F.when(F.col("amount") > 400000, F.col("customer_id")).otherwise(-F.col("customer_id"))
+    orders = d.orders(spark, sf).select("order_id", booked.alias("customer_id"))
+    rows = orders.join(d.customers(spark, sf).select("customer_id", "name"), "customer_id", "right")
+    return rows.groupBy("customer_id", "name").agg(
+        F.count("order_id").alias("n"), F.countDistinct("order_id").alias("orders"))
 
 
-@query("join_full_outer", "J4", sql=check("""
-    WITH o AS (SELECT * FROM lines WHERE quantity >= 49), i AS (SELECT * FROM items WHERE size > 25)
-    SELECT i.item_id AS catalog_sku, o.item_id AS order_sku, i.name, o.order_id, o.supplier_id
-    FROM i FULL OUTER JOIN o ON i.item_id = o.item_id""", "lines", "items"))
+@query("join_full_outer", "J4", sql=check(f"""
+    WITH {_LISTED} SELECT i.item_id AS catalog_sku, o.item_id AS order_sku, i.name, o.order_id, o.supplier_id
+    FROM listed i FULL OUTER JOIN lines o ON i.item_id = o.item_id""", "lines", "items"))
 def _(spark, sf):
-    sold = d.lines(spark, sf).where("quantity >= 49").select(
-        F.col("item_id").alias("order_sku"), "order_id", "supplier_id")
-    listed = _big_items(spark, sf).select(F.col("item_id").alias("catalog_sku"), "name")
+    sold = d.lines(spark, sf).select(F.col("item_id").alias("order_sku"), "order_id", "supplier_id")
+    listed = _listed(spark, sf).select(F.col("item_id").alias("catalog_sku"), "name")
     return full_outer(sold, listed, "order_sku", "catalog_sku")
 
 
 @query("join_left_semi", "J5", sql=check(f"""
-    WITH {_BIG} SELECT DISTINCT order_id FROM lines
-    WHERE item_id IN (SELECT item_id FROM big)""", "lines", "items"))
+    WITH {_LISTED} SELECT DISTINCT order_id FROM lines
+    WHERE item_id IN (SELECT item_id FROM listed)""", "lines", "items"))
 def _(spark, sf):
     return (d.lines(spark, sf).select("order_id", "item_id")
-            .join(_big_items(spark, sf), "item_id", "left_semi").select("order_id").distinct())
+            .join(_listed(spark, sf), "item_id", "left_semi").select("order_id").distinct())
 
 
 @query("join_left_anti", "J6", sql=check(f"""
-    WITH {_BIG} SELECT order_id, item_id, supplier_id, quantity FROM lines
-    WHERE item_id NOT IN (SELECT item_id FROM big)""", "lines", "items"))
+    WITH {_LISTED} SELECT order_id, item_id, supplier_id, quantity FROM lines
+    WHERE item_id NOT IN (SELECT item_id FROM listed)""", "lines", "items"))
 def _(spark, sf):
     return (d.lines(spark, sf).select("order_id", "item_id", "supplier_id", "quantity")
-            .join(_big_items(spark, sf), "item_id", "left_anti"))
+            .join(_listed(spark, sf), "item_id", "left_anti"))
 
 
 @query("dense_grid", "J7", sql=check("""

@@ -128,7 +128,7 @@ _TOP_ITEMS = """sold AS (
     SELECT item_id, name, category, units_sold, CAST(r AS DOUBLE) AS revenue, rank_revenue, rank_units
     FROM top_items""", "lines", "items"))
 def _(spark, sf):
-    return m.gold_top_10_items(d.lines(spark, sf), d.items(spark, sf), hot_rows=300)
+    return m.gold_top_10_items(d.lines(spark, sf), d.items(spark, sf))
 
 
 @query("region_report_daily", "D8", "G5", sql=check(f"""

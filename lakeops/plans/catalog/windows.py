@@ -3,28 +3,18 @@
 from pyspark.sql import functions as F
 
 from lakeops.operators.ordering import top_k
-from lakeops.operators.windows import (
-    features_with, find_spread, ordered_features, rank_within, top_k_any)
+from lakeops.operators.windows import ordered_features, rank_within, top_k_any
 from lakeops.plans import domain as d
 from lakeops.plans.domain import check
 from lakeops.plans.registry import query
 
-# Regions and categories are few, so their groups are large at any scale; a low limit makes the
-# split of large groups run on the small tables too.
-SPLIT_ROWS = 2_000
-
 
 def spend_timeline(orders):
     """Every order of a customer with its number, running and total spend, and the one before."""
-    keys, order_by = ["customer_id"], ["order_ts", "order_id"]
-    spread = find_spread(orders, keys, order_by)
-    rows = orders.select("customer_id", "order_id", "order_ts", "amount")
-    if spread is None:
-        # No customer is large: removing repeats and the windows share one shuffle.
-        rows = rows.repartition(*keys)
-    return features_with(rows.distinct(), keys, order_by, {
+    rows = orders.select("customer_id", "order_id", "order_ts", "amount").distinct()
+    return ordered_features(rows, ["customer_id"], ["order_ts", "order_id"], {
         "running_spend": ("running_sum", "amount"), "total_spend": ("total", "amount"),
-        "order_seq": ("row_number",), "prev_amount": ("lag", "amount")}, spread, stage=True)
+        "order_seq": ("row_number",), "prev_amount": ("lag", "amount")})
 
 
 @query("spend_timeline", "W1", "W2", "W3", "W4", "W6", "W7", sql=check("""
@@ -51,7 +41,7 @@ def _(spark, sf):
         "event_id", "event_type", "ts", F.col("value").cast("decimal(18,2)").alias("v"))
     return ordered_features(rows, ["event_type"], ["ts", "event_id"], {
         "seq": ("row_number",), "running": ("running_sum", "v"), "total": ("total", "v"),
-        "prev": ("lag", "v")}, hot_rows=1_500).drop("ts", "v")
+        "prev": ("lag", "v")}, 40).drop("ts", "v")
 
 
 @query("rank_orders_in_region", "W5", sql=check("""
@@ -62,7 +52,7 @@ def _(spark, sf):
 def _(spark, sf):
     rows = d.orders(spark, sf).select("customer_id", "order_id", "amount").join(
         d.customers(spark, sf).select("customer_id", "region"), "customer_id")
-    return rank_within(rows, ["region"], "-amount", hot_rows=SPLIT_ROWS)
+    return rank_within(rows, ["region"], "-amount")
 
 
 @query("window_over_aggregate", "W8", "W6", sql=check("""
@@ -122,4 +112,4 @@ def _(spark, sf):
     rows = d.orders(spark, sf).select("order_id", "customer_id", "status", "amount")
     return top_k_any(rows, ["status"], {
         "rank_amount": ["-amount", "order_id"], "rank_customer": ["customer_id", "order_id"]},
-        10, SPLIT_ROWS).drop("customer_id")
+        10).drop("customer_id")

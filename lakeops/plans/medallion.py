@@ -18,7 +18,7 @@ from lakeops.operators.aggregates import average, summary_row
 from lakeops.operators.clean import order_lines
 from lakeops.operators.ordering import top_k
 from lakeops.operators.quality import Rules, audit, enforce, is_empty, violations
-from lakeops.operators.windows import HOT_ROWS, top_k_any
+from lakeops.operators.windows import top_k_any
 from lakeops.session import settle
 from lakeops.sources.files import SchemaLike, read_files
 from lakeops.streaming.flows import append_stream, ingest_stream, read_stream
@@ -112,13 +112,12 @@ def item_sales(lines: DataFrame, items: DataFrame) -> DataFrame:
     return sold.join(items.select("item_id", "name", "category"), "item_id")
 
 
-def gold_top_10_items(lines: DataFrame, items: DataFrame, k: int = 10,
-                      hot_rows: int = HOT_ROWS) -> DataFrame:
+def gold_top_10_items(lines: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
     """Items among the first ``k`` of their category by revenue or by units."""
     sales = settle(item_sales(lines, items), "item-sales")
     ranked = top_k_any(sales, ["category"], {
         "rank_revenue": ["-revenue", "item_id"], "rank_units": ["-units_sold", "item_id"],
-    }, k, hot_rows)
+    }, k)
     return ranked.select("item_id", "name", "category", "units_sold", "revenue", "rank_revenue",
                          "rank_units")
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,20 +26,25 @@ def build_session(app: str = "lakeops", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
-@lru_cache(maxsize=1)
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="lakeops-")
+_local_root: list[str] = []
+
+
+def allow_local_scratch() -> None:
+    """Let sessions with a ``local`` or ``local[...]`` master, whose tasks all share one machine, do
+    without ``spark.checkpoint.dir``. For entry scripts; never called by the library."""
+    if not _local_root:
+        _local_root.append(tempfile.mkdtemp(prefix="lakeops-"))
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; in local mode without that
-    setting, a temporary folder."""
+    """The folder the cluster names in ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_root()
+    master = spark.sparkContext.master
+    if _local_root and (master == "local" or master.startswith("local[")):
+        return _local_root[0]
+    raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

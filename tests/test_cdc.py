@@ -100,7 +100,7 @@ def test_hot_key_history_equals_the_plain_one(spark, rows):
         "CASE WHEN id % 11 = 0 THEN 'DELETE' ELSE 'UPDATE' END AS op",
         "timestamp_seconds(pmod(xxhash64(id, 1), 100000)) AS change_ts")
     for noop in (False, True):
-        split = apply_scd2(ev, **ARGS, coalesce_noop=noop, hot_rows=100)
+        split = apply_scd2(ev, **ARGS, coalesce_noop=noop, ranges=30)
         assert rows(split) == rows(apply_scd2(ev, **ARGS, coalesce_noop=noop))
 
 
@@ -155,8 +155,3 @@ def test_versions_ranges_and_net_changes(spark, states, rows):
 def test_delete_of_an_unknown_key_is_ignored(spark, states, rows):
     feed = spark.createDataFrame([(50, "x", 1, "delete", 3)], "id INT, v STRING, x INT, _change_type STRING, _commit_version BIGINT")
     assert rows(apply_change_feed(states[0], feed, ["id"])) == rows(states[0])
-
-
-def test_history_of_ordinary_keys_needs_one_shuffle(events):
-    plan = apply_scd2(events, **ARGS, coalesce_noop=True)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1

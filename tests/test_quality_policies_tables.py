@@ -6,7 +6,7 @@ from lakeops.operators.policies import apply_mask, apply_policies, apply_row_fil
 from lakeops.operators.quality import audit, expect, expect_observed, is_empty, violations
 from lakeops.operators.tables import SchemaMismatch, copy_table, copy_version, empty_like, write_table
 from lakeops.plans import medallion as m
-from lakeops.sources.files import list_files, synthetic_orders
+from lakeops.sources.files import synthetic_orders
 
 
 @pytest.fixture
@@ -94,14 +94,38 @@ def test_partition_pruning_and_copies(spark, df, tmp_path, rows):
     assert rows(copy_version(feed, ["region"], 1, str(tmp_path / "v"))) == rows(df)
 
 
-def test_compaction(spark, tmp_path, rows):
-    src, dst = str(tmp_path / "s"), str(tmp_path / "d")
-    synthetic_orders(spark, 20_000).repartition(16).write.parquet(src)
-    planned = compact(spark, src, dst, 256 << 10, where="status = 'placed'")
-    files = list_files(spark, dst, "*.parquet").count()
-    assert files < 16 and files <= planned + 1
-    assert rows(spark.read.parquet(dst)) == rows(spark.read.parquet(src).where("status = 'placed'"))
-    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+def test_compaction(spark, tmp_path):
+    path = str(tmp_path / "flat")
+    spark.range(4000).selectExpr("id", "id % 7 AS v").repartition(9).write.parquet(path)
+    assert compact(spark, path, 1 << 30) == 1
+    got = spark.read.parquet(path)
+    assert got.select("_metadata.file_path").distinct().count() == 1
+    assert sorted(map(tuple, got.collect())) == [(i, i % 7) for i in range(4000)]
+
+
+def test_compaction_of_one_partition(spark, tmp_path):
+    path = str(tmp_path / "parts")
+    spark.range(1000).selectExpr("id", "CAST(id % 4 AS INT) AS p").repartition(5).write.partitionBy("p").parquet(path)
+    others = {r[0] for r in spark.read.parquet(path).where("p <> 1").select("_metadata.file_path").collect()}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    compact(spark, path, 1 << 30, "p = 1", ["p"])
+    got = spark.read.parquet(path)
+    assert sorted(map(tuple, got.select("id", "p").collect())) == [(i, i % 4) for i in range(1000)]
+    assert {r[0] for r in got.where("p <> 1").select("_metadata.file_path").collect()} == others
+    assert got.where("p = 1").select("_metadata.file_path").distinct().count() == 1
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    with pytest.raises(ValueError):
+        compact(spark, path, 1 << 30, "id < 5")
+
+
+def test_string_keys_cluster_by_their_whole_value(spark, tmp_path):
+    names = spark.range(20_000).selectExpr("format_string('Customer#%09d', id) AS name", "id % 97 AS b")
+    for keys, most in ((["name"], 0.08), (["name", "b"], 0.45)):
+        path = str(tmp_path / "-".join(keys))
+        cluster_by(names, keys, 16).write.parquet(path)
+        files = file_ranges(spark.read.parquet(path), ["name"]).collect()
+        width = [int(r.max_name[-9:]) - int(r.min_name[-9:]) for r in files]
+        assert len(files) == 16 and sum(width) / 16 < most * 20_000
 
 
 def test_clustering_narrows_files(spark, tmp_path):

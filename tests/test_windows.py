@@ -1,14 +1,15 @@
-"""Split windows must equal plain windows, also when one key holds a third of all rows."""
+"""Windows in ranges must equal plain windows, also when one key holds a third of all rows."""
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakeops.operators.windows import (
-    find_spread, large_groups, ordered_features, rank_within, top_k_any)
+from lakeops.operators.ordering import order_columns
+from lakeops.operators.windows import in_ranges, ordered_features, rank_within, top_k_any
 
 FEATURES = {"seq": ("row_number",), "run": ("running_sum", "amount"), "all": ("total", "amount"),
-            "prev": ("lag", "amount"), "next": ("lead", "amount")}
+            "prev": ("lag", "amount"), "next": ("lead", "amount"), "r": ("rank",), "dr": ("dense_rank",),
+            "n": ("count",)}
 
 
 @pytest.fixture(scope="module")
@@ -23,74 +24,61 @@ def skewed(spark):
     ).repartition(5, "id")
 
 
-def plain(df, keys, order, ties):
-    w, t, g = (Window.partitionBy(*keys).orderBy(*order), Window.partitionBy(*keys).orderBy(ties),
+def plain(df, keys, order_by):
+    order = order_columns(order_by)
+    w, t, g = (Window.partitionBy(*keys).orderBy(*order), Window.partitionBy(*keys).orderBy(order[0]),
                Window.partitionBy(*keys))
     return df.select("*", F.row_number().over(w).alias("seq"), F.sum("amount").over(t).alias("run"),
                      F.sum("amount").over(g).alias("all"), F.lag("amount").over(w).alias("prev"),
-                     F.lead("amount").over(w).alias("next"))
+                     F.lead("amount").over(w).alias("next"), F.rank().over(t).alias("r"),
+                     F.dense_rank().over(t).alias("dr"), F.count(F.lit(1)).over(g).alias("n"))
 
 
-@pytest.mark.parametrize("hot_rows", [100, 700, 10**6])
-def test_ascending(skewed, rows, hot_rows):
-    got = ordered_features(skewed, ["k"], ["ts", "id"], FEATURES, hot_rows)
-    assert rows(got) == rows(plain(skewed, ["k"], ["ts", "id"], F.col("ts")))
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+@pytest.mark.parametrize("order_by", [["ts", "id"], ["-ts", "-id"], ["ts", "-id"], ["-ts", "id"]])
+def test_equals_the_plain_window(skewed, rows, ranges, order_by):
+    got = ordered_features(skewed, ["k"], order_by, FEATURES, ranges)
+    assert rows(got) == rows(plain(skewed, ["k"], order_by))
 
 
-@pytest.mark.parametrize("hot_rows", [100, 700])
-def test_descending(skewed, rows, hot_rows):
-    got = ordered_features(skewed, ["k"], ["-ts", "-id"], FEATURES, hot_rows)
-    want = plain(skewed, ["k"], [F.desc("ts"), F.desc("id")], F.desc("ts"))
-    assert rows(got) == rows(want)
+def test_null_order_values(skewed, rows):
+    df = skewed.withColumn("ts", F.when(F.col("ts") > 400, F.col("ts")))
+    assert rows(ordered_features(df, ["k"], ["ts", "id"], FEATURES, 30)) == rows(plain(df, ["k"], ["ts", "id"]))
 
 
-def test_null_order_values(skewed, rows):
-    df = skewed.withColumn("ts", F.when(F.col("ts") > 100, F.col("ts")))
-    got = ordered_features(df, ["k"], ["ts", "id"], FEATURES, 100)
-    assert rows(got) == rows(plain(df, ["k"], ["ts", "id"], F.col("ts")))
-
-
-def test_split_bounds_the_largest_task(skewed):
-    hot = large_groups(skewed, ["k"], 400)
-    assert sorted(hot.values()) == [1000, 2000]
-    spread = find_spread(skewed, ["k"], ["ts", "id"], 400)
-    assert spread.heavy and spread.tie_cuts
-    from lakeops.operators.windows import _with_ranges
-    sizes = (_with_ranges(skewed, ["k"], ["ts", "id"], spread).where("__hot")
-             .groupBy("__k", "__m", "__s").count())
-    assert sizes.agg(F.max("count")).first()[0] <= 400
+@pytest.mark.parametrize("image", ["id + 1152921504606846976", "concat('item-', id % 700)",
+                                   "cast(id % 400 as decimal(38,0)) + 90071992547409930000"])
+def test_large_numbers_and_strings(skewed, rows, image):
+    df = skewed.withColumn("ts", F.expr(image))
+    for order_by in (["ts", "id"], ["-ts", "id"]):
+        got = ordered_features(df, ["k"], order_by, FEATURES, 30)
+        assert rows(got) == rows(plain(df, ["k"], order_by))
 
 
-def test_no_split_gives_the_plain_plan(skewed):
-    df = ordered_features(skewed, ["k"], ["ts", "id"], {"seq": ("row_number",)})
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Window") == 1 and "Join" not in plan
+def test_large_groups_lie_in_many_ranges(skewed):
+    sizes = in_ranges(skewed, ["k"], ["ts", "id"], 40).groupBy("__p", "k").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 400
 
 
-@pytest.mark.parametrize("hot_rows", [50, 10**6])
-def test_rank_within(skewed, rows, hot_rows):
+@pytest.mark.parametrize("ranges", [2, 50])
+def test_rank_within(skewed, rows, ranges):
     w = Window.partitionBy("k").orderBy(F.desc("amount"))
     want = skewed.select("*", F.rank().over(w).alias("rnk"), F.dense_rank().over(w).alias("dense_rnk"),
                          F.percent_rank().over(w).alias("pct"))
-    got = rank_within(skewed, ["k"], "-amount", hot_rows=hot_rows)
-    assert rows(got) == rows(want)
+    assert rows(rank_within(skewed, ["k"], "-amount", ranges=ranges)) == rows(want)
 
 
-@pytest.mark.parametrize("hot_rows", [300, 10**6])
-def test_top_k_any(skewed, rows, hot_rows):
+@pytest.mark.parametrize("tie", ["id", "concat('i', id)"])
+def test_top_k_any(skewed, rows, tie):
+    df = skewed.withColumn("id", F.expr(tie))
     a = Window.partitionBy("k").orderBy(F.desc("amount"), "id")
-    b = Window.partitionBy("k").orderBy("ts", "id")
-    want = (skewed.withColumn("a", F.row_number().over(a)).withColumn("b", F.row_number().over(b))
+    b = Window.partitionBy("k").orderBy("ts", F.desc("id"))
+    want = (df.withColumn("a", F.row_number().over(a)).withColumn("b", F.row_number().over(b))
             .where("a <= 5 OR b <= 5"))
-    got = top_k_any(skewed, ["k"], {"a": ["-amount", "id"], "b": ["ts", "id"]}, 5, hot_rows)
+    got = top_k_any(df, ["k"], {"a": ["-amount", "id"], "b": ["ts", "-id"]}, 5)
     assert rows(got) == rows(want)
 
 
-def test_ranks_are_joined_by_value_not_by_group(spark, skewed):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = rank_within(skewed, ["k"], "-amount")._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    join = plan[plan.index("SortMergeJoin"):]
-    assert join.count("Exchange hashpartitioning(__v") == 2
+def test_only_border_groups_are_broadcast(skewed):
+    plan = ordered_features(skewed, ["k"], ["ts", "id"], FEATURES, 8)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Expand" not in plan
