@@ -1,16 +1,19 @@
 """MERGE, UPDATE, DELETE, slowly changing dimensions and change feeds."""
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lakeops.functions.columns import money
 from lakeops.operators import cdc
 from lakeops.operators.merge import (
-    by_source_delete, delete_where, matched_delete, matched_update, merge_into, not_matched_insert,
+    AMBIGUOUS, by_source_delete, delete_where, matched_delete, matched_update, merge_into, not_matched_insert,
     update_where)
 from lakeops.operators.ordering import latest_per_key
+from lakeops.operators.tables import copy_version, write_table
 from lakeops.plans import domain as d
 from lakeops.plans.domain import check, table
 from lakeops.plans.registry import query
+from lakeops.session import scratch_path
 
 
 @query("update_where", "K12", sql=check("""
@@ -100,7 +103,7 @@ def _(spark, sf):
         matched_update(_VALUES, "NOT s.is_deleted"), by_source_delete()])
 
 
-@query("merge_latest_of_batch", "M5", "M6", sql=check("""
+@query("merge_latest_of_batch", "M6", sql=check("""
     WITH latest AS (SELECT customer_id, status, amount FROM (
         SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY order_ts DESC, order_id DESC) AS rn
         FROM sales) WHERE rn = 1)
@@ -252,7 +255,7 @@ def _(spark, sf):
     return cdc.changes_between(_feed(spark, sf), 2, 2)
 
 
-@query("state_as_of_version", "M12", "K11", sql=check(f"""
+@query("state_as_of_version", "M12", sql=check(f"""
     WITH {_STATES} SELECT 1 AS version, * FROM old UNION ALL SELECT 2, * FROM new""", "customers"))
 def _(spark, sf):
     feed = _feed(spark, sf)
@@ -279,3 +282,35 @@ def _(spark, sf):
     "customers"))
 def _(spark, sf):
     return cdc.appended_only(_feed(spark, sf)).select("customer_id", "_commit_version")
+
+
+@query("merge_ambiguous_is_refused", "M5", sql=check("""
+    SELECT true AS refused, count(*) AS n, CAST(sum(balance) AS DOUBLE) AS balance FROM customers""", "customers"))
+def _(spark, sf):
+    # Customers with several orders: the merge fails, and the table stays as it was.
+    path, refused = scratch_path(spark, "merged"), False
+    d.customers(spark, sf).select("customer_id", "tier", "balance").write.parquet(path)
+    target = spark.read.parquet(path)
+    merged = merge_into(target, d.orders(spark, sf).select("customer_id", "amount"), ["customer_id"],
+                        [matched_update({"balance": "s.amount"})])
+    try:
+        write_table(merged, path, "overwrite_strict", constraints=["true"])
+    except PySparkException as e:
+        refused = AMBIGUOUS in str(e)
+    return spark.read.parquet(path).agg(F.lit(refused).alias("refused"), F.count(F.lit(1)).alias("n"),
+                                        F.sum("balance").alias("balance"))
+
+
+@query("copied_version", "K11", sql=check(f"WITH {_STATES} SELECT * FROM old", "customers"))
+def _(spark, sf):
+    return copy_version(_feed(spark, sf), ["customer_id"], 1, scratch_path(spark, "version"))
+
+
+@query("net_changes_of_the_second_version", "M15", sql=check(f"""
+    WITH {_STATES} SELECT coalesce(o.customer_id, n.customer_id) AS customer_id,
+        CASE WHEN n.customer_id IS NULL THEN 'delete' WHEN o.customer_id IS NULL THEN 'insert' ELSE 'update' END AS net_change
+    FROM old o FULL JOIN new n USING (customer_id)
+    WHERE o.customer_id IS NULL OR n.customer_id IS NULL OR (o.country, o.tier) IS DISTINCT FROM (n.country, n.tier)""",
+    "customers"))
+def _(spark, sf):
+    return cdc.net_changes(cdc.changes_between(_feed(spark, sf), 2, 2), ["customer_id"])

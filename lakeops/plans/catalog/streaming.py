@@ -1,5 +1,6 @@
 """Streams over the given tables, drained to the end and read back."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lakeops.functions.columns import money
@@ -8,6 +9,7 @@ from lakeops.plans import domain as d
 from lakeops.plans.domain import check, table
 from lakeops.plans.registry import query
 from lakeops.session import scratch_path
+from lakeops.sources.drift import UnknownFieldError
 from lakeops.streaming import flows, upserts
 
 
@@ -127,3 +129,91 @@ def _(spark, sf):
                              spark.read.parquet(f"{out}/feed").schema)
     upserts.replicate_stream(feed, ["customer_id"], f"{out}/store", f"{out}/cp")
     return upserts.read_replica(spark, f"{out}/store", ["customer_id"], old.schema)
+
+
+@query("stream_upsert_folded", "M16", sql="""
+    SELECT user_id, event_id, event_type, value FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+    WHERE rn = 1 AND event_type <> 'error'""")
+def _(spark, sf):
+    # Half of the events, a fold, the other half: the base and the batches after it.
+    out, order = scratch_path(spark, "folded"), ["-ts", "-event_id"]
+    events = d.table(spark, sf, "events")
+    for part in (0, 1):
+        events.where(F.col("event_id") % 2 == part).write.mode("append").parquet(f"{out}/events")
+        upserts.upsert_stream(flows.read_stream(spark, f"{out}/events", "parquet", events.schema), ["user_id"], order,
+                              f"{out}/store", f"{out}/cp", "event_type = 'error'")
+        if part == 0:
+            upserts.fold(spark, f"{out}/store", ["user_id"], order)
+    return upserts.read_store(spark, f"{out}/store", ["user_id"], order).select(
+        "user_id", "event_id", "event_type", "value")
+
+
+@query("stream_evolved_column", "S10", "S11", "T3", sql="""
+    SELECT event_id, user_id, CASE WHEN event_type = 'purchase' THEN value END AS price FROM events""")
+def _(spark, sf):
+    # A second version of the feed brings a column; the run that meets it fails once and records it.
+    out = scratch_path(spark, "evolved")
+    events = d.table(spark, sf, "events")
+    def run():
+        flows.ingest_stream(spark, f"{out}/landing", "json", f"{out}/bronze", f"{out}/cp",
+                            hints="event_id BIGINT, user_id BIGINT")
+    old, new = events.where("event_type <> 'purchase'"), events.where("event_type = 'purchase'")
+    old.select("event_id", "user_id").write.mode("append").json(f"{out}/landing")
+    run()
+    new.select("event_id", "user_id", F.col("value").alias("price")).write.mode("append").json(f"{out}/landing")
+    try:
+        run()
+    except UnknownFieldError as e:
+        if e.fields != ["price"]:
+            raise
+    run()
+    silver = flows.follow_sink(spark, f"{out}/bronze").select("event_id", "user_id", F.col("price").cast("double").alias("price"))
+    flows.append_stream(silver, f"{out}/silver", f"{out}/cp-silver")
+    return spark.read.schema(silver.schema).parquet(f"{out}/silver")
+
+
+@query("stream_evolution_modes", "S11", sql="""
+    SELECT m.mode, count(*) AS n, count(CASE WHEN m.mode = 'rescue' AND event_type = 'purchase' THEN 1 END) AS rescued
+    FROM events, (VALUES ('rescue'), ('failOnNewColumns')) AS m(mode)
+    WHERE m.mode = 'rescue' OR event_type <> 'purchase' GROUP BY ALL""")
+def _(spark, sf):
+    # Rescue loads every row and keeps the new field; the failing mode loads none of the new files.
+    out, parts = scratch_path(spark, "modes"), []
+    events = d.table(spark, sf, "events").select("event_id", "event_type", "value")
+    for mode in ("rescue", "failOnNewColumns"):
+        place = f"{out}/{mode}"
+        for new in (False, True):
+            rows = events.where((F.col("event_type") == "purchase") == F.lit(new))
+            (rows if new else rows.drop("value")).write.mode("append").json(f"{place}/landing")
+            try:
+                flows.ingest_stream(spark, f"{place}/landing", "json", f"{place}/bronze", f"{place}/cp",
+                                    hints="event_id BIGINT", evolution=mode)
+            except UnknownFieldError as e:
+                if mode == "rescue" or e.schema_recorded:
+                    raise
+        parts.append(flows.read_sink(spark, f"{place}/bronze").agg(
+            F.lit(mode).alias("mode"), F.count(F.lit(1)).alias("n"), F.count("_rescued_data").alias("rescued")))
+    return parts[0].union(parts[1])
+
+
+@query("stream_interval_trigger", "K8", sql="SELECT event_type, count(*) AS n FROM events GROUP BY ALL")
+def _(spark, sf):
+    out = scratch_path(spark, "interval")
+    running = flows.append_stream(stream_table(spark, sf, "events").select("event_id", "event_type"),
+                                  f"{out}/sink", f"{out}/cp", "200 milliseconds")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return spark.read.parquet(f"{out}/sink").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stream_sort_is_rejected", "T5", sql="SELECT 'AnalysisException' AS error, count(*) AS n FROM events")
+def _(spark, sf):
+    stream, error = stream_table(spark, sf, "events").orderBy("ts"), "none"
+    try:
+        flows.append_stream(stream, scratch_path(spark, "sorted"), scratch_path(spark, "cp"))
+    except AnalysisException as e:
+        error = type(e).__name__
+    return d.table(spark, sf, "events").agg(F.lit(error).alias("error"), F.count(F.lit(1)).alias("n"))

@@ -21,7 +21,8 @@ from lakeops.operators.quality import Rules, audit, enforce, is_empty, violation
 from lakeops.operators.windows import top_k_any
 from lakeops.session import settle
 from lakeops.sources.files import SchemaLike, read_files
-from lakeops.streaming.flows import append_stream, ingest_stream, read_stream
+from lakeops.sources.ingest import save_schema
+from lakeops.streaming.flows import append_stream, follow_sink, ingest_stream, read_sink
 
 Save = Callable[[DataFrame, str], DataFrame]
 
@@ -55,7 +56,7 @@ def silver_customers(bronze: DataFrame) -> DataFrame:
 
 def typed_orders(bronze: DataFrame) -> DataFrame:
     """Orders without their lines; a feed that has no discounts yet gets zeros."""
-    discount = (F.coalesce("discount_amount", F.lit(0.0)) if "discount_amount" in bronze.columns
+    discount = (F.coalesce(F.col("discount_amount").cast("double"), F.lit(0.0)) if "discount_amount" in bronze.columns
                 else F.lit(0.0))
     return bronze.select(
         "order_id", "customer_id", "order_ts", F.col("order_ts").cast("date").alias("order_date"),
@@ -209,7 +210,7 @@ class Landing:
 
     path: str
     fmt: str
-    schema: SchemaLike
+    schema: SchemaLike | None
     options: Mapping[str, str] = field(default_factory=dict)
     prepare: Callable[[DataFrame], DataFrame] | None = None
 
@@ -222,11 +223,12 @@ def refresh_medallion(spark: SparkSession, landing: Mapping[str, Landing], out:
     Run it again after new files arrived; a run without new files changes nothing.
     """
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{out}/{name}")
+        return read_sink(spark, f"{out}/{name}")
 
     def hop(source: str, target: str, step: Callable[[DataFrame], DataFrame]) -> None:
-        rows = read_stream(spark, f"{out}/{source}", "parquet", table(source).schema)
-        append_stream(step(rows), f"{out}/{target}", f"{out}/_checkpoints/{target}")
+        rows = step(follow_sink(spark, f"{out}/{source}"))
+        save_schema(spark, f"{out}/{target}/_schema", rows.schema)
+        append_stream(rows, f"{out}/{target}", f"{out}/_checkpoints/{target}")
 
     for name in ("customers", "orders"):
         src = landing[name]

@@ -75,8 +75,9 @@ def rescue_json(raw: DataFrame, schema: SchemaLike, value: str = "value",
     """Parse JSON text by ``schema`` and keep everything that does not fit as JSON.
 
     A key is rescued when the schema does not have it (in this exact case, unless
-    ``case_sensitive`` is off) or when its value does not parse as the declared type. Rows are
-    never dropped; other columns of ``raw`` are kept. With ``path_col`` the rescued JSON also
+    ``case_sensitive`` is off), when its value does not parse as the declared type, or when that is so
+    for anything inside it: a struct, array or map whose typed value lost something is kept
+    whole. Rows are never dropped; other columns of ``raw`` are kept. With ``path_col`` the rescued JSON also
     names the source file.
     """
     struct = as_struct(schema)
@@ -88,8 +89,11 @@ def rescue_json(raw: DataFrame, schema: SchemaLike, value: str = "value",
                             "__raw": F.from_json(text, "map<string,string>")})
 
     # Keys that found a typed value; set difference keeps this linear for wide schemas.
-    fitting = F.array_compact(F.array(*[
-        F.when(F.col("__typed").getField(f.name).isNotNull(), f.name) for f in struct.fields]))
+    def fits(f: T.StructField) -> Column:
+        typed = F.col("__typed").getField(f.name)
+        return typed.isNotNull() & ~_loses(F.col("__raw").getItem(f.name), typed, f.dataType)
+
+    fitting = F.array_compact(F.array(*[F.when(fits(f), f.name) for f in struct.fields]))
     odd = F.array_except(F.map_keys("__raw"), fitting)
     names = F.array(*[F.lit(f.name) for f in struct.fields])
     rows = rows.withColumn("__odd", odd)
@@ -109,6 +113,26 @@ def rescue_json(raw: DataFrame, schema: SchemaLike, value: str = "value",
                        body.alias(rescued))
 
 
+def _loses(raw: Column, typed: Column, kind: T.DataType) -> Column:
+    """Whether JSON text says something that its typed value doesn't, at any depth."""
+    missing = raw.isNotNull() & typed.isNull()
+    if isinstance(kind, T.StructType):
+        fields = F.from_json(raw, "map<string,string>")
+        inside = F.exists(F.map_keys(fields), lambda k: ~k.isin(*kind.names) if kind.names else F.lit(True))
+        for f in kind.fields:
+            inside = inside | _loses(fields.getItem(f.name), typed.getField(f.name), f.dataType)
+    elif isinstance(kind, T.ArrayType):
+        inside = F.exists(F.zip_with(F.from_json(raw, "array<string>"), typed,
+                                     lambda r, t: _loses(r, t, kind.elementType)), lambda lost: lost)
+    elif isinstance(kind, T.MapType):
+        values = F.map_values(F.from_json(raw, "map<string,string>"))
+        inside = F.exists(F.zip_with(values, F.map_values(typed),
+                                     lambda r, t: _loses(r, t, kind.valueType)), lambda lost: lost)
+    else:
+        return missing
+    return missing | F.coalesce(inside, F.lit(False))
+
+
 def _lower_keys(text: Column) -> Column:
     """The JSON object with lower-case keys; a key that has this case already wins."""
     fields = F.try_parse_json(text).cast("map<string,variant>")

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeops.sources.drift import UnknownFieldError, evolve_schema, rescue_json
-from lakeops.sources.files import (
-    SchemaLike, as_struct, hinted_schema, list_files, read_files)
-from lakeops.sources.ingest import load_schema, save_schema, save_text
+from lakeops.sources.files import SchemaLike, as_struct, hinted_schema, read_files
+from lakeops.sources.ingest import load_schema, save_schema
 
 
 def _start(writer, trigger: str | None) -> StreamingQuery:
@@ -70,59 +71,102 @@ def enrich_stream(stream: DataFrame, static: DataFrame, on: Sequence[str],
     return stream.join(static, list(on), how)
 
 
+RESCUED = "_rescued_data"
+
+
+def _parsed(spark: SparkSession, src: str, fmt: str, schema: SchemaLike, rescue: bool,
+            case_sensitive: bool, options: dict) -> DataFrame:
+    """The stream of rows; with ``rescue`` also what does not fit, and where it came from."""
+    # Files may arrive with an older modification time than others that were read long ago.
+    options = {"maxFileAge": "36500d", **options}
+    if not rescue:
+        return read_stream(spark, src, fmt, schema, **options)
+    place = F.col("_metadata.file_path").alias("source_file")
+    if fmt == "json":
+        text = read_stream(spark, src, "text", "value STRING", **options).select("value", place)
+        return rescue_json(text, schema, case_sensitive=case_sensitive, path_col="source_file")
+    if fmt != "csv":
+        raise ValueError("rescue reads JSON lines and CSV")
+    # A line with more or fewer fields than the schema, or a value of another type, is kept whole.
+    wider = T.StructType([*as_struct(schema).fields, T.StructField(RESCUED, T.StringType())])
+    rows = read_stream(spark, src, fmt, wider, mode="PERMISSIVE", columnNameOfCorruptRecord=RESCUED,
+                       **options).select("*", place)
+    return rows.withColumn(RESCUED, F.when(F.col(RESCUED).isNotNull(), F.to_json(F.struct(
+        F.col(RESCUED).alias("_corrupt_record"), F.col("source_file").alias("_file_path")))))
+
+
 def ingest_stream(spark: SparkSession, src: str, fmt: str, sink: str, checkpoint: str,
                   schema: SchemaLike | None = None, hints: str | None = None,
                   evolution: str = "addNewColumns", infer: bool = False,
                   prepare: Callable[[DataFrame], DataFrame] | None = None,
                   trigger: str | None = None, case_sensitive: bool = True,
                   **options: str) -> StreamingQuery:
-    """Load new files of ``src`` into ``sink`` and stop when all are read.
+    """Load new files of ``src`` into ``sink`` and stop when all are read; :func:`read_sink` reads it.
+
+    With a declared ``schema`` it is fixed. Without one the columns are inferred from the files (all
+    STRING unless ``infer``), with ``hints`` on top, and kept in ``checkpoint/schema``; every
+    micro-batch compares the files it is about to load with them, whenever these were written.
+    New fields are treated by the ``evolution`` mode: ``addNewColumns`` records them, fails once with
+    UnknownFieldError before a row is written, and the next run loads the same files with them.
 
-    Without ``schema`` the columns are inferred from the files (all STRING unless ``infer``),
-    with ``hints`` on top, and kept in ``checkpoint/schema``. New fields are treated by the
-    ``evolution`` mode: ``addNewColumns`` records them, fails once with UnknownFieldError, and
-    reads them on the next run; ``rescue`` (JSON lines) keeps the schema and puts what does not
-    fit into ``_rescued_data``, with ``case_sensitive`` deciding about keys in another case.
+    What does not fit goes to ``_rescued_data`` (JSON lines and CSV): always in mode ``rescue``, and
+    in every mode when the schema is inferred. ``case_sensitive`` decides about JSON keys in
+    another case.
     """
-    if schema is None:
-        schema = _tracked_schema(spark, src, fmt, checkpoint, hints, evolution, infer, options)
-    if evolution == "rescue":
-        if fmt != "json":
-            raise ValueError("rescue reads JSON lines")
-        text = read_stream(spark, src, "text", "value STRING", **options)
-        text = text.select("value", F.col("_metadata.file_path").alias("source_file"))
-        rows = rescue_json(text, schema, case_sensitive=case_sensitive, path_col="source_file")
-    else:
-        rows = read_stream(spark, src, fmt, schema, **options)
-    return append_stream(prepare(rows) if prepare else rows, sink, f"{checkpoint}/offsets",
-                         trigger)
-
-
-def _tracked_schema(spark, src, fmt, checkpoint, hints, evolution, infer, options):
-    """The recorded schema, compared with that of the files modified since the last look."""
-    place, mark = f"{checkpoint}/schema", f"{checkpoint}/schema-mark"
+    tracked = schema is None
+    if tracked:
+        schema = _recorded_schema(spark, src, fmt, checkpoint, hints, infer, options)
+    rescue = evolution == "rescue" or (tracked and fmt in ("json", "csv"))
+    rows = _parsed(spark, src, fmt, schema, rescue, case_sensitive, options)
+    rows = prepare(rows) if prepare else rows
+    save_schema(spark, f"{sink}/_schema", rows.schema)
+    if not tracked:
+        return append_stream(rows, sink, f"{checkpoint}/offsets", trigger)
+
     reading = {k: v for k, v in options.items() if k != "maxFilesPerTrigger"}
+    failures: list[UnknownFieldError] = []
+
+    def load(batch: DataFrame, number: int) -> None:
+        files = [r[0] for r in batch.select("__file").distinct().collect()]
+        seen = read_files(spark, files, fmt, infer=infer, **reading).schema if files else as_struct(schema)
+        wider, verdict = evolve_schema(as_struct(schema), hinted_schema(seen, hints) if hints else seen, evolution)
+        if verdict.action == "restart":
+            save_schema(spark, f"{checkpoint}/schema", wider)
+        if verdict.action != "ok":
+            failures.append(UnknownFieldError(verdict.new_fields + verdict.widened, verdict.action == "restart"))
+            raise failures[-1]
+        # A batch that is replayed writes the same place again.
+        batch.drop("__file").write.mode("overwrite").parquet(f"{sink}/__batch={number}")
+
+    writer = (rows.withColumn("__file", F.input_file_name()).writeStream.foreachBatch(load)
+              .option("checkpointLocation", f"{checkpoint}/offsets"))
+    try:
+        return _start(writer, trigger)
+    except StreamingQueryException as e:
+        raise (failures[-1] if failures else e) from None
+
+
+def read_sink(spark: SparkSession, sink: str) -> DataFrame:
+    """The rows of a table written by :func:`ingest_stream`, in its recorded schema: columns that came
+    later are NULL in rows that came before."""
+    schema = load_schema(spark, f"{sink}/_schema")
+    return spark.read.schema(schema).parquet(sink).select(*[F.col(f"`{c}`") for c in schema.names])
+
+
+def follow_sink(spark: SparkSession, sink: str) -> DataFrame:
+    """:func:`read_sink` as a stream."""
+    schema = load_schema(spark, f"{sink}/_schema")
+    return read_stream(spark, sink, "parquet", schema, maxFileAge="36500d").select(
+        *[F.col(f"`{c}`") for c in schema.names])
+
+
+def _recorded_schema(spark, src, fmt, checkpoint, hints, infer, options):
+    """The recorded schema; on the first run that of the files that are there."""
+    place = f"{checkpoint}/schema"
     current = load_schema(spark, place)
-    files = list_files(spark, src, reading.get("pathGlobFilter"))
-    if current is not None:
-        reading["modifiedAfter"] = spark.read.text(mark).first()[0]
-        since = F.lit(reading["modifiedAfter"]).cast("timestamp")
-        files = files.where(F.col("modificationTime") > since)
-    # One second back, so that files written in the newest second are looked at again.
-    look_back = F.max("modificationTime") - F.expr("INTERVAL 1 SECOND")
-    newest = files.agg(F.date_format(look_back, "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
-    if newest is None and current is not None:
-        return current
-    seen = read_files(spark, src, fmt, infer=infer, **reading).schema
-    seen = hinted_schema(seen, hints) if hints else seen
     if current is None:
-        save_schema(spark, place, seen)
-        save_text(spark, mark, newest)
-        return seen
-    schema, verdict = evolve_schema(current, seen, evolution)
-    if verdict.action == "restart":
-        save_schema(spark, place, schema)
-    if verdict.action != "ok":
-        raise UnknownFieldError(verdict.new_fields + verdict.widened, verdict.action == "restart")
-    save_text(spark, mark, newest)
-    return schema
+        reading = {k: v for k, v in options.items() if k != "maxFilesPerTrigger"}
+        current = read_files(spark, src, fmt, infer=infer, **reading).schema
+        current = hinted_schema(current, hints) if hints else current
+        save_schema(spark, place, current)
+    return current

@@ -1,9 +1,11 @@
 """Streams that change a table: upserts and change-feed replicas.
 
-Every micro-batch appends its changes under its own batch number and writes nothing else, so a
-batch that is replayed replaces exactly its own rows and the cost of a batch does not depend on
-the size of the table. Readers take the latest change per key; :func:`fold` merges the changes
-into a new base when there are many.
+Every micro-batch writes its changes under its own batch number and nothing else, so a batch that is
+replayed replaces exactly its own rows and the cost of a batch does not depend on the size of
+the table. :func:`fold` merges the changes into a base apart from them; the base is named by the
+last batch it includes, is never written by the stream, and counts once ``folds`` says so. Readers
+take the latest change per key from the last base and the batches after it. Batch numbers
+belong to a checkpoint: a renewed checkpoint needs a new store.
 """
 
 from __future__ import annotations
@@ -37,24 +39,40 @@ def upsert_stream(stream: DataFrame, keys: Sequence[str], order_by: Sequence[str
                   .option("checkpointLocation", checkpoint), trigger)
 
 
+def _last_fold(spark: SparkSession, store: str) -> int | None:
+    if not path_exists(spark, f"{store}/folds"):
+        return None
+    return spark.read.parquet(f"{store}/folds").agg(F.max("upto")).first()[0]
+
+
+def _entries(spark: SparkSession, store: str) -> DataFrame:
+    """The last base and the changes after it, with ``__batch``."""
+    upto = _last_fold(spark, store)
+    changes = spark.read.parquet(f"{store}/changes")
+    if upto is None:
+        return changes
+    base = spark.read.parquet(f"{store}/base/upto-{upto}").withColumn("__batch", F.lit(upto))
+    return base.unionByName(changes.where(F.col("__batch") > upto))
+
+
 def read_store(spark: SparkSession, store: str, keys: Sequence[str],
                order_by: Sequence[str]) -> DataFrame:
     """The current rows of a store written by :func:`upsert_stream`."""
-    changes = spark.read.parquet(f"{store}/changes")
-    last = latest_per_key(changes, keys, [*order_by, "-__batch"])
+    last = latest_per_key(_entries(spark, store), keys, [*order_by, "-__batch"])
     return last.where(~F.col("__deleted")).drop("__deleted", "__batch")
 
 
-def fold(spark: SparkSession, store: str, folded: str, keys: Sequence[str],
-         order_by: Sequence[str]) -> None:
-    """Write the store's latest change per key, tombstones included, to a new store.
+def fold(spark: SparkSession, store: str, keys: Sequence[str], order_by: Sequence[str]) -> int:
+    """Merge all batches so far into a new base, tombstones included; returns the last of them.
 
-    Run it between stream runs and continue on the new path.
+    Run it between stream runs. A later replay of an included batch changes nothing.
     """
-    changes = spark.read.parquet(f"{store}/changes")
-    last_batch = changes.agg(F.max("__batch")).first()[0]
-    latest = latest_per_key(changes, keys, [*order_by, "-__batch"]).drop("__batch")
-    latest.write.mode("errorifexists").parquet(f"{folded}/changes/__batch={last_batch}")
+    entries = _entries(spark, store)
+    upto = entries.agg(F.max("__batch")).first()[0]
+    latest = latest_per_key(entries, keys, [*order_by, "-__batch"]).drop("__batch")
+    latest.write.mode("overwrite").parquet(f"{store}/base/upto-{upto}")
+    spark.range(1).select(F.lit(upto).alias("upto")).write.mode("append").parquet(f"{store}/folds")
+    return upto
 
 
 def replicate_stream(feed: DataFrame, keys: Sequence[str], store: str, checkpoint: str,

@@ -157,6 +157,18 @@ def test_rescue_keeps_every_row(spark):
     assert sorted(r["file_path"] for r in report) == ["f0", "f1", "f2", "f4"]
 
 
+def test_rescue_looks_into_structs_arrays_and_maps(spark):
+    shape = "items ARRAY<STRUCT<quantity: INT, tags: ARRAY<INT>>>, c STRUCT<name: STRING>, m MAP<STRING, INT>"
+    lines = ['{"items":[{"quantity":1,"tags":[1,2]}],"c":{"name":"x"},"m":{"a":1}}',
+             '{"items":[{"quantity":"two","gift":true}],"c":{"extra":9}}', '{"items":[{"quantity":1,"tags":[1,"z"]}]}',
+             '{"m":{"a":"b"}}', '{"items":[],"c":{},"m":{}}', '{"items":null}']
+    got = [r._rescued_data and json.loads(r._rescued_data) for r in rescue_json(
+        spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "n INT, value STRING").repartition(1).sortWithinPartitions("n"),
+        shape).sort("n").collect()]
+    assert [g and sorted(g) for g in got] == [None, ["c", "items"], ["items"], ["m"], None, None]
+    assert json.loads(got[1]["items"]) == [{"quantity": "two", "gift": True}] and json.loads(got[1]["c"]) == {"extra": 9}
+
+
 def test_decode_records(spark):
     df = spark.createDataFrame([(bytearray(b"k"), bytearray(b'{"a":1,"b":"x"}'), 3), (None, bytearray(b"bad"), 4)],
                                "key BINARY, value BINARY, offset BIGINT")
@@ -199,7 +211,12 @@ def test_scratch_folder_comes_from_the_session(spark, monkeypatch):
         class sparkContext:
             master = "local[2]"
 
-    assert "lakeops-" in session.scratch_path(Bare, "x")
-    Bare.sparkContext.master = "yarn"
+    monkeypatch.setattr(session, "_local_root", [])
     with pytest.raises(ValueError, match="checkpoint"):
         session.scratch_path(Bare, "x")
+    session.allow_local_scratch()
+    assert "lakeops-" in session.scratch_path(Bare, "x")
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        Bare.sparkContext.master = master
+        with pytest.raises(ValueError, match="checkpoint"):
+            session.scratch_path(Bare, "x")

@@ -1,3 +1,5 @@
+import json
+import os
 from datetime import datetime
 
 import pytest
@@ -45,10 +47,70 @@ def test_new_column_fails_once_then_loads(spark, tmp_path, land):
         run()
     assert e.value.schema_recorded and spark.read.parquet(sink).count() == 1
     run()
-    rows = spark.read.option("mergeSchema", True).parquet(sink).orderBy("id").collect()
+    rows = flows.read_sink(spark, sink).orderBy("id").collect()
     assert [(r["id"], r["discount"]) for r in rows] == [(1, None), (2, "0.5")]
 
 
+def test_a_late_file_with_an_old_time_is_looked_at(spark, tmp_path, land):
+    src = land("1.json", '{"id":1}')
+    sink, cp = str(tmp_path / "s"), str(tmp_path / "c")
+    run = lambda: flows.ingest_stream(spark, src, "json", sink, cp, hints="id BIGINT")
+    run()
+    land("0.json", '{"id":2,"extra":"kept"}')
+    os.utime(f"{src}/0.json", (10**9, 10**9))
+    with pytest.raises(UnknownFieldError):
+        run()
+    run()
+    assert sorted((r.id, r.extra) for r in flows.read_sink(spark, sink).collect()) == [(1, None), (2, "kept")]
+
+
+def test_values_that_do_not_fit_are_kept_in_every_mode(spark, tmp_path, land):
+    src = land("1.json", '{"id":1,"v":"2"}', '{"id":"one","v":"3"}')
+    for mode in ("addNewColumns", "none", "rescue"):
+        sink = str(tmp_path / mode)
+        flows.ingest_stream(spark, src, "json", sink, f"{sink}-c", hints="id BIGINT", evolution=mode)
+        got = {r.v: r for r in flows.read_sink(spark, sink).collect()}
+        assert got["2"]._rescued_data is None and "one" in got["3"]._rescued_data and got["3"].id is None
+
+
+def test_csv_rescue(spark, tmp_path, land):
+    src = land("1.csv", "id,name", "1,lamp", "two,desk", "3,rug,extra")
+    sink = str(tmp_path / "s")
+    flows.ingest_stream(spark, src, "csv", sink, str(tmp_path / "c"), "id INT, name STRING", evolution="rescue", header="true")
+    got = sorted((r.name, r.id, r._rescued_data) for r in flows.read_sink(spark, sink).collect())
+    assert [g[:2] for g in got] == [("desk", None), ("lamp", 1), ("rug", 3)]
+    assert "two,desk" in got[0][2] and got[1][2] is None and "3,rug,extra" in got[2][2]
+
+
+def test_a_new_column_reaches_silver(spark, tmp_path):
+    landing, out = tmp_path / "landing", str(tmp_path / "out")
+    line = {"item_id": "X9", "quantity": 1, "unit_price": 4.0}
+    def put(folder, name, row):
+        (landing / folder).mkdir(parents=True, exist_ok=True)
+        (landing / folder / name).write_text(json.dumps(row) + "\n")
+    order = {"order_id": 31, "customer_id": 5, "order_ts": "2031-05-01T10:00:00", "status": "placed", "currency": "EUR",
+             "amount": 4.0, "items": [line]}
+    put("customers", "a.json", {"customer_id": 5, "name": "Ro", "email": "r@y.example", "country": "FR",
+                                "signup_date": "2030-01-01", "tier": "gold"})
+    put("items", "a.json", {"item_id": "X9", "name": "thing", "category": "c", "price": 4.0, "in_stock": True})
+    put("orders", "1.json", order)
+    from lakeops.plans import medallion as m
+    hints = {"customers": "customer_id BIGINT", "orders": "order_id BIGINT, customer_id BIGINT, order_ts TIMESTAMP, "
+             "amount DOUBLE, items ARRAY<STRUCT<item_id: STRING, quantity: INT, unit_price: DOUBLE>>"}
+    places = {n: m.Landing(f"{landing}/{n}", "json", None, {"hints": hints[n]}) for n in hints}
+    places["items"] = m.Landing(f"{landing}/items", "json", "item_id STRING, name STRING, category STRING, price DOUBLE, in_stock BOOLEAN")
+    silver = _orders_of(m.refresh_medallion(spark, places, out, "2040-01-01"))
+    assert silver == {31: 0.0}
+    put("orders", "3.json", {**order, "order_id": 33, "discount_amount": 2.5})
+    with pytest.raises(UnknownFieldError):
+        m.refresh_medallion(spark, places, out, "2040-01-01")
+    assert _orders_of(m.refresh_medallion(spark, places, out, "2040-01-01")) == {31: 0.0, 33: 2.5}
+
+
+def _orders_of(tables):
+    return {r.order_id: float(r.discount_amount) for r in tables["silver_orders"].collect()}
+
+
 def test_complete_aggregate_equals_batch(spark, tmp_path, land):
     src = land("a.json", '{"k":"x","v":1}', '{"k":"y","v":2}')
     sink, cp = str(tmp_path / "s"), str(tmp_path / "c")
@@ -103,10 +165,18 @@ def test_upsert_store(spark, tmp_path, land, rows):
     assert run() == [(1, "c"), (2, "x")]
     land("b.json", event(1, 2, "late"), event(2, 2, "x", "D"), event(3, 1, "n"))
     assert run() == [(1, "c"), (3, "n")]
-    folded = str(tmp_path / "folded")
-    upserts.fold(spark, store, folded, ["id"], order)
+    last = upserts.fold(spark, store, ["id"], order)
     land("c.json", event(2, 1, "older than the delete"), event(3, 5, "new"))
-    assert run(folded) == [(1, "c"), (3, "new")]
+    assert run() == [(1, "c"), (3, "new")]
+    upserts.fold(spark, store, ["id"], order)
+    # A crash after the last batch was written: it is replayed under the same number.
+    commits = sorted((tmp_path / "c" / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    commits[-1].write_bytes(b"")
+    os.remove(commits[-1])
+    (tmp_path / "c" / "commits" / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    assert run() == [(1, "c"), (3, "new")]
+    assert last == 1 and len(list((tmp_path / "st" / "base").glob("upto-*"))) == 2
+
 
 
 def test_replica_follows_scd2_feed(spark, tmp_path, rows):
