@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from lakeops.functions.columns import derive_region, money
+from lakeops.functions.columns import REGION_COUNTRIES, derive_region, money
 from lakeops.operators.clean import load_typed, normalize_customers, order_lines, uncastable_rows
 from lakeops.operators.ordering import latest_per_key
 from lakeops.plans import domain as d
@@ -131,11 +131,8 @@ def _coded_customers(spark, sf):
 
 
 _CODE_SQL = "list_extract([" + ", ".join(f"'{c}'" for c in _CODES) + "], c_nationkey + 1)"
-_REGION_SQL = """CASE
-    WHEN code IN ('DE','FR','IT','ES','NL','PL','IE','SE','CZ','AT','BE','DK','FI') THEN 'EU'
-    WHEN code IN ('US','CA') THEN 'NA' WHEN code IN ('JP','CN','IN','SG','AU','KR') THEN 'APAC'
-    WHEN code IN ('BR','MX','AR','CL','CO') THEN 'LATAM'
-    WHEN code IN ('AE','SA','EG','ZA') THEN 'EMEA' ELSE 'OTHER' END"""
+_REGION_SQL = "CASE " + " ".join(
+    f"WHEN list_contains({list(codes)}, code) THEN '{region}'" for region, codes in REGION_COUNTRIES.items()) + " ELSE 'OTHER' END"
 
 
 @query("region_from_country", "P9", sql=f"""

@@ -68,8 +68,8 @@ def _(spark, sf):
     whole = F.max("max_l_orderkey") - F.min("min_l_orderkey")
     all_days = F.date_diff(F.max("max_l_shipdate"), F.min("min_l_shipdate"))
     # Four ranges on each axis would be ideal; borders that cut through them cost some of it.
-    return files.agg(F.count(F.lit(1)).alias("files"), (width < 0.45 * whole).alias("narrow_orders"),
-                     (days < 0.45 * all_days).alias("narrow_dates"), F.sum("rows").alias("n"))
+    return files.agg(F.count(F.lit(1)).alias("files"), (width < 0.5 * whole).alias("narrow_orders"),
+                     (days < 0.5 * all_days).alias("narrow_dates"), F.sum("rows").alias("n"))
 
 
 @query("clustered_by_name", "K15", sql="""

@@ -146,8 +146,8 @@ def _(spark, sf):
     WITH daily AS (SELECT order_date, region, count(DISTINCT order_id) AS o, sum(amount) AS r
                    FROM sales JOIN customers USING (customer_id) GROUP BY ALL)
     SELECT region, count(*) AS days, sum(o)::BIGINT AS orders, CAST(sum(r) AS DOUBLE) AS revenue,
-           '[' || region || '] ' || count(*) || ' day(s), ' || sum(o)::BIGINT || ' order(s), total revenue '
-               || sum(r)::DECIMAL(38,2)::VARCHAR AS summary
+           region || ': revenue of ' || sum(r)::DECIMAL(38,2)::VARCHAR || ' from ' || sum(o)::BIGINT || ' orders on '
+               || count(*) || ' days' AS summary
     FROM daily GROUP BY region""", "sales", "customers"))
 def _(spark, sf):
     return m.region_summaries(gold_daily_revenue_by_geography(spark, sf))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.columns import derive_region
@@ -123,13 +123,18 @@ def gold_top_10_items(lines: DataFrame, items: DataFrame, k: int = 10) -> DataFr
                          "rank_units")
 
 
+def _summary(region: Column) -> Column:
+    """One line of text over the columns days, orders and revenue."""
+    money = F.col("revenue").cast("decimal(38,2)").cast("string")
+    return F.format_string("%s: revenue of %s from %d orders on %d days", region, money, "orders", "days")
+
+
 def region_report(daily: DataFrame, top: DataFrame, region: str) -> dict[str, DataFrame]:
     """Daily revenue, best customers and a summary line of one region."""
     days = daily.where(F.col("region") == region)
     line = summary_row(days).select(
         F.lit(region).alias("region"), "days", "orders", "revenue",
-        F.format_string(f"[{region}] %d day(s), %d order(s), total revenue %s", "days", "orders",
-                        F.col("revenue").cast("decimal(38,2)").cast("string")).alias("summary"))
+        _summary(F.lit(region)).alias("summary"))
     return {
         "daily": days.select("order_date", "orders", "revenue", "avg_order_amount"),
         "top_customers": top.where(F.col("region") == region).select(
@@ -143,24 +148,20 @@ def region_summaries(daily: DataFrame) -> DataFrame:
     sums = daily.groupBy("region").agg(
         F.count(F.lit(1)).alias("days"), F.sum("orders").alias("orders"),
         F.sum("revenue").alias("revenue"))
-    text = F.concat(F.lit("["), "region", F.lit("] "), F.col("days").cast("string"),
-                    F.lit(" day(s), "), F.col("orders").cast("string"),
-                    F.lit(" order(s), total revenue "),
-                    F.col("revenue").cast("decimal(38,2)").cast("string"))
-    return sums.select("*", text.alias("summary"))
+    return sums.select("*", _summary(F.col("region")).alias("summary"))
 
 
 def gold_audit(daily: DataFrame, customers: DataFrame, items: DataFrame, as_of: str,
                k: int = 10, on_violation: str = "rows") -> DataFrame:
     """Violations over the gold datasets; an item is fine when either of its ranks is."""
     return audit([
-        violations(daily, "gold_daily_revenue: NULL/negative revenue or bad date",
+        violations(daily, "daily revenue without a value, below zero or undated",
                    "revenue IS NULL OR revenue < 0 OR order_date IS NULL "
                    f"OR order_date > DATE'{as_of}'"),
-        is_empty(daily, "gold_daily_revenue: table empty after refresh"),
-        violations(customers, "gold_top_10_customers: rank, NULL key, or non-positive spend",
+        is_empty(daily, "no daily revenue at all"),
+        violations(customers, "best customers out of rank, without an id or without spend",
                    f"rank > {k} OR customer_id IS NULL OR lifetime_spend <= 0"),
-        violations(items, "gold_top_10_items: rank or non-positive units/revenue",
+        violations(items, "best items out of both ranks or without sales",
                    f"(rank_revenue > {k} AND rank_units > {k}) OR units_sold <= 0 "
                    "OR revenue <= 0"),
     ], on_violation)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,18 +71,21 @@ def refresh_and_count(spark: SparkSession, table: str) -> int:
     return spark.table(table).count()
 
 
-def synthetic_orders(spark: SparkSession, n: int, customers: int = 20,
+def synthetic_orders(spark: SparkSession, n: int, customers: int = 500, days: int = 28,
                      seed: int = 7) -> DataFrame:
-    """Generated orders whose values depend on the id and ``seed`` only."""
-    part = F.pmod(F.xxhash64(F.col("id"), F.lit(seed)), F.lit(20_000))
+    """Generated orders. Every value is drawn by a hash of the id, the column and ``seed``, so any
+    partitioning gives the same rows; small customer numbers order most."""
+    def draw(column: str, values: int) -> Column:
+        return F.pmod(F.xxhash64("id", F.lit(column), F.lit(seed)), F.lit(values))
+
+    share = (draw("customer", 1_000_000) + 1) / 1_000_000
+    placed = F.timestamp_seconds(F.lit(1_900_000_000) + draw("day", days) * 86_400 + draw("second", 86_400))
+    states = F.array(*[F.lit(s) for s in ("open", "paid", "sent", "returned")])
     return spark.range(n).select(
-        F.col("id").alias("order_id"),
-        (F.col("id") % customers + 1).alias("customer_id"),
-        F.expr("timestampadd(SECOND, id, TIMESTAMP'2026-06-01 00:00:00')").alias("order_ts"),
-        F.expr("date_add(DATE'2026-06-01', CAST(id DIV 5000 AS INT))").alias("order_date"),
-        F.when(F.col("id") % 4 == 0, "cancelled").otherwise("placed").alias("status"),
-        F.when(F.col("id") % 3 == 0, "USD").otherwise("EUR").alias("currency"),
-        (part / 100).alias("amount"), F.lit(0.0).alias("discount_amount"))
+        F.col("id").alias("order_id"), F.ceil(share * share * customers).alias("customer_id"),
+        placed.alias("order_ts"), placed.cast("date").alias("order_date"),
+        F.get(states, draw("state", 4).cast("int")).alias("status"),
+        (draw("cents", 25_000) / 100).alias("amount"))
 
 
 def skewed_orders(spark: SparkSession, hot: int, others: int = 19, each: int = 100,

@@ -120,7 +120,7 @@ def test_compaction_of_one_partition(spark, tmp_path):
 
 def test_string_keys_cluster_by_their_whole_value(spark, tmp_path):
     names = spark.range(20_000).selectExpr("format_string('Customer#%09d', id) AS name", "id % 97 AS b")
-    for keys, most in ((["name"], 0.08), (["name", "b"], 0.45)):
+    for keys, most in ((["name"], 0.08), (["name", "b"], 0.5)):
         path = str(tmp_path / "-".join(keys))
         cluster_by(names, keys, 16).write.parquet(path)
         files = file_ranges(spark.read.parquet(path), ["name"]).collect()
@@ -163,10 +163,10 @@ def test_medallion(spark, tmp_path):
     assert [(str(r["order_date"]), r["region"], r["orders"], r["revenue"], r["avg_order_amount"]) for r in daily] == [
         ("2026-06-01", "EU", 2, 80.0, 40.0)]
     report = m.region_report(out["gold_daily_revenue"], out["gold_top_10_customers"], "EU")
-    assert report["summary"].first()["summary"] == "[EU] 1 day(s), 2 order(s), total revenue 80.00"
+    assert report["summary"].first()["summary"] == "EU: revenue of 80.00 from 2 orders on 1 days"
     assert report["top_customers"].first()["name"] == "Anna"
     empty = m.region_report(out["gold_daily_revenue"], out["gold_top_10_customers"], "APAC")["summary"].first()
-    assert empty["summary"] == "[APAC] 0 day(s), 0 order(s), total revenue 0.00"
+    assert empty["summary"] == "APAC: revenue of 0.00 from 0 orders on 0 days"
     with pytest.raises(Exception, match="audit failed"):
         m.run_medallion(bronze, str(tmp_path / "m2"), "2026-01-01")
 
