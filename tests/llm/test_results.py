@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -43,12 +44,13 @@ def luhn(digits):
     return total % 10 == 0
 
 
+FORMS = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+         r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
 def base_spans(text):
-    forms = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-             ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"),
-             ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")]
     out = []
-    for i, (kind, form) in enumerate(forms):
+    for i, (kind, form) in enumerate(zip(pii.KINDS, FORMS, strict=True)):
         for m in re.finditer(form, text):
             digits = re.sub("[^0-9]", "", m.group())
             bad = (kind == "ip" and any(int(p) > 255 for p in m.group().split("."))
@@ -88,6 +90,58 @@ def test_telling_terms_are_found_near_their_entity(docs):
     assert "zanzibarov" not in clean[0] and "[EMAIL]" in clean[0] and clean[100] == dict(rows)[100]
 
 
+def slow_report(rows, reach=48, min_contexts=3, generalise_at=0.7, remove_at=0.95):
+    """All spans of each row, by counting in Python."""
+    near, counted = [], Counter()
+    for i, text in rows:
+        counted.update(w.lower() for w in regex.findall(r"\p{L}{3,}", text))
+        for rank, (kind, form) in enumerate(zip(pii.KINDS, FORMS, strict=True)):
+            found = list(re.finditer(form, text))
+            borders = [0, *[m.end() for m in found]]
+            for n, m in enumerate(found):
+                if f"{kind}:{m.start()}:{m.end()}" not in base_spans(text).split(","):
+                    continue
+                stop = found[n + 1].start() if n + 1 < len(found) else len(text)
+                before, after = text[borders[n]:m.start()][-reach - 1:], text[m.end():stop][:reach + 1]
+                value = re.sub("[^0-9]", "", m.group()) if kind in ("card", "phone") else m.group().lower()
+                context = (before.lower(), after.lower())
+                left = regex.sub(r"^\p{L}+", "", before) if len(before) > reach else before
+                right = regex.sub(r"\p{L}+$", "", after) if len(after) > reach else after
+                for at, side in ((m.start() - len(left), left), (m.end(), right)):
+                    near += [(i, (kind, value), context, w.group().lower(), at + w.start(), at + w.end())
+                             for w in regex.finditer(r"\p{L}{3,}", side)]
+    both, around = Counter((e, t) for _, e, _, t, *_ in near), Counter(e for _, e, *_ in near)
+    contexts = {}
+    for _, e, c, t, *_ in near:
+        contexts.setdefault((e, t), set()).add(c)
+    out = {i: {s: None for s in base_spans(text).split(",") if s} for i, text in rows}
+    told = {}
+    for i, e, _, t, start, end in near:
+        prior = min(0.5, around[e] / counted.total())
+        disclosed = np.log2(min(1, both[e, t] / counted[t]) / prior) / -np.log2(prior)
+        if len(contexts[e, t]) >= min_contexts and disclosed >= generalise_at:
+            told[i, start, end] = max(disclosed, told.get((i, start, end), 0))
+    for (i, start, end), disclosed in told.items():
+        out[i][f"{'removed' if disclosed >= remove_at else 'term'}:{start}:{end}"] = None
+    order = {k: n for n, k in enumerate([*pii.KINDS, "term", "removed"])}
+    key = lambda s: (int(s.split(":")[1]), min(order[s.split(":")[0]], 4), int(s.split(":")[2]))
+    return {i: ",".join(sorted(spans, key=key)) for i, spans in out.items()}
+
+
+def test_all_spans_equal_a_count_in_python(docs, texts):
+    rng, rows = random.Random(9), list(texts.items())
+    holders = [t for _, t in rows if base_spans(t) and len(t) < 3000][:5]
+    for n, text in enumerate(holders):
+        for k in range(6):
+            words = text.split(" ")
+            for _ in range(max(2, len(words) // 8)):
+                words[rng.randrange(len(words))] = rng.choice(["alpha", "beta", "gammas"])
+            rows.append((10_000 + 10 * n + k, " ".join(words)))
+    want = slow_report(rows)
+    got = {r.doc_id: r.spans for r in pii.personal_data_report(docs(rows)).collect()}
+    assert got == want and sum("term:" in s or "removed:" in s for s in want.values()) > 5
+
+
 def test_copies_are_one_context(docs):
     rows = [(i, "unusualword near z@x.org and more") for i in range(9)] + [(50, "and more and more near")]
     assert all(r.n_terms == 0 for r in pii.personal_data_report(docs(rows)).collect())
