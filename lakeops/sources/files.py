@@ -58,8 +58,15 @@ def with_provenance(df: DataFrame) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """Paths, modification times and sizes; file contents are not read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    """Paths, modification times and sizes; file contents are not read.
+
+    The number of tasks follows the number of cores, not the bytes behind the names: the sizes of
+    scan tasks are set in a session of its own.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50))
+    own.conf.set("spark.sql.files.openCostInBytes", "1")
+    reader = own.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     return reader.load(path).select("path", "modificationTime", "length")
