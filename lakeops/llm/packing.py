@@ -168,48 +168,60 @@ def curve_keys(coded: list[bytes], table: np.ndarray) -> np.ndarray:
     return hilbert_key(np.minimum((share * (1 << BITS)).astype(np.int64), (1 << BITS) - 1))
 
 
-def tokenised(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """doc_id, curve key and ids (16-bit, with the end id) of every row."""
+def tokenised(docs: DataFrame, vocabulary: str, part_ids: int = 4096) -> DataFrame:
+    """The ids of every row (16-bit, with the end id) in parts of ``part_ids``: doc_id, curve key,
+    start, tokens of the document, ids. So a row is never larger than a part, however long a text."""
     end = np.array([END_ID], "<u2").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, table = PieceCoder.of(vocabulary), projection()
-        for part in in_slices(batches, 128):
-            coded = coder.encode([t or "" for t in part.column("text").to_pylist()])
+        for batch in in_slices(batches, 128):
+            coded = coder.encode([t or "" for t in batch.column("text").to_pylist()])
+            keys = curve_keys(coded, table)
+            rows = [(i, start, len(c) // 2 + 1, (c + end)[2 * start:2 * (start + part_ids)])
+                    for i, c in enumerate(coded) for start in range(0, len(c) // 2 + 1, part_ids)]
+            index, starts, tokens, ids = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(curve_keys(coded, table), pa.int64()),
-                 pa.array([c + end for c in coded], pa.binary())], ["doc_id", "curve", "ids"])
+                [batch.column("doc_id").take(pa.array(index, pa.int64())), pa.array(keys[list(index)], pa.int64()),
+                 pa.array(starts, pa.int64()), pa.array(tokens, pa.int64()), pa.array(ids, pa.binary())],
+                ["doc_id", "curve", "start", "tokens", "ids"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {kind}, curve long, ids binary")
+    return docs.select("doc_id", "text").mapInArrow(
+        encode, f"doc_id {kind}, curve long, start long, tokens long, ids binary")
 
 
 def pack_run(rows: Iterator[tuple], length: int) -> Iterator[tuple]:
-    """Lay (doc_id, ids) end to end; (doc_id, start, length, crc, doc tokens, sequence, offset)."""
+    """Lay (doc_id, start, doc tokens, ids) end to end;
+    (doc_id, start, length, crc, doc tokens, sequence, offset) for each piece."""
     sequence = offset = 0
-    last: list[tuple] = []  # pieces of the sequence that isn't full yet: doc_id, start, ids, tokens
-    for doc_id, ids in rows:
-        tokens, start = len(ids), 0
-        while start < tokens:
-            size = min(tokens - start, length - offset)
-            last.append((doc_id, start, ids[start:start + size], tokens))
-            start, offset = start + size, offset + size
+    open_pieces: list[tuple] = []  # doc_id, start, doc tokens, list of ids; of the sequence that isn't full
+    for doc_id, start, tokens, ids in rows:
+        while len(ids):
+            own, ids = ids[:length - offset], ids[length - offset:]
+            before = open_pieces[-1] if open_pieces else None
+            if (before and before[0] == doc_id and before[2] == tokens
+                    and before[1] + sum(map(len, before[3])) == start):
+                before[3].append(own)  # the next part of the same document
+            else:
+                open_pieces.append((doc_id, start, tokens, [own]))
+            start, offset = start + len(own), offset + len(own)
             if offset == length:
-                yield from _placed(last, [length], sequence)
-                sequence, offset, last = sequence + 1, 0, []
+                yield from _placed(open_pieces, [length], sequence)
+                sequence, offset, open_pieces = sequence + 1, 0, []
     powers = [1 << b for b in range(offset.bit_length() - 1, -1, -1) if offset >> b & 1]
-    yield from _placed(last, powers, sequence)
+    yield from _placed(open_pieces, powers, sequence)
 
 
 def _placed(pieces: list[tuple], sizes: list[int], sequence: int) -> Iterator[tuple]:
     """Cut pieces at the ends of sequences of the given sizes, which together they fill."""
     at, room = 0, list(sizes)
-    for doc_id, start, ids, tokens in pieces:
+    for doc_id, start, tokens, runs in pieces:
+        ids = np.concatenate(runs).astype("<u4")
         done = 0
         while done < len(ids):
             size = min(len(ids) - done, room[0] - at)
-            crc = zlib.crc32(ids[done:done + size].astype("<u4").tobytes())
-            yield doc_id, start + done, size, crc, tokens, sequence, at
+            yield (doc_id, start + done, size, zlib.crc32(ids[done:done + size].tobytes()), tokens, sequence, at)
             done, at = done + size, at + size
             if at == room[0]:
                 room.pop(0)
@@ -222,11 +234,12 @@ def pack(docs: DataFrame, vocabulary: str, length: int = 2048, ids_per_range: in
     coded = settle(tokenised(docs, vocabulary), "tokens")
     total = coded.agg(F.sum(F.length("ids"))).first()[0] or 0
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (2 * ids_per_range)))
-    # Equal keys (copies, empty texts) may be a third of all rows: the id's hash splits them.
+    # Equal keys (copies, empty texts) may be a third of all rows: the id's hash splits them. Ranges
+    # hold even numbers of parts, so long documents weigh no more in one than in another.
     tie = F.xxhash64("doc_id")
-    ranged = (coded.withColumn("tie", tie).repartitionByRange(ranges, "curve", "tie")
-              .sortWithinPartitions("curve", "tie", "doc_id", "ids")
-              .select(F.spark_partition_id().alias("part"), "doc_id", "ids"))
+    ranged = (coded.withColumn("tie", tie).repartitionByRange(ranges, "curve", "tie", "start")
+              .sortWithinPartitions("curve", "tie", "doc_id", "start", "ids")
+              .select(F.spark_partition_id().alias("part"), "doc_id", "start", "tokens", "ids"))
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, " + ", ".join(f"{n} long" for n in names[1:])
@@ -237,8 +250,9 @@ def pack(docs: DataFrame, vocabulary: str, length: int = 2048, ids_per_range: in
         def rows() -> Iterator[tuple]:
             for batch in in_slices(batches):
                 own[0], id_type[0] = batch.column("part")[0].as_py(), batch.schema.field("doc_id").type
-                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
-                    yield doc_id, np.frombuffer(ids.as_buffer(), "<u2")
+                for *row, ids in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "start", "tokens")),
+                                     batch.column("ids"), strict=True):
+                    yield *row, np.frombuffer(ids.as_buffer(), "<u2")
 
         def batch_of(held: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*held))
