@@ -91,7 +91,9 @@ def sweep(keyed: DataFrame, stacks: DataFrame, ranges: int) -> DataFrame:
     begin = ends.select(F.col("key").alias("at"), "stack")
     close = ends.select(F.concat("key", F.lit("FF")).alias("at"), F.coalesce("below", none).alias("stack"))
     # The stack at a border is that of the innermost rule host its key begins with.
-    opened = spark.createDataFrame([(i, c) for i, c in enumerate(["", *cuts])], "part int, at string")
+    starts = F.split(F.lit(",".join(["", *cuts])), ",")
+    opened = spark.range(len(cuts) + 1).select(
+        F.col("id").cast("int").alias("part"), F.element_at(starts, (F.col("id") + 1).cast("int")).alias("at"))
     reached = (opened.filter("at != ''")
                .select("part", F.explode(_endings(F.expr("left(at, length(at) - 18)"))).alias("key"))
                .join(stacks, "key").groupBy("part").agg(F.max_by("stack", F.length("key")).alias("stack")))
@@ -136,4 +138,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, ranges: int | None = None) -
 
 
 def rules_of(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
-    return spark.createDataFrame(rules, "action string, rule string")
+    """A short list of (action, ``host/path``) as a table."""
+    one = spark.range(1)
+    if not rules:
+        return one.select(F.lit("").alias("action"), F.lit("").alias("rule")).where(F.lit(False))
+    return one.select(F.inline(F.array(*[
+        F.struct(F.lit(action).alias("action"), F.lit(rule).alias("rule")) for action, rule in rules])))
