@@ -1,6 +1,6 @@
 """Compaction and clustering: same rows, better files."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.columns import money
@@ -26,8 +26,8 @@ def _(spark, sf):
     path = scratch_path(spark, "packed")
     table(spark, sf, "lineitem").repartition(24).write.parquet(path)
     compact(spark, path, 1 << 30)
-    files = file_ranges(spark.read.parquet(path), ["l_orderkey"]).agg(F.count(F.lit(1)).alias("files"))
-    return _with(files, _content(spark.read.parquet(path)))
+    files = file_ranges(spark.read.parquet(path), ["l_orderkey"]).count()
+    return _content(spark.read.parquet(path)).withColumn("files", F.lit(files))
 
 
 @query("compacted_partition", "K14", sql=_SAME_ROWS.replace(
@@ -43,11 +43,6 @@ def _(spark, sf):
     return _content(packed).join(files, "l_returnflag")
 
 
-def _with(one: DataFrame, rows: DataFrame) -> DataFrame:
-    """The single row ``one`` beside every row, by an equality both have."""
-    return rows.withColumn("__one", F.lit(1)).join(one.withColumn("__one", F.lit(1)), "__one").drop("__one")
-
-
 @query("clustered_table", "K15", sql=_SAME_ROWS)
 def _(spark, sf):
     path = scratch_path(spark, "clustered")

@@ -168,12 +168,10 @@ def _(spark, sf):
     suppliers = table(spark, sf, "supplier")
     suppliers.select(F.concat_ws("|", F.col("s_suppkey").cast("string"), F.col("s_nationkey").cast("string"))).write.text(path)
     lines = read_files(spark, path, "text")
-    size = lines.agg(F.sum(F.length("value") + 1).alias("b")).withColumn("one", F.lit(1))
-    files = list_files(spark, path, "part-*").agg(F.sum("length").alias("f")).withColumn("one", F.lit(1))
-    same = size.join(files, "one").select("one", (F.col("b") == F.col("f")).alias("same_bytes"))
-    per_nation = lines.groupBy(F.split("value", r"\|")[1].cast("bigint").alias("s_nationkey")).agg(
-        F.count(F.lit(1)).alias("n"), F.lit(1).alias("one"))
-    return per_nation.join(same, "one").drop("one")
+    size = lines.agg(F.sum(F.length("value") + 1)).first()[0]
+    on_disk = list_files(spark, path, "part-*").agg(F.sum("length")).first()[0]
+    return lines.groupBy(F.split("value", r"\|")[1].cast("bigint").alias("s_nationkey")).agg(
+        F.count(F.lit(1)).alias("n")).withColumn("same_bytes", F.lit(size == on_disk))
 
 
 def _place_file(spark, rows, path):
