@@ -115,18 +115,19 @@ def ablation(rows: DataFrame, policies: tuple[Policy, ...]) -> DataFrame:
     a policy of r rules sees 2 ** r combinations at most.
     """
     states = rows.groupBy("failed").agg(F.count("*").alias("n"))
-    asked = rows.sparkSession.createDataFrame(
-        [(p.name, p.version, p.mask(), r.name, 1 << i) for p in policies
-         for i, r in enumerate(RULES) if p.mask() >> i & 1],
-        "policy string, version int, mask bigint, rule string, bit bigint")
+    asked = [(p.name, p.version, p.mask(), r.name, 1 << i) for p in policies
+             for i, r in enumerate(RULES) if p.mask() >> i & 1]
+    question = F.array(*[F.struct(
+        F.lit(name).alias("policy"), F.lit(version).alias("version"), F.lit(mask).cast("bigint").alias("mask"),
+        F.lit(rule).alias("rule"), F.lit(bit).cast("bigint").alias("bit")) for name, version, mask, rule, bit in asked])
     seen = F.col("failed").bitwiseAND(F.col("mask"))
 
     def total(condition: Column, name: str) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).alias(name)
 
-    one = F.lit(1)
-    return (asked.withColumn("all", one).join(states.withColumn("all", one), "all", "left")
-            .groupBy("policy", "version", "rule")
-            .agg(total(seen == 0, "kept"), total(seen.bitwiseAND(F.col("bit")) != 0, "failing"),
-                 total(seen == F.col("bit"), "only_this_rule"),
-                 total(seen.bitwiseAND(F.bitwise_not("bit")) == 0, "kept_without")))
+    counts = (states.select("failed", "n", F.inline(question)).groupBy("policy", "version", "rule")
+              .agg(total(seen == 0, "kept"), total(seen.bitwiseAND(F.col("bit")) != 0, "failing"),
+                   total(seen == F.col("bit"), "only_this_rule"),
+                   total(seen.bitwiseAND(F.bitwise_not("bit")) == 0, "kept_without")))
+    every = rows.sparkSession.range(1).select(F.inline(question)).select("policy", "version", "rule")
+    return every.join(counts, ["policy", "version", "rule"], "left").fillna(0)
