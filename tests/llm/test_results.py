@@ -275,6 +275,12 @@ def test_ablation_counts(spark, docs, texts):
         assert r.kept_without == sum(b & mask & ~bit == 0 for b in bits)
 
 
+def test_ablation_of_nothing(docs):
+    got = rules.ablation(rules.ledger(docs([])), (rules.BASE,)).collect()
+    assert [(r.rule, r.kept, r.failing, r.kept_without) for r in sorted(got)] == [
+        ("few_words", 0, 0, 0), ("repeated_words", 0, 0, 0)]
+
+
 # -- urls --------------------------------------------------------------------------------------------
 
 def verdict(url, given):
