@@ -4,8 +4,8 @@ A long text is cut into overlapping chunks that different tasks work on. Every c
 pre-tokens from its own first character, which may stand inside a pre-token, so the first boundaries
 can be wrong. But where a pre-token ends depends only on what follows its beginning: from the first
 boundary on that a chunk shares with its predecessor, both go on alike. So each task also
-splits the overlap the way the next chunk does, encodes its chunk up to the boundary that both
-share, and keeps where its own first pre-tokens begin; putting the chunks together drops the ids
+splits the overlap the way the next chunk does, encodes its chunk up to the first boundary that both
+share and that follows no whitespace (how whitespace is split depends on what comes after it), and keeps where its own first pre-tokens begin; putting the chunks together drops the ids
 before the boundary that the predecessor chose. A text without a shared boundary in some overlap (one
 pre-token longer than the overlap) is encoded in one piece instead. Ids are two bytes each.
 
@@ -47,6 +47,7 @@ class Codec:
             raise ValueError("ids of this vocabulary need more than 16 bits")
         self.tokens = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.pattern = regex.compile(pattern)
+        self.space = regex.compile(r"\s")
         self.written = [str(i) for i in range(1 << 16)]
 
     @classmethod
@@ -91,7 +92,8 @@ def encode_chunk(codec: Codec, text: str, size: int, overlap: int,
     own = codec.boundaries(text, 0, overlap if last else len(text))
     end = len(text)
     if not last:
-        end = min({b for b in own if b >= size} & set(codec.boundaries(text, size, end)), default=-1)
+        shared = {b for b in own if b >= size} & set(codec.boundaries(text, size, end))
+        end = min((b for b in shared if not codec.space.match(text, b - 1)), default=-1)
         if end < 0:
             return b"", [], [], -1
     heads = [b for b in own if b < min(overlap, end)]

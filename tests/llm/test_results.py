@@ -204,6 +204,19 @@ def test_bpe_equals_whole_texts(docs, texts, chunk, overlap):
     assert {r.doc_id: tuple(r)[1:] for r in got} == want
 
 
+def test_bpe_cut_after_whitespace(docs):
+    gaps = ["\n\n", "\t\t", "\n\n\n", " \n", "\n ", "\u2003\u2003"]
+    rows = [(i, ("lorem ipsum " * 40)[:398 - len(gap)] + "ab" + gap + "Gamma delta\t\tx " * 60)
+            for i, gap in enumerate(gaps)]
+    assert all(t[:400].endswith(gap) for (_, t), gap in zip(rows, gaps, strict=True))
+    rows += [(10 + i, "x" + t) for i, t in rows]  # a cut inside the run
+    codec = byte_bpe.Codec.of(RANKS, public_tokenizers.PATTERN)
+    got = byte_bpe.encode_documents(docs(rows), RANKS, public_tokenizers.PATTERN, 400, 60).collect()
+    want = {i: (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+            for i, t in rows for ids in [codec.tokens.encode_ordinary(t)]}
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256) for r in got} == want
+
+
 def test_packing_is_a_partition_of_all_ids(docs, texts):
     rows = [*list(texts.items())[:80], (9001, "word " * 9000), (9002, "ΣΑΣ. don't it's,.. 3.14%% ﬁ <|endoftext|>"), (9003, "")]
     tokenizer = Tokenizer.from_file(WORDS)
