@@ -6,6 +6,12 @@ divided by their lengths, one kernel for each n, averaged. The Nyström method r
 its values against a few landmark texts, on which a ridge regression per language (one against
 the rest) is solved. Scoring is two matrix products per batch of documents.
 
+Whether a text is in a learned language at all is decided apart from which one fits best, by how
+usual its longest n-grams are there: the mean, over the n-grams in it, of the share of the language's
+sample that has them. Texts of the sample are measured against the others, and a text below the
+``RARE`` quantile of every language is in none of them. Each quantile depends on one language's
+sample only, not on the number of languages.
+
 Learning takes at most ``per_language`` texts of each language (by id hash) and the
 ``max_languages`` most frequent languages; predictions read whole texts of all rows.
 
@@ -21,13 +27,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm.common import held_out, in_slices
 
 ORDERS = (1, 2, 3)
 SLOTS = 4096  # hashed n-grams of each order
+RARE = 0.005  # share of a language's own sample that counts as none of the learned languages
 LETTER = r"(?s).*\p{L}.*"
 
 
@@ -64,6 +71,8 @@ class KernelModel:
     landmarks: np.ndarray  # m x (orders * slots)
     weights: np.ndarray    # m x languages
     bias: np.ndarray
+    usual: np.ndarray      # languages x slots: share of the sample that has an n-gram of the last order
+    least: np.ndarray      # by language: how usual the n-grams of a text must be
 
     def margins(self, x: np.ndarray) -> np.ndarray:
         return (x @ self.landmarks.T) @ self.weights + self.bias
@@ -75,6 +84,30 @@ class KernelModel:
         e = np.exp(8 * (m - m.max(axis=1, keepdims=True)))
         return best, (e / e.sum(axis=1, keepdims=True))[np.arange(len(m)), best]
 
+    def is_learned(self, x: np.ndarray) -> np.ndarray:
+        """Whether each text is usual enough for some language, rather than in none."""
+        has = longest(x).astype(np.float32)
+        shares = (has @ self.usual.T) / np.maximum(has.sum(axis=1, keepdims=True), 1)
+        return (shares >= self.least).any(axis=1)
+
+
+def longest(x: np.ndarray) -> np.ndarray:
+    """Which n-grams of the last order occur, from unit rows."""
+    return x[:, -SLOTS:] > 0
+
+
+def usual_grams(x: np.ndarray, y: np.ndarray, n_languages: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of the n-grams in each language's sample, and the least mean share of its texts."""
+    usual = np.zeros((n_languages, SLOTS), np.float32)
+    least = np.zeros(n_languages, np.float32)
+    for k in range(n_languages):
+        has = longest(x[y == k])
+        usual[k], n = has.mean(axis=0), len(has)
+        if n > 1:  # each text against the others: it has all its own n-grams
+            share = (has @ usual[k]) / np.maximum(has.sum(axis=1), 1)
+            least[k] = np.quantile((n * share - 1) / (n - 1), RARE)
+    return usual, least
+
 
 def fit_kernel(x: np.ndarray, y: np.ndarray, languages: list[str], landmarks: int = 160,
                ridge: float = 1e-2, seed: int = 7) -> KernelModel:
@@ -96,7 +129,7 @@ def fit_kernel(x: np.ndarray, y: np.ndarray, languages: list[str], landmarks: in
                              zc.T @ ((goal - centre) * per_row))
     weights = root @ solved
     return KernelModel(languages, marks, weights.astype(np.float32),
-                       (centre - mean @ solved).astype(np.float32))
+                       (centre - mean @ solved).astype(np.float32), *usual_grams(x, y, len(languages)))
 
 
 def learn_languages(docs: DataFrame, per_language: int = 800, max_languages: int = 128,
@@ -137,25 +170,29 @@ def learn_languages(docs: DataFrame, per_language: int = 800, max_languages: int
 
 
 def language_of(model: KernelModel | None):
-    """A function of a text column that gives (lang, score)."""
-    @F.arrow_udf("lang string, score double")
+    """A function of a text column that gives (lang, score, learned)."""
+    @F.arrow_udf("lang string, score double, learned boolean")
     def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for chunk in texts:
-            langs, scores = [], []
+            langs, scores, learned = [], [], []
             for start in range(0, len(chunk), 128):
                 part = [t or "" for t in chunk.slice(start, 128).to_pylist()]
                 flags = np.stack([present(t) for t in part])
                 named = flags.any(axis=(1, 2))
                 if model is None:
-                    best, score = np.zeros(len(part), int), np.zeros(len(part))
+                    best, score, own = np.zeros(len(part), int), np.zeros(len(part)), np.zeros(len(part), bool)
                 else:
-                    best, score = model.predict(unit_rows(flags))
+                    x = unit_rows(flags)
+                    best, score = model.predict(x)
+                    own = model.is_learned(x)
                 for k, ok in enumerate(named):
                     ok = ok and model is not None
                     langs.append(model.languages[best[k]] if ok else "und")
                     scores.append(float(min(1.0, score[k])) if ok else 0.0)
+                    learned.append(bool(ok and own[k]))
             yield pa.StructArray.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
+                [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(learned, pa.bool_())],
+                ["lang", "score", "learned"])
     return predict
 
 
@@ -168,12 +205,7 @@ def identify_language(docs: DataFrame, **limits: int) -> DataFrame:
                     F.col("_llm_guess.score").alias("score")))
 
 
-def accepted(guess: Column, min_score: float = 0.2) -> Column:
-    """Whether a prediction is kept: a language is named, and not by a bare majority of noise."""
-    return (guess["lang"] != "und") & (guess["score"] >= min_score)
-
-
-def keep_identified(docs: DataFrame, min_score: float = 0.2, **limits: int) -> DataFrame:
-    """The rows of ``docs`` whose language is found, with all their columns."""
+def keep_identified(docs: DataFrame, **limits: int) -> DataFrame:
+    """The rows of ``docs`` in one of the learned languages, with all their columns."""
     predict = language_of(learn_languages(docs, **limits))
-    return docs.filter(accepted(predict("text"), min_score))
+    return docs.filter(predict("text")["learned"])

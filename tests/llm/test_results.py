@@ -179,6 +179,20 @@ def test_language_on_held_out_rows(spark):
     assert np.mean([r.lang_pred == known[r.doc_id] for r in got]) > 0.97
 
 
+@pytest.mark.parametrize("parts", [1, 2])
+def test_texts_of_no_learned_language_are_dropped(spark, parts):
+    own = common.table(spark, "/root/testdata/sf0.01", "documents").select(
+        "doc_id", "text", F.concat("lang", (F.col("doc_id") % parts).cast("string")).alias("lang"))
+    odd = ["Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw",
+           "xqzj vbkp wrtq zzxk plmk qwrt bvcx kjhg fdsa mnbv", "日本語の文章です。東京は大きい町です",
+           "Minä olen suomalainen ja asun Helsingissä, missä on kaunis kesä ja pitkä talvi",
+           "for (int i = 0; i < n; i++) { sum += a[i] * b[i]; } return sum;"]
+    planted = spark.createDataFrame([(10**7 + i, t, None) for i, t in enumerate(odd)], own.schema)
+    kept = {r.doc_id for r in langid.keep_identified(own.union(planted)).select("doc_id").collect()}
+    assert not {i for i in kept if i >= 10**7}
+    assert len(kept) >= 0.98 * own.filter(F.col("text").rlike(r"\p{L}")).count()
+
+
 def test_kernel_is_the_mean_of_the_presence_kernels():
     a, b = "the cat sat", "the dog sat down"
     flags = np.stack([langid.present(a), langid.present(b)])
