@@ -86,7 +86,17 @@ def find_entities(docs: DataFrame, reach: int = 48) -> DataFrame:
         for k in KINDS for name, c in (
             ("hit", F.regexp_extract_all(whole, F.lit(PATTERNS[k]), F.lit(0))),
             ("gap", F.split(whole, PATTERNS[k], -1)))])
+    # Text beside a hit, over the hits before and after it. Every hit has two characters at least, so
+    # so many neighbours fill the reach; long pieces count with the end that can be within it.
+    side, neighbours = F.lit(reach + 1), reach // 2 + 1
+    # (One column for both sides: used twice, it is computed once per row and not once per hit.)
     placed = split.select("*", *[
+        F.transform(F.arrays_zip(F.col(f"hit_{k}").alias("v"),
+                                 F.slice(f"gap_{k}", F.lit(1), F.size(f"hit_{k}")).alias("l"),
+                                 F.slice(f"gap_{k}", F.lit(2), F.size(f"hit_{k}")).alias("r")),
+                    lambda x: F.struct(F.right(F.concat(x["l"], x["v"]), side).alias("left"),
+                                       F.left(F.concat(x["v"], x["r"]), side).alias("right"))).alias(f"beside_{k}")
+        for k in KINDS], *[
         running_starts(F.zip_with(f"hit_{k}", F.slice(f"gap_{k}", F.lit(1), F.size(f"hit_{k}")),
                                   lambda hit, gap: F.length(hit) + F.length(gap))).alias(f"at_{k}")
         for k in KINDS])
@@ -94,14 +104,25 @@ def find_entities(docs: DataFrame, reach: int = 48) -> DataFrame:
     def spans(i: int, k: str) -> Column:
         hit, gap = F.col(f"hit_{k}"), F.col(f"gap_{k}")
         parts = F.arrays_zip(hit.alias("v"), F.slice(gap, F.lit(1), F.size(hit)).alias("l"),
-                             F.slice(gap, F.lit(2), F.size(hit)).alias("r"), F.col(f"at_{k}").alias("at"))
+                             F.slice(gap, F.lit(2), F.size(hit)).alias("r"), F.col(f"at_{k}").alias("at"),
+                             F.when(F.size(hit) > 0, F.sequence(F.lit(1), F.size(hit)))
+                             .otherwise(F.array().cast("array<int>")).alias("n"))
         valid = F.filter(parts, lambda x: _is_valid(k, x["v"]))
+
+        def before(x: Column) -> Column:
+            first = F.greatest(F.lit(1), x["n"] - neighbours)
+            return F.right(F.concat(F.array_join(F.slice(F.col(f"beside_{k}"), first, x["n"] - first)["left"], ""),
+                                    F.right(x["l"], side)), side)
+
+        def after(x: Column) -> Column:
+            return F.left(F.concat(F.left(x["r"], side), F.array_join(
+                F.slice(F.col(f"beside_{k}"), x["n"] + 1, F.lit(neighbours))["right"], "")), side)
+
         return F.transform(valid, lambda x: F.struct(
             (x["at"] + F.length(x["l"])).alias("start"), F.lit(i).alias("rank"),
             (x["at"] + F.length(x["l"]) + F.length(x["v"])).alias("end"), F.lit(k).alias("kind"),
             _entity(k, x["v"]).alias("entity"),
-            F.right(x["l"], F.lit(reach + 1)).alias("before"),
-            F.left(x["r"], F.lit(reach + 1)).alias("after")))
+            before(x).alias("before"), after(x).alias("after")))
 
     found = F.array_sort(F.concat(*[spans(i, k) for i, k in enumerate(KINDS)]))
     return placed.select("doc_id", "key", found.alias("base"))

@@ -147,6 +147,15 @@ def test_copies_are_one_context(docs):
     assert all(r.n_terms == 0 for r in pii.personal_data_report(docs(rows)).collect())
 
 
+def test_contexts_reach_over_other_hits(docs):
+    card, text = "4111 1111-1111 1111", "Zebedeus, 12 High St, 10.0.0.1, 4111 1111-1111 1111; 12 5 7 77 to a@b.co, 33 a 4 Yolanda"
+    rows = [(1, text), (2, "ab 11; " * 40 + card + "; 22 cd" * 40), (3, card + " x"), (4, "ü" * 80 + " " + card + " é")]
+    near = {r.doc_id: b for r in pii.find_entities(docs(rows)).collect() for b in r.base if b.kind == "card"}
+    assert set(near) == {1, 2, 3, 4}
+    for i, t in rows:
+        assert (near[i].before, near[i].after) == (t[:near[i].start][-49:], t[near[i].end:][:49])
+
+
 def test_running_starts(spark):
     got = spark.range(1).selectExpr("transform(sequence(1, 1000), x -> cast(x % 7 as int)) AS s").select(
         common.running_starts(F.col("s"), 16).alias("r")).first().r
