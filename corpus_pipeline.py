@@ -39,7 +39,7 @@ def distinct_enough(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data, and terms that give it away, generalised or removed."""
-    return sanitise(docs)
+    return sanitise(docs, scope="document")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

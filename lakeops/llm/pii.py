@@ -9,6 +9,11 @@ that never occurs elsewhere. Terms that disclose ``generalise_at`` of it, seen i
 different contexts of the entity at least (copies of one context are one), are generalised near
 that entity; from ``remove_at`` they are removed. All counts cover the whole corpus.
 
+With ``scope="document"`` (what the query and the pipeline use) a context is a distinct document: all
+words of a document stand with all its entities, wherever they are, and a disclosing term is
+masked wherever it occurs in the documents that hold its entity. ``P(c)`` is then the share of
+documents with the entity.
+
 Everything here is DataFrame expressions. Offsets are code points, ends exclusive.
 
 Defined results: a null text is empty and has no spans. Repeated rows get equal results. Entities
@@ -24,6 +29,8 @@ from pyspark.sql import functions as F
 from lakeops.llm.common import row_key, running_starts
 from lakeops.session import settle
 
+SCOPES = ("near", "document")
+
 # The order of kinds, and what the forms of direct identifiers match. The look-behinds
 # and possessive quantifiers only spare the matcher work: a match never begins inside a run
 # of characters that could have begun it, unless the match before ended there.
@@ -74,14 +81,15 @@ def _entity(kind: str, value: Column) -> Column:
     return F.xxhash64(F.lit(kind), plain)
 
 
-def find_entities(docs: DataFrame, reach: int = 48) -> DataFrame:
+def find_entities(docs: DataFrame, reach: int = 48, with_text: bool = False) -> DataFrame:
     """doc_id, key, and ``base``: every direct identifier of the whole text, in order, with its
-    entity and the text up to ``reach`` code points before and after it."""
+    entity and the text up to ``reach`` code points before and after it; ``text`` too, of rows that
+    have one, if asked for."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"),
                        text.alias("text"))
     none, whole = F.array().cast("array<string>"), F.col("text")
-    split = rows.select("doc_id", "key", *[
+    split = rows.select("doc_id", "key", *["text"] * with_text, *[
         F.when(whole.rlike(NEEDS[k]), c).otherwise(none).alias(f"{name}_{k}")
         for k in KINDS for name, c in (
             ("hit", F.regexp_extract_all(whole, F.lit(PATTERNS[k]), F.lit(0))),
@@ -125,7 +133,8 @@ def find_entities(docs: DataFrame, reach: int = 48) -> DataFrame:
             before(x).alias("before"), after(x).alias("after")))
 
     found = F.array_sort(F.concat(*[spans(i, k) for i, k in enumerate(KINDS)]))
-    return placed.select("doc_id", "key", found.alias("base"))
+    out = placed.select("doc_id", "key", found.alias("base"), *["text"] * with_text)
+    return out.withColumn("text", F.when(F.size("base") > 0, F.col("text"))) if with_text else out
 
 
 def nearby_terms(found: DataFrame, reach: int) -> DataFrame:
@@ -173,15 +182,77 @@ def disclosing_terms(docs: DataFrame, near: DataFrame, min_contexts: int = 3,
             .filter(F.col("disclosed") >= generalise_at))
 
 
+def _terms_of(text: Column) -> Column:
+    """Hashes of the distinct words."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)),
+                                        lambda w: F.xxhash64(w)))
+
+
+def count_documents(docs: DataFrame) -> tuple[DataFrame, int]:
+    """(term, n_term): in how many distinct texts each word is; and the number of distinct texts."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.xxhash64(text).alias("h"), F.length(text).alias("n"), text.alias("text"))
+    sizes = settle(rows.groupBy("h", "n").agg(F.count("*").alias("copies")), "texts")
+    copied = sizes.filter(F.col("copies") > 1).select("h", "n")
+    terms = rows.select("h", "n", _terms_of(F.col("text")).alias("terms"))
+    # Only the words of texts with copies are shuffled by text.
+    once = terms.join(copied, ["h", "n"], "left_anti")
+    first = terms.join(copied, ["h", "n"], "left_semi").groupBy("h", "n").agg(F.first("terms").alias("terms"))
+    counts = (once.unionByName(first).select(F.explode("terms").alias("term"))
+              .groupBy("term").agg(F.count("*").alias("n_term")))
+    return settle(counts, "terms"), sizes.count()
+
+
+def disclosing_in_documents(docs: DataFrame, found: DataFrame, min_contexts: int = 3,
+                            generalise_at: float = 0.7) -> DataFrame:
+    """(entity, term, disclosed) of the terms that disclose enough of an entity in its documents."""
+    counts, total = count_documents(docs)
+    held = (found.filter(F.size("base") > 0)
+            .groupBy("key.h", "key.n").agg(F.first("base.entity").alias("entities"), F.first("text").alias("text"))
+            .select(F.explode(F.array_distinct("entities")).alias("entity"), _terms_of(F.col("text")).alias("terms")))
+    joint = (held.select("entity", F.explode("terms").alias("term"))
+             .groupBy("entity", "term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= min_contexts))
+    around = held.groupBy("entity").agg(F.count("*").alias("n_entity"))
+    prior = F.least(F.lit(0.5), F.col("n_entity") / F.lit(float(max(total, 1))))
+    disclosed = F.log2(F.col("n_both") / F.col("n_term") / prior) / -F.log2(prior)
+    return (joint.join(around, "entity").join(counts, "term")
+            .select("entity", "term", disclosed.alias("disclosed")).filter(F.col("disclosed") >= generalise_at))
+
+
+def terms_in_documents(found: DataFrame, telling: DataFrame) -> DataFrame:
+    """(key, start, end, disclosed) of every occurrence of a term in the rows that hold its entity."""
+    held = found.filter(F.size("base") > 0)
+    told = (held.select("key", F.explode(F.array_distinct("base.entity")).alias("entity")).distinct()
+            .join(telling, "entity").groupBy("key", "term").agg(F.max("disclosed").alias("disclosed")))
+    words = held.select("key", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("word"),
+                        F.split("text", WORD, -1).alias("gap"))
+    first = F.slice("gap", F.lit(1), F.size("word"))
+    placed = words.select("key", F.explode(F.arrays_zip(
+        F.col("word").alias("word"), F.transform(first, F.length).alias("gap"),
+        running_starts(F.zip_with("word", first, lambda w, g: F.length(w) + F.length(g))).alias("s"))).alias("w"))
+    start = F.col("w.s") + F.col("w.gap")
+    return (placed.select("key", F.xxhash64(F.lower("w.word")).alias("term"), start.alias("start"),
+                          (start + F.length("w.word")).alias("end"))
+            .join(told, ["key", "term"]).select("key", "start", "end", "disclosed"))
+
+
 def find_personal_data(docs: DataFrame, reach: int = 48, min_contexts: int = 3,
-                       generalise_at: float = 0.7, remove_at: float = 0.95) -> DataFrame:
-    """One row per row of ``docs``: doc_id, key, ``base`` spans and ``terms`` spans, in order."""
-    found = settle(find_entities(docs, reach), "entities")
-    near = nearby_terms(found, reach)
-    telling = disclosing_terms(docs, near, min_contexts, generalise_at)
+                       generalise_at: float = 0.7, remove_at: float = 0.95, scope: str = "near") -> DataFrame:
+    """One row per row of ``docs``: doc_id, key, ``base`` spans and ``terms`` spans, in order.
+
+    ``reach`` is of the scope ``near`` only."""
+    if scope not in SCOPES:
+        raise ValueError(f"scope must be one of {SCOPES}")
+    if scope == "document":
+        found = settle(find_entities(docs, 0, with_text=True), "entities")
+        telling = settle(disclosing_in_documents(docs, found, min_contexts, generalise_at), "telling")
+        spans = terms_in_documents(found, telling)
+    else:
+        found = settle(find_entities(docs, reach), "entities")
+        near = nearby_terms(found, reach)
+        spans = near.join(disclosing_terms(docs, near, min_contexts, generalise_at), ["entity", "term"])
     kind = F.when(F.col("disclosed") >= remove_at, "removed").otherwise("term")
-    terms = (near.join(telling, ["entity", "term"])
-             .groupBy("key", "start", "end").agg(F.max("disclosed").alias("disclosed"))
+    terms = (spans.groupBy("key", "start", "end").agg(F.max("disclosed").alias("disclosed"))
              .groupBy("key").agg(F.array_sort(F.collect_list(F.struct(
                  "start", F.lit(len(KINDS)).alias("rank"), F.col("end"), kind.alias("kind")))).alias("terms")))
     plain = F.transform("base", lambda s: F.struct(*[

@@ -35,7 +35,7 @@ def query(name: str, sql: str | None = None):
 
 @query("op1_pii")
 def _(spark, sf):
-    return personal_data_report(table(spark, sf, "documents"))
+    return personal_data_report(table(spark, sf, "documents"), scope="document")
 
 
 @query("op2_quality")

@@ -156,6 +156,20 @@ def test_contexts_reach_over_other_hits(docs):
         assert (near[i].before, near[i].after) == (t[:near[i].start][-49:], t[near[i].end:][:49])
 
 
+def test_terms_anywhere_in_the_documents_of_their_entity(docs):
+    rng = random.Random(4)
+    words = ["river", "table", "green", "morning", "window", "paper"]
+    filler = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    rows = [(i, f"Quimby {filler(50)} y@x.org {filler(60)} quimby {i}") for i in range(30)]
+    rows += [(40 + i, filler(80)) for i in range(400)]
+    got = {r.doc_id: r for r in pii.personal_data_report(docs(rows), scope="document").collect()}
+    at = rows[2][1].index("quimby")
+    assert got[2].spans.startswith("removed:0:6,email:") and got[2].spans.endswith(f"removed:{at}:{at + 6}")
+    assert all(got[40 + i].spans == "" for i in range(400))
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs(rows), scope="document").collect()}
+    assert "uimby" not in clean[5] and clean[50] == dict(rows)[50]
+
+
 def test_running_starts(spark):
     got = spark.range(1).selectExpr("transform(sequence(1, 1000), x -> cast(x % 7 as int)) AS s").select(
         common.running_starts(F.col("s"), 16).alias("r")).first().r
