@@ -12,7 +12,9 @@ that entity; from ``remove_at`` they are removed. All counts cover the whole cor
 With ``scope="document"`` (what the query and the pipeline use) a context is a distinct document: all
 words of a document stand with all its entities, wherever they are, and a disclosing term is
 masked wherever it occurs in the documents that hold its entity. ``P(c)`` is then the share of
-documents with the entity.
+documents with the entity, and no number of contexts is asked for: ``P(c|t)`` is the lower end of
+its 95 % interval (Wilson), so a term seen once with a rare entity counts, but for less
+than one that keeps returning with it.
 
 Everything here is DataFrame expressions. Offsets are code points, ends exclusive.
 
@@ -188,6 +190,13 @@ def _terms_of(text: Column) -> Column:
                                         lambda w: F.xxhash64(w)))
 
 
+def _lower_share(some: Column, of: Column) -> Column:
+    """Lower end of the one-sided 95 % Wilson interval of a share."""
+    z = 1.6448536269514722
+    share, n = some / of, of.cast("double")
+    return (share + z * z / (2 * n) - z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
 def count_documents(docs: DataFrame) -> tuple[DataFrame, int]:
     """(term, n_term): in how many distinct texts each word is; and the number of distinct texts."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -203,18 +212,17 @@ def count_documents(docs: DataFrame) -> tuple[DataFrame, int]:
     return settle(counts, "terms"), sizes.count()
 
 
-def disclosing_in_documents(docs: DataFrame, found: DataFrame, min_contexts: int = 3,
-                            generalise_at: float = 0.7) -> DataFrame:
+def disclosing_in_documents(docs: DataFrame, found: DataFrame, generalise_at: float = 0.7) -> DataFrame:
     """(entity, term, disclosed) of the terms that disclose enough of an entity in its documents."""
     counts, total = count_documents(docs)
     held = (found.filter(F.size("base") > 0)
             .groupBy("key.h", "key.n").agg(F.first("base.entity").alias("entities"), F.first("text").alias("text"))
             .select(F.explode(F.array_distinct("entities")).alias("entity"), _terms_of(F.col("text")).alias("terms")))
     joint = (held.select("entity", F.explode("terms").alias("term"))
-             .groupBy("entity", "term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= min_contexts))
+             .groupBy("entity", "term").agg(F.count("*").alias("n_both")))
     around = held.groupBy("entity").agg(F.count("*").alias("n_entity"))
     prior = F.least(F.lit(0.5), F.col("n_entity") / F.lit(float(max(total, 1))))
-    disclosed = F.log2(F.col("n_both") / F.col("n_term") / prior) / -F.log2(prior)
+    disclosed = F.log2(_lower_share(F.col("n_both"), F.col("n_term")) / prior) / -F.log2(prior)
     return (joint.join(around, "entity").join(counts, "term")
             .select("entity", "term", disclosed.alias("disclosed")).filter(F.col("disclosed") >= generalise_at))
 
@@ -240,12 +248,12 @@ def find_personal_data(docs: DataFrame, reach: int = 48, min_contexts: int = 3,
                        generalise_at: float = 0.7, remove_at: float = 0.95, scope: str = "near") -> DataFrame:
     """One row per row of ``docs``: doc_id, key, ``base`` spans and ``terms`` spans, in order.
 
-    ``reach`` is of the scope ``near`` only."""
+    ``reach`` and ``min_contexts`` are of the scope ``near`` only."""
     if scope not in SCOPES:
         raise ValueError(f"scope must be one of {SCOPES}")
     if scope == "document":
         found = settle(find_entities(docs, 0, with_text=True), "entities")
-        telling = settle(disclosing_in_documents(docs, found, min_contexts, generalise_at), "telling")
+        telling = settle(disclosing_in_documents(docs, found, generalise_at), "telling")
         spans = terms_in_documents(found, telling)
     else:
         found = settle(find_entities(docs, reach), "entities")

@@ -170,6 +170,19 @@ def test_terms_anywhere_in_the_documents_of_their_entity(docs):
     assert "uimby" not in clean[5] and clean[50] == dict(rows)[50]
 
 
+def test_terms_of_an_entity_in_one_text(docs):
+    rng = random.Random(4)
+    words = ["river", "table", "green", "morning", "window", "paper"]
+    filler = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    rows = [(1, f"Zanzibarov {filler(90)} z@x.org {filler(90)}. Zanzibarov {filler(9)}")]
+    rows += [(40 + i, filler(80)) for i in range(400)] + [(900 + i, rows[0][1]) for i in range(5)]
+    got = {r.doc_id: r for r in pii.personal_data_report(docs(rows), scope="document").collect()}
+    at = rows[0][1].rindex("Zanzibarov")
+    for i in (1, 900, 904):  # copies are one document
+        assert "term:0:10,email:" in got[i].spans and got[i].spans.endswith(f"term:{at}:{at + 10}")
+    assert all(got[40 + i].spans == "" for i in range(400))
+
+
 def test_running_starts(spark):
     got = spark.range(1).selectExpr("transform(sequence(1, 1000), x -> cast(x % 7 as int)) AS s").select(
         common.running_starts(F.col("s"), 16).alias("r")).first().r
