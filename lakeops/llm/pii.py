@@ -201,15 +201,11 @@ def count_documents(docs: DataFrame) -> tuple[DataFrame, int]:
     """(term, n_term): in how many distinct texts each word is; and the number of distinct texts."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.xxhash64(text).alias("h"), F.length(text).alias("n"), text.alias("text"))
-    sizes = settle(rows.groupBy("h", "n").agg(F.count("*").alias("copies")), "texts")
-    copied = sizes.filter(F.col("copies") > 1).select("h", "n")
-    terms = rows.select("h", "n", _terms_of(F.col("text")).alias("terms"))
-    # Only the words of texts with copies are shuffled by text.
-    once = terms.join(copied, ["h", "n"], "left_anti")
-    first = terms.join(copied, ["h", "n"], "left_semi").groupBy("h", "n").agg(F.first("terms").alias("terms"))
-    counts = (once.unionByName(first).select(F.explode("terms").alias("term"))
-              .groupBy("term").agg(F.count("*").alias("n_term")))
-    return settle(counts, "terms"), sizes.count()
+    # The words of a text travel once by its hash; copies in one map task are merged before.
+    terms = (rows.select("h", "n", _terms_of(F.col("text")).alias("terms"))
+             .groupBy("h", "n").agg(F.first("terms").alias("terms")))
+    counts = terms.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    return settle(counts, "terms"), rows.select("h", "n").distinct().count()
 
 
 def disclosing_in_documents(docs: DataFrame, found: DataFrame, generalise_at: float = 0.7) -> DataFrame:
