@@ -104,9 +104,15 @@ class Scanner:
         for k, spans in self.windows(text).items():
             notice = self.notices[k]
             for begin, stop in spans:
-                for m in notice.pattern.finditer(text, begin, min(stop, len(text)), concurrent=False):
-                    out.append((m.start(), m.end(), notice.label,
-                                1 - sum(m.fuzzy_counts) / len(notice.text)))
+                # The pattern gives the best match, so what stands before and after it is searched again.
+                left = [(begin, min(stop, len(text)))]
+                while left:
+                    first, last = left.pop()
+                    m = notice.pattern.search(text, first, last, concurrent=False)
+                    if m:
+                        out.append((m.start(), m.end(), notice.label,
+                                    1 - sum(m.fuzzy_counts) / len(notice.text)))
+                        left += [(first, m.start()), (m.end(), last)]
         return sorted(out)
 
 

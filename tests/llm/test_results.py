@@ -326,6 +326,14 @@ def test_fuzzy_notice_reports_its_words():
     assert got["n_base"] == 0 and 0.8 < got["score"] < 1
 
 
+def test_near_copies_of_a_notice_in_a_row():
+    good, bad = "released under the mit license", "released under the mit licnse"
+    for parts in ([bad, good], [good, bad], [bad, bad, good, bad], [bad, "x", good]):
+        line = f" {' '.join(parts)} "
+        found = [line[a:b] for a, b, label, _ in licenses.Scanner().find(line) if label == "mit"]
+        assert found == [p for p in parts if p != "x"]
+
+
 def test_ablation_counts(spark, docs, texts):
     rows = rules.ledger(docs(list(texts.items())))
     bits = [r.failed for r in rows.collect()]
