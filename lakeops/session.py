@@ -52,6 +52,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/lakeops/{label}-{uuid.uuid4().hex}"
 
 
+def write_bytes(spark: SparkSession, label: str, content: bytes) -> str:
+    """A new file of a few MB in the shared folder, written through its own file system; its path."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_path(spark, label))
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+    return path.toString()
+
+
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 
