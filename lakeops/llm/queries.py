@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeops.llm.byte_bpe import encode_documents
 from lakeops.llm.common import table
+from lakeops.llm.infilling import rearrange, restored
 from lakeops.llm.langid import identify_language
+from lakeops.llm.lexicon_bpe import decoded, encode_texts
 from lakeops.llm.licenses import scan_licenses
 from lakeops.llm.merkle import compare_with_next
 from lakeops.llm.packing import pack
@@ -18,6 +21,7 @@ from lakeops.llm.quality_gam import classify_quality
 from lakeops.llm.rules import RULES, STRICT, BASE, judge
 from lakeops.llm.simhash import near_copies
 from lakeops.llm.urls import filter_urls, rules_of
+from lakeops.llm.vector_codes import compress
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -124,3 +128,76 @@ def _(spark, sf):
 @query("op10_merkle")
 def _(spark, sf):
     return compare_with_next(table(spark, sf, "documents"))
+
+
+def _codebook_rounds(rounds: int = 4) -> str:
+    """Common table expressions: book0 are the start entries, book<r> those after r rounds."""
+    out = []
+    for r in range(rounds + 1):
+        out.append(f"""near{r} AS MATERIALIZED (
+        SELECT vec_id, position, arg_min(entry, (far, entry)) AS entry, min(far) AS far
+        FROM (SELECT vec_id, p.position, entry, list_sum(list_transform(list_zip(part, mean),
+                         lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS far
+              FROM parts p JOIN book{r} USING (position)) GROUP BY vec_id, position)""")
+        if r < rounds:
+            out.append(f"""book{r + 1} AS MATERIALIZED (
+        SELECT position, entry, coalesce(moved, b.mean) AS mean FROM book{r} b LEFT JOIN (
+            SELECT position, entry, list(CAST(floor(total / n) AS BIGINT) ORDER BY i) AS moved
+            FROM (SELECT position, entry, i, sum(part[i]) AS total, count(*) AS n
+                  FROM near{r} JOIN parts USING (vec_id, position), unnest(generate_series(1, len(part))) g(i)
+                  GROUP BY position, entry, i) GROUP BY position, entry) USING (position, entry))""")
+    return ",\n    ".join(out)
+
+
+@query("op11_vector_codes", sql=f"""
+    WITH kept AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v
+        FROM embeddings WHERE embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    parts AS MATERIALIZED (
+        SELECT vec_id, position, v[position * (len(v) // 4) + 1:(position + 1) * (len(v) // 4)] AS part
+        FROM kept, unnest(generate_series(0, 3)) g(position)),
+    book0 AS MATERIALIZED (
+        SELECT position, row_number() OVER (PARTITION BY position ORDER BY vec_id) - 1 AS entry, part AS mean
+        FROM parts WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 256)),
+    {_codebook_rounds()},
+    coded AS (SELECT vec_id, string_agg(lpad(lower(to_hex(entry)), 2, '0'), '' ORDER BY position) AS code,
+                     CAST(sum(far) AS BIGINT) AS error FROM near4 GROUP BY vec_id),
+    written AS (SELECT sha256(string_agg(array_to_string(mean, ','), ',' ORDER BY position, entry)) AS digest FROM book4)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+           digest AS codebooks_sha256
+    FROM coded JOIN kept USING (vec_id), written""")
+def _(spark, sf):
+    return compress(table(spark, sf, "embeddings"))
+
+
+@query("op12_infilling", sql="""
+    WITH texts AS (SELECT doc_id, coalesce(text, '') AS t,
+                          regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+                          sha256('1:' || doc_id) AS h FROM documents),
+    drawn AS (SELECT doc_id, t, units, len(units) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1,
+                     CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2, CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3,
+                     CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM texts),
+    formed AS (SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                                   OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+                      least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM drawn),
+    cut AS (SELECT doc_id, n, form, t, array_to_string(units[1:a], '') AS prefix,
+                   array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:n], '') AS suffix FROM formed)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                  ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM cut""")
+def _(spark, sf):
+    return rearrange(table(spark, sf, "documents")).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@query("op13_lexicon_bpe")
+def _(spark, sf):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return (encode_texts(table(spark, sf, "documents"), path).select("doc_id", "ids", decoded("ids", path).alias("back"))
+            .select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                    F.sha2("ids", 256).alias("ids_sha256"), F.sha2("back", 256).alias("decoded_sha256")))

@@ -5,9 +5,11 @@ import pytest
 
 import corpus_pipeline
 from lakeops.llm import (
-    byte_bpe, langid, licenses, merkle, packing, pii, quality_gam, rules, simhash, urls)
+    byte_bpe, infilling, langid, lexicon_bpe, licenses, merkle, packing, pii, quality_gam, rules, simhash,
+    urls, vector_codes)
 
 RANKS, WORDS = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("word_bpe_49k.json")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 LABELS = "doc_id long, quality int, toxic int"
 
 PER_DOCUMENT = {
@@ -21,6 +23,8 @@ PER_DOCUMENT = {
     "language": langid.identify_language,
     "merkle_next": lambda d: merkle.compare_with_next(d, 3),
     "merkle": merkle.fingerprint_documents,
+    "infilling": infilling.rearrange,
+    "lexicon": lambda d: lexicon_bpe.encode_texts(d, BYTES, 5),
 }
 KEEPING = {
     "quality": lambda d: quality_gam.keep_good(d, d.sparkSession.createDataFrame([], LABELS)),
@@ -67,6 +71,22 @@ def test_urls_of_any_kind(spark):
     assert urls.filter_urls(pages.limit(0), found).count() == 0
 
 
+def test_vectors_of_any_kind(spark):
+    nan, inf, third = float("nan"), float("inf"), 1 / 3
+    rows = [(1, [0.5, -0.5, third], 1, 0), (1, [0.5, -0.5, third], 1, 0), (None, [1.0, 2.0, 3.0], None, 1),
+            (2, None, 1, 2), (3, [None, 1.0, 2.0], 1, 3), (4, [nan, 1.0, 2.0], 1, 4), (5, [1.0, -inf, 0.0], 1, 5),
+            (6, [], 2, 6), (7, [1e300, -1e300, 0.0, 1.0, -1.0], 2, 7), (8, [-0.0001], None, 8)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, code int")
+    got = vector_codes.compress(table, entries=4).collect()
+    assert sorted(str(r.vec_id) for r in got) == ["1", "1", "6", "7", "8", "None"]
+    by_id = {r.vec_id: r for r in got}
+    assert [tuple(r) for r in got].count(tuple(by_id[1])) == 2  # equal rows, equal results
+    assert all(len(r.code) == 8 for r in got) and by_id[7].error == 0  # a start entry of its own
+    assert by_id[None].label_error == by_id[None].error + by_id[8].error  # null labels together
+    assert vector_codes.compress(table.limit(0)).count() == 0
+    assert vector_codes.compress(table.filter("vec_id = 4")).count() == 0
+
+
 def test_pipeline_on_edges(spark, docs, edge_pairs, tmp_path):
     docs(edge_pairs, langs=["en"] * len(edge_pairs)).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(4, 1, 0), (5, 1, 0)], LABELS).write.parquet(f"{tmp_path}/labels.parquet")

@@ -30,7 +30,7 @@ def texts(spark):
 
 def test_registered():
     assert [n.split("_")[0] for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == [
-        f"op{i}" for i in range(1, 11)]
+        f"op{i}" for i in range(1, 14)]
     assert set(SQL) <= set(QUERIES) and len(corpus_pipeline.STAGES) == 5
 
 
