@@ -255,3 +255,49 @@ def _(spark, sf):
     keys = F.array_join(F.json_object_keys("_rescued_data"), ",")
     return got.select("event_id", "event_type", F.coalesce(keys, F.lit("")).alias("rescued"),
                       F.col("lines")[0]["q"].isNotNull().alias("typed"))
+
+
+def _parity(df, key, part):
+    return df.where(F.col(key) % 2 == part)
+
+
+@query("copy_into_mixed_files", "S8", "S11", sql="""
+    SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 2 = 1 THEN s_acctbal END AS s_acctbal,
+           CASE WHEN s_suppkey % 2 = 0 THEN s_nationkey END AS s_nationkey FROM supplier""")
+def _(spark, sf):
+    # Files without a column, and files with another one, are loaded by one call.
+    out, suppliers = scratch_path(spark, "mixed"), table(spark, sf, "supplier")
+    _parity(suppliers, "s_suppkey", 0).select("s_suppkey", "s_nationkey", "s_name").write.parquet(f"{out}/landing")
+    _parity(suppliers, "s_suppkey", 1).select("s_name", "s_suppkey", "s_acctbal").write.mode("append").parquet(f"{out}/landing")
+    for _ in range(2):
+        copy_into(spark, f"{out}/table", f"{out}/landing", "parquet", merge_schema=True)
+    return read_loaded(spark, f"{out}/table")
+
+
+@query("copy_into_csv_by_name", "S8", "S10", sql="""
+    SELECT c_custkey, c_name, CASE WHEN c_custkey % 2 = 1 THEN c_mktsegment END AS c_mktsegment FROM customer""")
+def _(spark, sf):
+    # The second feed has its columns in another order, and one more in the middle.
+    out, people = scratch_path(spark, "csv-names"), table(spark, sf, "customer")
+    for part, columns in ((0, ["c_custkey", "c_name"]), (1, ["c_name", "c_mktsegment", "c_custkey"])):
+        _parity(people, "c_custkey", part).select(*columns).write.mode("append").option("header", True).csv(f"{out}/landing")
+    copy_into(spark, f"{out}/table", f"{out}/landing", "csv", merge_schema=True, header=True)
+    return read_loaded(spark, f"{out}/table")
+
+
+@query("copy_into_widened_types", "S8", "S11", sql="""
+    SELECT l_suppkey % 3 AS kind, count(*) AS n, sum(l_partkey)::BIGINT AS parts,
+           CAST(sum(CAST(l_quantity AS DECIMAL(20,2))) AS DOUBLE) AS quantity FROM lineitem GROUP BY ALL""")
+def _(spark, sf):
+    # One load has whole numbers, later ones of the same table wider ones and decimals, two kinds at once.
+    out, lines = scratch_path(spark, "widened"), table(spark, sf, "lineitem")
+    kind = F.col("l_suppkey") % 3
+    for part, (key, quantity) in enumerate([("int", "smallint"), ("int", "int"), ("bigint", "decimal(12,2)")]):
+        lines.where(kind == part).select(kind.alias("kind"), F.col("l_partkey").cast(key), F.col("l_quantity").cast(
+            quantity)).write.mode("append").parquet(f"{out}/landing")
+        if part != 1:
+            copy_into(spark, f"{out}/table", f"{out}/landing", "parquet", widen_types=True)
+    loaded = read_loaded(spark, f"{out}/table")
+    assert dict(loaded.dtypes)["l_quantity"] == "decimal(12,2)" and dict(loaded.dtypes)["l_partkey"] == "bigint"
+    return loaded.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("l_partkey").alias("parts"),
+                                      F.sum("l_quantity").alias("quantity"))

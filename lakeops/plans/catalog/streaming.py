@@ -217,3 +217,72 @@ def _(spark, sf):
     except AnalysisException as e:
         error = type(e).__name__
     return d.table(spark, sf, "events").agg(F.lit(error).alias("error"), F.count(F.lit(1)).alias("n"))
+
+
+@query("stream_mixed_files", "S10", "S11", sql="""
+    SELECT event_id, user_id, CASE WHEN event_type = 'purchase' THEN value END AS value,
+           CASE WHEN event_type = 'signup' THEN event_type END AS event_type FROM events""")
+def _(spark, sf):
+    # Parquet files with and without the new column arrive together, later once more.
+    out, events = scratch_path(spark, "mixed-stream"), d.table(spark, sf, "events")
+    kind = F.col("event_type")
+    def run():
+        flows.ingest_stream(spark, f"{out}/landing", "parquet", f"{out}/bronze", f"{out}/cp")
+    def land(rows, *columns):
+        rows.select(*columns).write.mode("append").parquet(f"{out}/landing")
+    land(events.where(kind == "click"), "event_id", "user_id")
+    land(events.where(kind == "purchase"), "user_id", "value", "event_id")
+    run()
+    land(events.where(~kind.isin("click", "purchase", "signup")), "event_id", "user_id")
+    land(events.where(kind == "signup"), "event_type", "event_id", "user_id")
+    try:
+        run()
+    except UnknownFieldError as e:
+        if e.fields != ["event_type"]:
+            raise
+    run()
+    return flows.read_sink(spark, f"{out}/bronze").select("event_id", "user_id", "value", "event_type")
+
+
+@query("stream_csv_by_name", "S10", "S12", "S14", sql="""
+    SELECT event_id, CASE WHEN event_type <> 'signup' THEN user_id END AS user_id, value,
+           CASE event_type WHEN 'purchase' THEN '{"channel":"web"}' END AS rescued FROM events""")
+def _(spark, sf):
+    # A column more in the middle, two columns swapped, and one column less, each in its own files.
+    out, events = scratch_path(spark, "csv-stream"), d.table(spark, sf, "events")
+    kind = F.col("event_type")
+    feeds = [(~kind.isin("purchase", "signup", "error"), ["event_id", "user_id", "value"]),
+             (kind == "purchase", ["event_id", F.lit("web").alias("channel"), "user_id", "value"]),
+             (kind == "error", ["value", "user_id", "event_id"]), (kind == "signup", ["event_id", "value"])]
+    for k, (rows, columns) in enumerate(feeds):
+        events.where(rows).select(*columns).write.mode("append").option("header", True).csv(f"{out}/landing")
+        if k != 1:
+            flows.ingest_stream(spark, f"{out}/landing", "csv", f"{out}/bronze", f"{out}/cp", evolution="rescue",
+                                hints="event_id BIGINT, user_id BIGINT, value DOUBLE", header="true")
+    extra = F.regexp_replace("_rescued_data", ',"_file_path":"[^"]*"', "")
+    return flows.read_sink(spark, f"{out}/bronze").select("event_id", "user_id", "value", extra.alias("rescued"))
+
+
+@query("stream_widened_types", "S11", sql="""
+    SELECT event_type, count(*) AS n, sum(user_id)::BIGINT AS users, CAST(sum(CAST(value AS DECIMAL(20,2))) AS DOUBLE) AS total
+    FROM (SELECT event_type, user_id, CASE WHEN event_type = 'click' THEN trunc(value) ELSE value END AS value FROM events)
+    GROUP BY ALL""")
+def _(spark, sf):
+    # Clicks come with narrow numbers; the run that meets wider ones fails once and records them.
+    out, events, failed = scratch_path(spark, "widened-stream"), d.table(spark, sf, "events"), []
+    def run():
+        try:
+            flows.ingest_stream(spark, f"{out}/landing", "parquet", f"{out}/bronze", f"{out}/cp",
+                                evolution="addNewColumnsWithTypeWidening")
+        except UnknownFieldError as e:
+            failed.append(e.fields)
+    for clicks, number in ((True, "int"), (False, "decimal(12,2)")):
+        rows = events.where((F.col("event_type") == "click") == F.lit(clicks))
+        user = F.col("user_id").cast("int" if clicks else "bigint")
+        value = F.col("value").cast("int") if clicks else money("value")
+        rows.select("event_type", user.alias("user_id"), value.cast(number).alias("value")).write.mode("append").parquet(f"{out}/landing")
+        run()
+    run()
+    assert failed == [["user_id", "value"]]
+    return flows.read_sink(spark, f"{out}/bronze").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("user_id").alias("users"), F.sum("value").alias("total"))

@@ -10,9 +10,9 @@ from pyspark.sql import types as T
 
 from lakeops.sources.files import SchemaLike, as_struct
 
-# Evolution modes, and the widenings that lose nothing.
+# Evolution modes; whole numbers from narrow to wide, with their decimal digits.
 MODES = ("addNewColumns", "addNewColumnsWithTypeWidening", "rescue", "failOnNewColumns", "none")
-_INTEGERS = ("tinyint", "smallint", "int", "bigint")
+INTEGERS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
 
 
 class UnknownFieldError(ValueError):
@@ -33,16 +33,19 @@ class Verdict:
     widened: list[str] = field(default_factory=list)
 
 
-def _widens(old: T.DataType, new: T.DataType) -> bool:
+def widens(old: T.DataType, new: T.DataType) -> bool:
+    """Whether every value of ``old`` is one of ``new``."""
     a, b = old.simpleString(), new.simpleString()
-    if a in _INTEGERS and b in _INTEGERS:
-        return _INTEGERS.index(b) > _INTEGERS.index(a)
+    if a in INTEGERS and b in INTEGERS:
+        return INTEGERS[b] > INTEGERS[a]
     if a == "float" and b == "double":
         return True
     if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType):
         return (new.scale >= old.scale and new != old
                 and new.precision - new.scale >= old.precision - old.scale)
-    return a in _INTEGERS[:3] and b == "double"
+    if a in INTEGERS and isinstance(new, T.DecimalType):
+        return new.precision - new.scale >= INTEGERS[a]
+    return a in INTEGERS and a != "bigint" and b == "double"
 
 
 def evolve_schema(current: T.StructType, incoming: T.StructType,
@@ -58,7 +61,7 @@ def evolve_schema(current: T.StructType, incoming: T.StructType,
     widened = []
     if mode == "addNewColumnsWithTypeWidening":
         widened = [f.name for f in incoming.fields
-                   if f.name in known and _widens(known[f.name].dataType, f.dataType)]
+                   if f.name in known and widens(known[f.name].dataType, f.dataType)]
     if not new and not widened:
         return current, Verdict("ok")
     if mode == "failOnNewColumns":

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.sources.drift import UnknownFieldError, evolve_schema
-from lakeops.sources.files import SchemaLike, as_struct, list_files, read_files
+from lakeops.sources.files import SchemaLike, as_struct, list_files
+from lakeops.sources.mixed import read_mixed, schema_groups
 
 LEDGER = "path STRING, modificationTime TIMESTAMP, length BIGINT, __load INT"
 CHUNK = 10_000
@@ -77,13 +78,15 @@ def copy_into(spark: SparkSession, target: str, src: str, fmt: str,
               schema: SchemaLike | None = None,
               select: Callable[[DataFrame], DataFrame] | None = None,
               pattern: str | None = None, files: Sequence[str] | None = None,
-              force: bool = False, merge_schema: bool = False, allow_overwrites: bool = False,
-              **options: str) -> int:
+              force: bool = False, merge_schema: bool = False, widen_types: bool = False,
+              allow_overwrites: bool = False, infer: bool = True, **options: str) -> int:
     """Load the files of ``src`` that were not loaded yet; returns how many files were read.
 
     ``force`` reloads everything; ``allow_overwrites`` loads a known path again when it was
     modified (in full, so consumers must merge or dedup); ``merge_schema`` lets new columns into
-    the table. File names pass through the driver in chunks; rows never do.
+    the table, ``widen_types`` wider types of its columns. Files of a chunk may have different schemas (Parquet and
+    ORC footers, CSV headers): columns are found by name in each, and all of them are loaded. File
+    names pass through the driver in chunks; rows never do.
     """
     if pattern is not None and files is not None:
         raise ValueError("pattern and files exclude each other")
@@ -96,23 +99,25 @@ def copy_into(spark: SparkSession, target: str, src: str, fmt: str,
         found = found.join(done.select(*known).distinct(), known, "left_anti")
     loaded = 0
     for chunk in _chunks(found.toLocalIterator(), CHUNK):
-        _load_chunk(spark, target, chunk, fmt, schema, select, merge_schema, options)
+        _load_chunk(spark, target, chunk, fmt, schema, select, merge_schema, widen_types, infer, options)
         loaded += len(chunk)
     return loaded
 
 
-def _load_chunk(spark, target, chunk, fmt, schema, select, merge_schema, options) -> None:
-    rows = read_files(spark, [r["path"] for r in chunk], fmt, schema, **options)
-    rows = select(rows) if select else rows
+def _load_chunk(spark, target, chunk, fmt, schema, select, merge_schema, widen_types, infer, options) -> None:
+    groups = schema_groups(spark, [r["path"] for r in chunk], fmt, infer and schema is None, declared=schema, **options)
+    rows = read_mixed(spark, groups, fmt, schema, each=select, **options)
     current = load_schema(spark, f"{target}/schema")
     if current is None:
         current = rows.schema
         save_schema(spark, f"{target}/schema", current)
     else:
-        wider, verdict = evolve_schema(current, rows.schema)
+        wider, verdict = evolve_schema(current, rows.schema,
+                                       "addNewColumnsWithTypeWidening" if widen_types else "addNewColumns")
         if verdict.new_fields and not merge_schema:
             raise UnknownFieldError(verdict.new_fields, schema_recorded=False)
-        if verdict.new_fields:
+        if verdict.new_fields or verdict.widened:
+            # Files of earlier loads keep their types; Parquet readers widen them.
             current = wider
             save_schema(spark, f"{target}/schema", current)
     fitted = [F.col(f.name).cast(f.dataType) if f.name in rows.columns

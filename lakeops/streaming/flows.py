@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeops.sources.drift import UnknownFieldError, evolve_schema, rescue_json
-from lakeops.sources.files import SchemaLike, as_struct, hinted_schema, read_files
-from lakeops.sources.ingest import load_schema, save_schema
+from lakeops.sources.files import SchemaLike, as_struct, list_files
+from lakeops.sources.ingest import load_schema, path_exists, save_schema
+from lakeops.sources.mixed import Group, has_header, read_mixed, recorded, schema_groups
 
 
 def _start(writer, trigger: str | None) -> StreamingQuery:
@@ -71,28 +72,31 @@ def enrich_stream(stream: DataFrame, static: DataFrame, on: Sequence[str],
     return stream.join(static, list(on), how)
 
 
-RESCUED = "_rescued_data"
+SAMPLE_FILES = 1000      # files whose schemas start a feed; others are compared when they are loaded
+FILES_PER_BATCH = "1000"  # unless the caller says otherwise: names that pass through the driver at a time
+FILE_ROWS = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+# Options that choose files rather than tell how to read them.
+CHOOSING = ("maxFilesPerTrigger", "maxBytesPerTrigger", "pathGlobFilter", "recursiveFileLookup", "maxFileAge",
+            "latestFirst", "modifiedAfter", "modifiedBefore")
 
 
-def _parsed(spark: SparkSession, src: str, fmt: str, schema: SchemaLike, rescue: bool,
-            case_sensitive: bool, options: dict) -> DataFrame:
-    """The stream of rows; with ``rescue`` also what does not fit, and where it came from."""
+def _file_stream(spark: SparkSession, src: str, options: dict) -> DataFrame:
+    """The names of new files as a stream; their contents are not read."""
     # Files may arrive with an older modification time than others that were read long ago.
-    options = {"maxFileAge": "36500d", **options}
-    if not rescue:
-        return read_stream(spark, src, fmt, schema, **options)
-    place = F.col("_metadata.file_path").alias("source_file")
-    if fmt == "json":
-        text = read_stream(spark, src, "text", "value STRING", **options).select("value", place)
-        return rescue_json(text, schema, case_sensitive=case_sensitive, path_col="source_file")
-    if fmt != "csv":
-        raise ValueError("rescue reads JSON lines and CSV")
-    # A line with more or fewer fields than the schema, or a value of another type, is kept whole.
-    wider = T.StructType([*as_struct(schema).fields, T.StructField(RESCUED, T.StringType())])
-    rows = read_stream(spark, src, fmt, wider, mode="PERMISSIVE", columnNameOfCorruptRecord=RESCUED,
-                       **options).select("*", place)
-    return rows.withColumn(RESCUED, F.when(F.col(RESCUED).isNotNull(), F.to_json(F.struct(
-        F.col(RESCUED).alias("_corrupt_record"), F.col("source_file").alias("_file_path")))))
+    choice = {"maxFileAge": "36500d", "maxFilesPerTrigger": FILES_PER_BATCH,
+              **{k: v for k, v in options.items() if k in CHOOSING}}
+    return read_stream(spark, src, "binaryFile", FILE_ROWS, **choice).select("path")
+
+
+def _rows_of(spark: SparkSession, groups: list[Group], fmt: str, schema: SchemaLike, rescue: bool,
+             case_sensitive: bool, options: dict, prepare) -> DataFrame:
+    """The rows of files; with ``rescue`` also what does not fit, and where it came from."""
+    if fmt == "json" and rescue:
+        files = [f for g in groups for f in g.files]
+        text = spark.read.text(files).select("value", F.col("_metadata.file_path").alias("source_file"))
+        rows = rescue_json(text, schema, case_sensitive=case_sensitive, path_col="source_file")
+        return prepare(rows) if prepare else rows
+    return read_mixed(spark, groups, fmt, schema, rescue, case_sensitive, prepare, **options)
 
 
 def ingest_stream(spark: SparkSession, src: str, fmt: str, sink: str, checkpoint: str,
@@ -104,41 +108,55 @@ def ingest_stream(spark: SparkSession, src: str, fmt: str, sink: str, checkpoint
     """Load new files of ``src`` into ``sink`` and stop when all are read; :func:`read_sink` reads it.
 
     With a declared ``schema`` it is fixed. Without one the columns are inferred from the files (all
-    STRING unless ``infer``), with ``hints`` on top, and kept in ``checkpoint/schema``; every
-    micro-batch compares the files it is about to load with them, whenever these were written.
-    New fields are treated by the ``evolution`` mode: ``addNewColumns`` records them, fails once with
-    UnknownFieldError before a row is written, and the next run loads the same files with them.
-
-    What does not fit goes to ``_rescued_data`` (JSON lines and CSV): always in mode ``rescue``, and
-    in every mode when the schema is inferred. ``case_sensitive`` decides about JSON keys in
-    another case.
+    STRING unless ``infer``; Parquet and ORC say themselves), with ``hints`` on top, and kept in
+    ``checkpoint/schema``; every micro-batch compares the files it is about to load with them, whenever these
+    were written, each by its own footer or header line. New fields are treated by the ``evolution`` mode:
+    ``addNewColumns`` records them, fails once with UnknownFieldError before a row is written, and the next run loads
+    the same files with them; ``addNewColumnsWithTypeWidening`` does so with wider types, too.
+
+    Columns are found by name. What does not fit goes to ``_rescued_data``: always in mode ``rescue``,
+    and in every mode when the schema is inferred. ``case_sensitive`` decides about names in another case.
+    Micro-batches have ``FILES_PER_BATCH`` files unless ``maxFilesPerTrigger`` is given.
     """
-    tracked = schema is None
-    if tracked:
-        schema = _recorded_schema(spark, src, fmt, checkpoint, hints, infer, options)
-    rescue = evolution == "rescue" or (tracked and fmt in ("json", "csv"))
-    rows = _parsed(spark, src, fmt, schema, rescue, case_sensitive, options)
-    rows = prepare(rows) if prepare else rows
-    save_schema(spark, f"{sink}/_schema", rows.schema)
-    if not tracked:
+    reading = {k: v for k, v in options.items() if k not in CHOOSING}
+    if fmt in ("parquet", "orc") and path_exists(spark, src):
+        reading = {"basePath": src, **reading}  # folders may say the values of columns
+    declared = schema is not None
+    rescue = evolution == "rescue" or not declared
+    if declared and not rescue and not (fmt == "csv" and has_header(options)):
+        rows = read_stream(spark, src, fmt, schema, **{"maxFileAge": "36500d", **options})
+        rows = prepare(rows) if prepare else rows
+        save_schema(spark, f"{sink}/_schema", rows.schema)
         return append_stream(rows, sink, f"{checkpoint}/offsets", trigger)
-
-    reading = {k: v for k, v in options.items() if k != "maxFilesPerTrigger"}
+    place = f"{checkpoint}/schema"
+    if not declared:
+        schema = load_schema(spark, place)
+        if schema is None:
+            first = list_files(spark, src, options.get("pathGlobFilter")).orderBy("modificationTime", "path")
+            names = [r["path"] for r in first.select("path", "modificationTime").limit(SAMPLE_FILES).collect()]
+            schema = recorded(schema_groups(spark, names, fmt, infer, hints, **reading), hints)
+            save_schema(spark, place, schema)
     failures: list[UnknownFieldError] = []
+    saved = [load_schema(spark, f"{sink}/_schema")]
 
     def load(batch: DataFrame, number: int) -> None:
-        files = [r[0] for r in batch.select("__file").distinct().collect()]
-        seen = read_files(spark, files, fmt, infer=infer, **reading).schema if files else as_struct(schema)
-        wider, verdict = evolve_schema(as_struct(schema), hinted_schema(seen, hints) if hints else seen, evolution)
-        if verdict.action == "restart":
-            save_schema(spark, f"{checkpoint}/schema", wider)
-        if verdict.action != "ok":
-            failures.append(UnknownFieldError(verdict.new_fields + verdict.widened, verdict.action == "restart"))
-            raise failures[-1]
+        names = sorted(r["path"] for r in batch.collect())  # at most maxFilesPerTrigger
+        groups = schema_groups(spark, names, fmt, infer and not declared, hints, schema if declared else None, **reading)
+        if not declared:
+            wider, verdict = evolve_schema(as_struct(schema), recorded(groups, hints), evolution)
+            if verdict.action == "restart":
+                save_schema(spark, place, wider)
+            if verdict.action != "ok":
+                failures.append(UnknownFieldError(verdict.new_fields + verdict.widened, verdict.action == "restart"))
+                raise failures[-1]
+        rows = _rows_of(spark, groups, fmt, schema, rescue, case_sensitive, reading, prepare)
+        if rows.schema != saved[-1]:
+            saved.append(rows.schema)
+            save_schema(spark, f"{sink}/_schema", rows.schema)
         # A batch that is replayed writes the same place again.
-        batch.drop("__file").write.mode("overwrite").parquet(f"{sink}/__batch={number}")
+        rows.write.mode("overwrite").parquet(f"{sink}/__batch={number}")
 
-    writer = (rows.withColumn("__file", F.input_file_name()).writeStream.foreachBatch(load)
+    writer = (_file_stream(spark, src, options).writeStream.foreachBatch(load)
               .option("checkpointLocation", f"{checkpoint}/offsets"))
     try:
         return _start(writer, trigger)
@@ -158,15 +176,3 @@ def follow_sink(spark: SparkSession, sink: str) -> DataFrame:
     schema = load_schema(spark, f"{sink}/_schema")
     return read_stream(spark, sink, "parquet", schema, maxFileAge="36500d").select(
         *[F.col(f"`{c}`") for c in schema.names])
-
-
-def _recorded_schema(spark, src, fmt, checkpoint, hints, infer, options):
-    """The recorded schema; on the first run that of the files that are there."""
-    place = f"{checkpoint}/schema"
-    current = load_schema(spark, place)
-    if current is None:
-        reading = {k: v for k, v in options.items() if k != "maxFilesPerTrigger"}
-        current = read_files(spark, src, fmt, infer=infer, **reading).schema
-        current = hinted_schema(current, hints) if hints else current
-        save_schema(spark, place, current)
-    return current
