@@ -229,6 +229,79 @@ def test_texts_of_no_learned_language_are_dropped(spark, parts):
     assert len(kept) >= 0.98 * own.filter(F.col("text").rlike(r"\p{L}")).count()
 
 
+def grams_of(text):
+    """Hashed n-grams of each order, as sets of Python integers."""
+    kept = " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
+    codes, out = [ord(c) for c in (f" {kept} " if kept else "")], []
+    for n in langid.ORDERS:
+        found = set()
+        for i in range(len(codes) - n + 1):
+            value = 0
+            for c in codes[i:i + n]:
+                value = (value * 1_000_003 + c) % 2**64
+            found.add((value * 0x9E3779B97F4A7C15 % 2**64 >> 40) % langid.SLOTS)
+        out.append(found)
+    return out
+
+
+def kernel(a, b):
+    return np.mean([len(x & y) / np.sqrt(len(x) * len(y)) if x and y else 0.0 for x, y in zip(a, b, strict=True)])
+
+
+def many_languages(n, each, seed=11):
+    """(text, language) pairs; every language has its own words over the same letters."""
+    rng, letters = random.Random(seed), "abcdefghijklmnopqrstuvwxyzäöüß"
+    words = [["".join(rng.choice(letters) for _ in range(rng.randrange(3, 8))) for _ in range(40)] for _ in range(n)]
+    return [(" ".join(rng.choice(words[k]) for _ in range(60)), f"l{k:03}") for k in range(n) for _ in range(each)]
+
+
+def test_fit_and_predictions_equal_a_version_in_python(spark, docs):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(many_languages(3, 16))]
+    df = docs([r[:2] for r in rows], langs=[r[2] for r in rows])
+    model = langid.learn_languages(df, landmarks=9)
+    known = [(grams_of(t), lang) for i, t, lang in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    texts = {np.packbits(langid.present(t)).tobytes(): grams_of(t) for _, t, _ in rows}
+    marks = [texts[m.tobytes()] for m in model.marks]
+    assert len(marks) == 9 and model.languages == ["l000", "l001", "l002"]
+    gram = np.array([[kernel(a, b) for b in marks] for a in marks])
+    values, vectors = np.linalg.eigh(gram)
+    root = vectors / np.sqrt(values)
+    z = np.array([[kernel(a, m) for m in marks] for a, _ in known]) @ root
+    goal = np.array([[float(lang == name) for name in model.languages] for _, lang in known])
+    w = np.array([1 / (3 * sum(other == lang for _, other in known)) for _, lang in known])[:, None]
+    zc, centre = z - (w * z).sum(axis=0), (w * goal).sum(axis=0)
+    solved = np.linalg.solve(zc.T @ (w * zc) + 1e-2 / len(known) * np.eye(9), zc.T @ (w * (goal - centre)))
+    got = {r.doc_id: r for r in langid.identify_language(df, landmarks=9).collect()}
+    for i, t, _ in rows:
+        margins = (np.array([kernel(grams_of(t), m) for m in marks]) @ root - (w * z).sum(axis=0)) @ solved + centre
+        assert got[i].lang_pred == model.languages[int(margins.argmax())]
+        assert abs(got[i].score - 1 / np.exp(8 * (margins - margins.max())).sum()) < 1e-3
+        assert got[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2)
+    for k, name in enumerate(model.languages):  # how usual a text's n-grams are among the others
+        own = [g[-1] for g, lang in known if lang == name]
+        shares = [np.mean([sum(s in o for o in own[:j] + own[j + 1:]) / (len(own) - 1) for s in g])
+                  for j, g in enumerate(own)]
+        assert abs(np.quantile(shares, langid.RARE) - model.least[k]) < 1e-4
+
+
+def test_every_language_is_learned(spark, docs):
+    rows = list(enumerate(many_languages(150, 8)))
+    rows += [(10_000, ("qqq qqq zzz", "lonely"))]
+    df = docs([(i, t) for i, (t, _) in rows], langs=[lang for _, (_, lang) in rows])
+    got = {r.doc_id: r for r in langid.identify_language(df).collect()}
+    learned = {lang for i, (_, lang) in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    right = [got[i].lang_pred == lang for i, (_, lang) in rows if got[i].held_out and lang in learned]
+    assert np.mean(right) > 0.95 and len(right) > 200
+
+
+def test_partial_sums_do_not_depend_on_the_partitions(spark, docs):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(many_languages(4, 12))]
+    models = [langid.learn_languages(docs([r[:2] for r in rows], parts=parts, langs=[r[2] for r in rows]), landmarks=8)
+              for parts in (1, 7)]
+    assert models[0].marks.tolist() == models[1].marks.tolist()
+    assert np.allclose(models[0].weights, models[1].weights, atol=1e-4) and np.allclose(models[0].usual, models[1].usual)
+
+
 def test_kernel_is_the_mean_of_the_presence_kernels():
     a, b = "the cat sat", "the dog sat down"
     flags = np.stack([langid.present(a), langid.present(b)])
