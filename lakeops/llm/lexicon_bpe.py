@@ -14,10 +14,11 @@ follow another Unicode version) are split by the library. Special tokens standin
 ids, as in the library. Decoding puts the bytes of the ids together; bytes that aren't UTF-8 are replaced.
 
 Limits: byte-level vocabularies without normalizer, post-processor, dropout or ``ignore_merges``. The lexicon has
-``words`` words of at most ``LONGEST`` bytes; both bound what reaches the driver, and all other words are merged.
+at most ``words`` words of at most ``LONGEST`` bytes; both bound what reaches the driver, and all other words
+are merged. Words that share a frequency bin with too many others stay out together.
 
 Defined results: a null text is empty and has no ids; no ids decode to the empty text. Repeated rows get equal
-results. Of equally frequent words those first in byte order are taken. Long texts are split in runs of words.
+results. Long texts are split in runs of words.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ import uuid
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import islice, pairwise
 
 import numpy as np
@@ -42,11 +44,12 @@ from pyspark.sql import functions as F
 from tokenizers import Regex, pre_tokenizers
 
 from lakeops.llm.common import in_slices
-from lakeops.session import write_bytes
+from lakeops.session import settle, write_bytes
 
 LONGEST = 48        # bytes of a word of the lexicon
 RUN = 1 << 16       # words of a long text that are handled at a time
-KEPT = 1 << 17      # distinct words that a counting task holds before it hands them on
+KEPT = 1 << 17      # distinct words that a counting task holds before it hands them on, and an encoding one keeps
+STEPS = 16          # bins of a frequency between one power of two and the next
 
 _SPLIT = regex.compile(public_tokenizers.PATTERN)
 # The same pattern where every character is ASCII.
@@ -76,13 +79,12 @@ class Vocabulary:
             return bytes(byte_of[c] for c in token)
 
         ids = {raw(token): i for token, i in model["vocab"].items()}
-        self.single = [ids[bytes([b])] for b in range(256)]
-        self.rank: dict[tuple[int, int], int] = {}  # of a pair of adjacent ids
-        self.merged: list[int] = []                 # id of the pair of each rank
-        for rank, pair in enumerate(model["merges"]):
-            left, right = map(raw, pair if isinstance(pair, list) else pair.split(" "))
-            self.rank[ids[left], ids[right]] = rank
-            self.merged.append(ids[left + right])
+        self.single = np.array([ids[bytes([b])] for b in range(256)])
+        spelled = [tuple(map(raw, pair if isinstance(pair, list) else pair.split(" "))) for pair in model["merges"]]
+        self.merged = np.array([ids[a + b] for a, b in spelled])  # id of the pair of each rank
+        pairs = np.array([ids[a] << 32 | ids[b] for a, b in spelled])
+        self.pair_ranks = np.argsort(pairs)
+        self.pairs = pairs[self.pair_ranks]
         self.special = {t["content"]: t["id"] for t in added}
         self.bytes_of = {i: token for token, i in ids.items()} | {
             i: token.encode() for token, i in self.special.items()}
@@ -95,28 +97,63 @@ class Vocabulary:
             _opened[path] = cls(path)
         return _opened[path]
 
-    def merge(self, word: bytes) -> list[int]:
-        """Ids of one word: of the adjacent pairs the one of the lowest rank is merged, the leftmost of
-        equals, until no pair has a rank."""
-        if len(word) > LONGEST:
-            return self._merge_long(word)
-        none, rank = len(self.merged), self.rank.get
-        ids = [self.single[b] for b in word]
-        ranks = [rank(pair, none) for pair in pairwise(ids)]
-        while ranks and (lowest := min(ranks)) < none:
-            at = ranks.index(lowest)
-            ids[at:at + 2] = [self.merged[lowest]]
-            del ranks[at]
-            if at:
-                ranks[at - 1] = rank((ids[at - 1], ids[at]), none)
-            if at < len(ranks):
-                ranks[at] = rank((ids[at], ids[at + 1]), none)
-        return ids
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word: of its adjacent pairs the one of the lowest rank is merged, the leftmost of
+        equals, until no pair has a rank. The words take such steps side by side."""
+        out = [b""] * len(words)
+        short = [k for k, w in enumerate(words) if len(w) <= LONGEST]
+        for k, ids in zip(short, self._merge_short([words[k] for k in short]), strict=True):
+            out[k] = ids
+        for k, word in enumerate(words):
+            if len(word) > LONGEST:
+                out[k] = np.array(self._merge_long(word), "<u4").tobytes()
+        return out
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair of ids, the number of merges for pairs without one."""
+        pair = left << 32 | right
+        found = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where(self.pairs[found] == pair, self.pair_ranks[found], len(self.merged))
+
+    def _merge_short(self, words: list[bytes]) -> list[bytes]:
+        none, size = len(self.merged), np.fromiter(map(len, words), np.int64, len(words))
+        ids = self.single[np.frombuffer(b"".join(words), np.uint8)]
+        owner = np.repeat(np.arange(len(words)), size)
+        rank = np.full(len(ids), none)  # of the pair that begins here, inside a word
+        inside = np.flatnonzero(owner[1:] == owner[:-1])
+        rank[inside] = self._ranks(ids[inside], ids[inside + 1])
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(ids):
+            starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            count = np.diff(np.append(starts, len(ids)))
+            lowest = np.repeat(np.minimum.reduceat(rank, starts), count)
+            going = lowest < none
+            done.append((owner[~going], ids[~going]))
+            ids, owner, rank, lowest = ids[going], owner[going], rank[going], lowest[going]
+            hits = np.flatnonzero(rank == lowest)
+            if not len(hits):
+                break
+            at = hits[np.concatenate([[True], owner[hits[1:]] != owner[hits[:-1]]])]
+            ids[at] = self.merged[rank[at]]
+            stays = np.ones(len(ids), bool)
+            stays[at + 1] = False
+            ids, owner, rank = ids[stays], owner[stays], rank[stays]
+            at = at - np.arange(len(at))
+            rank[at] = none
+            for left in (at, at - 1):  # the new id's pairs with its neighbours
+                left = left[(left >= 0) & (left + 1 < len(ids))]
+                left = left[owner[left] == owner[left + 1]]
+                rank[left] = self._ranks(ids[left], ids[left + 1])
+        order = np.argsort(np.concatenate([[], *[o for o, _ in done]]), kind="stable")
+        flat = np.concatenate([np.zeros(0, np.int64), *[i for _, i in done]])[order].astype("<u4").tobytes()
+        n_ids = np.bincount(np.concatenate([np.zeros(0, np.int64), *[o for o, _ in done]]), minlength=len(words))
+        ends = (4 * np.cumsum(n_ids)).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def _merge_long(self, word: bytes) -> list[int]:
-        """The same with a queue of pairs, for words of any length."""
-        ids = array("i", [self.single[b] for b in word])
-        n, ranks = len(ids), self.rank
+        """The ids of one word of any length, with a queue of pairs."""
+        ids = array("i", self.single[np.frombuffer(word, np.uint8)].tolist())
+        n, ranks = len(ids), self.rank_of
         after, before = array("i", range(1, n + 1)), array("i", range(-1, n - 1))
         queue = [(rank, at) for at, pair in enumerate(pairwise(ids)) if (rank := ranks.get(pair)) is not None]
         heapq.heapify(queue)
@@ -125,7 +162,7 @@ class Vocabulary:
             right = after[at]
             if ids[at] < 0 or right >= n or ranks.get((ids[at], ids[right])) != rank:
                 continue  # the pair changed since it was queued
-            ids[at], ids[right] = self.merged[rank], -1
+            ids[at], ids[right] = int(self.merged[rank]), -1
             after[at] = right = after[right]
             if right < n:
                 before[right] = at
@@ -134,6 +171,10 @@ class Vocabulary:
                     heapq.heappush(queue, (new, left))
         return [i for i in ids if i >= 0]
 
+    @cached_property
+    def rank_of(self) -> dict[tuple[int, int], int]:
+        return {(p >> 32, p & 0xFFFFFFFF): r for p, r in zip(self.pairs.tolist(), self.pair_ranks.tolist(), strict=True)}
+
 
 def _letters_of_bytes() -> list[str]:
     """The character that stands for each byte in a byte-level vocabulary: itself where it is visible
@@ -227,8 +268,8 @@ def count_words(docs: DataFrame, splitter: Splitter) -> DataFrame:
 
 # -- lexicon --------------------------------------------------------------------------------------
 
-def compile_lexicon(words: list[bytes], ids: list[list[int]]) -> bytes:
-    """The transducer of ascending distinct ``words`` as one file.
+def compile_lexicon(words: list[bytes], ids: list[bytes]) -> bytes:
+    """The transducer of ascending distinct ``words``, and their ``ids``, as one file.
 
     States are made minimal while the words arrive: once a word has left a branch, its states are
     looked up among the finished ones and replaced by an equal one. Then an edge's number is how many words
@@ -275,10 +316,10 @@ def compile_lexicon(words: list[bytes], ids: list[list[int]]) -> bytes:
             targets.append(target)
             numbers.append(passed)
             passed += below[target]
-    starts = np.cumsum([0, *map(len, ids)])
+    starts = np.cumsum([0, *[len(i) // 4 for i in ids]])
     parts = [np.array(keys, "<u4"), np.array(targets, "<u4"), np.array(numbers, "<u4"),
              np.array([f for f, _ in finished], "u1"), starts.astype("<u4"),
-             np.array([i for word in ids for i in word], "<u4")]
+             np.frombuffer(b"".join(ids), "<u4")]
     if len(finished) >= 1 << 24:
         raise ValueError("too many states for keys of 32 bits")
     head = np.array([start, max(map(len, words), default=0), *map(len, parts)], "<u8")
@@ -296,7 +337,8 @@ class Lexicon:
         for size, kind in zip(head[2:], ("<u4", "<u4", "<u4", "u1", "<u4", "<u4"), strict=True):
             parts.append(np.frombuffer(whole, kind, int(size), at))
             at += parts[-1].nbytes
-        self.keys, self.targets, self.numbers, self.final, self.starts, self.ids = parts
+        self.keys, self.targets, self.numbers, self.final, self.starts, _ = parts
+        self.ids = memoryview(whole)[at - 4 * int(head[-1]):]
 
     @classmethod
     def of(cls, name: str) -> Lexicon:
@@ -329,25 +371,41 @@ class Lexicon:
             state, total = self.targets[edge], total[there] + self.numbers[edge]
         return out
 
-    def ids_at(self, place: int) -> bytes:
-        """Ids as little-endian numbers of 32 bits."""
-        return self.ids[self.starts[place]:self.starts[place + 1]].tobytes()
+    def ids_at(self, places: np.ndarray) -> list[bytes]:
+        """The ids of each place as little-endian numbers of 32 bits."""
+        starts, ends = self.starts[places].tolist(), self.starts[places + 1].tolist()
+        return [self.ids[4 * a:4 * b] for a, b in zip(starts, ends, strict=True)]
+
+
+def frequent_words(counted: DataFrame, words: int) -> DataFrame:
+    """As many of the most frequent words as have room among ``words``: all whose frequency is in a bin above
+    some border. Only the sizes of bins reach the driver, so the border costs the same at every size."""
+    bin_of = F.floor(F.log2("n") * STEPS)
+    bins = counted.groupBy(bin_of.alias("bin")).count().orderBy(F.desc("bin")).collect()
+    border, held = float("inf"), 0
+    for r in bins:
+        held += r["count"]
+        if held > words:
+            break
+        border = r["bin"]
+    return counted.filter(bin_of >= F.lit(border))
 
 
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, splitter: Splitter, words: int) -> str:
     """Compile the most frequent words of ``docs``; the name of the file that tasks can open."""
-    rows = count_words(docs, splitter).orderBy(F.desc("n"), "word").limit(words).collect()
+    counted = settle(count_words(docs, splitter), "word-counts")
+    rows = frequent_words(counted, words).select("word").collect()
     chosen = sorted(r["word"].encode() for r in rows if r["word"] not in vocabulary.special)
     spark = docs.sparkSession
     name = f"lexicon-{uuid.uuid4().hex}"
-    path = write_bytes(spark, name, compile_lexicon(chosen, [vocabulary.merge(w) for w in chosen]))
+    path = write_bytes(spark, name, compile_lexicon(chosen, vocabulary.merge(chosen)))
     spark.sparkContext.addFile(path)
     return path.rsplit("/", 1)[-1]
 
 
 # -- encoding -------------------------------------------------------------------------------------
 
-def encode_texts(docs: DataFrame, tokenizer: str, words: int = 1 << 16) -> DataFrame:
+def encode_texts(docs: DataFrame, tokenizer: str, words: int = 1 << 17) -> DataFrame:
     """doc_id and ids (binary: little-endian, 32 bits each) of every row's text."""
     vocabulary = Vocabulary.of(tokenizer)
     differing = differing_characters()
@@ -355,7 +413,7 @@ def encode_texts(docs: DataFrame, tokenizer: str, words: int = 1 << 16) -> DataF
 
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocab, lex = Vocabulary.of(tokenizer), Lexicon.of(lexicon)
-        splitter = Splitter(vocab.cut, differing)
+        splitter, known = Splitter(vocab.cut, differing), {}
         for batch in batches:
             out: list[list[bytes]] = [[] for _ in range(len(batch))]
             waiting: list[tuple[int, list[str]]] = []
@@ -365,9 +423,9 @@ def encode_texts(docs: DataFrame, tokenizer: str, words: int = 1 << 16) -> DataF
                     waiting.append((k, run))
                     size += len(run)
                     if size >= RUN:
-                        _encode_runs(waiting, vocab, lex, out)
+                        _encode_runs(waiting, vocab, lex, known, out)
                         size = 0
-            _encode_runs(waiting, vocab, lex, out)
+            _encode_runs(waiting, vocab, lex, known, out)
             yield pa.array([b"".join(parts) for parts in out], pa.binary())
 
     coded = F.arrow_udf(encode, "binary").asNondeterministic()
@@ -375,20 +433,21 @@ def encode_texts(docs: DataFrame, tokenizer: str, words: int = 1 << 16) -> DataF
 
 
 def _encode_runs(waiting: list[tuple[int, list[str]]], vocab: Vocabulary, lex: Lexicon,
-                 out: list[list[bytes]]) -> None:
-    """Add the ids of the waiting (text, words) runs to ``out``, and empty ``waiting``."""
-    distinct = list(dict.fromkeys(w for _, run in waiting for w in run))
-    raw = [w.encode() for w in distinct]
-    table = {}
-    for word, spelled, place in zip(distinct, raw, lex.places(raw).tolist(), strict=True):
-        if place >= 0:
-            table[word] = lex.ids_at(place)
-        elif word in vocab.special:
-            table[word] = vocab.special[word].to_bytes(4, "little")
-        else:
-            table[word] = np.array(vocab.merge(spelled), "<u4").tobytes()
+                 known: dict[str, bytes], out: list[list[bytes]]) -> None:
+    """Add the ids of the waiting (text, words) runs to ``out``, and empty ``waiting``. ``known`` holds ids of
+    words met lately, at most ``KEPT`` and those of one run."""
+    if len(known) > KEPT:
+        known.clear()
+    new = list(set().union(*[run for _, run in waiting]).difference(known))
+    raw = [w.encode() for w in new]
+    places = lex.places(raw)
+    held = np.flatnonzero(places >= 0)
+    known.update(zip([new[k] for k in held.tolist()], lex.ids_at(places[held]), strict=True))
+    unseen = np.flatnonzero(places < 0).tolist()
+    known.update(zip([new[k] for k in unseen], vocab.merge([raw[k] for k in unseen]), strict=True))
+    known.update((w, i.to_bytes(4, "little")) for w, i in vocab.special.items())
     for k, run in waiting:
-        out[k].append(b"".join([table[w] for w in run]))
+        out[k].append(b"".join(map(known.__getitem__, run)))
     waiting.clear()
 
 

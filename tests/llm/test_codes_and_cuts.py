@@ -192,20 +192,38 @@ def test_ids_that_are_no_text_decode_like_the_library(spark, library):
     assert got == {k: library.decode(ids, skip_special_tokens=False) for k, ids in enumerate(rows)}
 
 
+def test_both_ways_to_merge_agree():
+    vocabulary, rng = lexicon_bpe.Vocabulary.of(PATH), random.Random(2)
+    words = [bytes(rng.choice(b"aaaeeetthing the\xc3\xa9") for _ in range(rng.randrange(0, 60))) for _ in range(3000)]
+    got = vocabulary.merge(words)
+    assert [np.frombuffer(b, "<u4").tolist() for b in got] == [vocabulary._merge_long(w) for w in words]
+    assert vocabulary.merge([]) == [] and vocabulary.merge([b""]) == [b""]
+
+
 def test_automaton_is_minimal_and_finds_every_word(tmp_path):
     words = sorted({a + b + c for a in (b"", b"re", b"un") for b in (b"do", b"make", b"tie") for c in (b"", b"s", b"ing")})
-    (tmp_path / "x").write_bytes(lexicon_bpe.compile_lexicon(words, [[k, k + 1] for k in range(len(words))]))
+    (tmp_path / "x").write_bytes(lexicon_bpe.compile_lexicon(words, [np.array([k, k + 1], "<u4").tobytes() for k in range(len(words))]))
     lexicon = lexicon_bpe.Lexicon(str(tmp_path / "x"))
     assert lexicon.places(words).tolist() == list(range(len(words)))
     others = [b"", b"r", b"re", b"redos!", b"doin", b"doings", b"\xff", b"make" * 40]
     assert lexicon.places(others).tolist() == [-1] * len(others)
-    assert np.frombuffer(lexicon.ids_at(5), "<u4").tolist() == [5, 6]
+    assert [np.frombuffer(b, "<u4").tolist() for b in lexicon.ids_at(np.array([5, 0]))] == [[5, 6], [0, 1]]
     # States by right language: as many as the automaton has.
     languages = {tuple(sorted(w[len(p):] for w in words if w.startswith(p)))
                  for w in words for p in (w[:k] for k in range(len(w) + 1))}
     assert len(lexicon.final) == len(languages)
     with pytest.raises(ValueError):
-        lexicon_bpe.compile_lexicon([b"b", b"a"], [[1], [2]])
+        lexicon_bpe.compile_lexicon([b"b", b"a"], [b"", b""])
+
+
+def test_frequent_words_fit_the_lexicon(spark):
+    rng = random.Random(8)
+    counted = spark.createDataFrame([(f"w{k}", rng.randrange(1, 1 << rng.randrange(1, 20))) for k in range(3000)], "word string, n long")
+    counts = sorted((r.n for r in counted.collect()), reverse=True)
+    for words in (0, 1, 50, 900, 2999, 3000, 9999):
+        got = sorted((r.n for r in lexicon_bpe.frequent_words(counted, words).collect()), reverse=True)
+        assert got == counts[:len(got)] and len(got) <= words and (len(got) == 3000 or words < 3000)
+        assert words < 50 or len(got) > 0.6 * min(words, 3000)
 
 
 def test_words_are_counted_over_all_texts(docs):
