@@ -1,14 +1,19 @@
 """Ordered window features that stay parallel when one group holds a large share of the rows.
 
-A plain window puts every row of a group into one task. Here the rows are range-partitioned by the
-group and order columns, so a large group lies in several consecutive ranges. The window runs inside
-each range, and only the groups that reach over a border (two for each range at most) need
-totals carried from range to range: a table of at most two rows per range, which is broadcast.
-Any orderable types and directions work, and every group takes the same path, whatever its size.
+A plain window puts every row of a group into one task. Here a group of more than ``ROWS`` rows is split into
+ranges of its order, which windows treat as groups of their own; what the other ranges of the group
+add (rows, sums and values before and after, neighbours) is one row per range and is joined to them. Ranges
+follow from the values of a row alone, so every plan that reads the rows puts them in the same range, and
+nothing but the columns that the features need is written on the way, for rows of split groups only.
+Any orderable types and directions work. Groups that fit a task take Spark's window as it is.
+
+``df`` is read several times (to count groups, to find borders, for the result): it must give the same rows
+each time; :func:`lakeops.session.settle` it when it is expensive or random.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,17 +22,90 @@ from pyspark.sql import functions as F
 from lakeops.operators.ordering import order_columns, top_k
 from lakeops.session import settle
 
+ROWS = 1 << 20          # rows of one group that a task may hold
+MOST_RANGES = 100_000   # of all groups together: their borders are broadcast
+SAMPLED = 64            # rows of each range that its border is chosen from
+
 
 def _bare(order_by: Sequence[str]) -> list[str]:
     return [c.lstrip("-") for c in order_by]
 
 
+def _turned(order_by: Sequence[str]) -> list[str]:
+    """The opposite order, NULLs included."""
+    return [c[1:] if c.startswith("-") else f"-{c}" for c in order_by]
+
+
+def _group(keys: Sequence[str]) -> Column:
+    return F.struct(F.lit(1).alias("one"), *[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)])
+
+
+def _place_of(order_by: Sequence[str]) -> Column:
+    return F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(_bare(order_by))])
+
+
+def _precedes(a: Column, b: Column, order_by: Sequence[str]) -> Column:
+    """Whether place ``a`` stands before place ``b``, with Spark's places for NULL."""
+    test = F.lit(False)
+    for i, c in reversed(list(enumerate(order_by))):
+        x, y = (b, a) if c.startswith("-") else (a, b)
+        x, y = x[f"o{i}"], y[f"o{i}"]
+        smaller = F.coalesce(x < y, x.isNull() & y.isNotNull())
+        test = smaller | (x.eqNullSafe(y) & test)
+    return test
+
+
+def _borders(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], ranges: int | None) -> DataFrame | None:
+    """(__g, __cuts): for every group to be split, the places where its ranges but the first begin."""
+    sizes = df.groupBy(_group(keys).alias("__g")).agg(F.count(F.lit(1)).alias("size"))
+    whole = sizes.agg(F.sum("size").alias("rows"), F.max("size").alias("most")).first()
+    if not whole["rows"]:
+        return None
+    limit = math.ceil(whole["rows"] / ranges) if ranges else max(ROWS, math.ceil(whole["rows"] / MOST_RANGES))
+    if whole["most"] <= limit:
+        return None
+    large = sizes.where(F.col("size") > limit).select("__g", F.ceil(F.col("size") / limit).alias("parts"))
+    scale = 1 << 30
+    drawn = F.pmod(F.xxhash64(*keys, *_bare(order_by), F.lit("border")), F.lit(scale)) < F.lit(min(scale, scale * SAMPLED // limit + 1))
+    sample = (df.where(drawn).select(_group(keys).alias("__s"), _place_of(order_by).alias("__o"))
+              .join(F.broadcast(large), F.col("__s").eqNullSafe(F.col("__g"))))
+    places = [F.col(f"__o.o{i}") for i in range(len(order_by))]
+    by = Window.partitionBy("__g").orderBy(*[p.desc() if c.startswith("-") else p.asc()
+                                             for p, c in zip(places, order_by, strict=True)])
+    part = F.floor((F.row_number().over(by) - 1) * F.col("parts") / F.count(F.lit(1)).over(Window.partitionBy("__g")))
+    numbered = sample.select("__g", "__o", part.alias("part"))
+    firsts = (numbered.withColumn("before", F.lag("part", 1, 0).over(
+        Window.partitionBy("__g").orderBy("part"))).where("part > before"))
+    cuts = firsts.groupBy("__g").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("part", "__o"))), lambda s: s["__o"]).alias("__cuts"))
+    return settle(cuts, "borders")
+
+
+def _numbered(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], cuts: DataFrame) -> DataFrame:
+    """``df`` with ``__p``, the number of a row's range in its group, and ``__split``."""
+    rows = df.withColumns({"__k": _group(keys), "__o": _place_of(order_by)})
+    rows = rows.join(F.broadcast(cuts), F.col("__k").eqNullSafe(F.col("__g")), "left")
+    # Two steps of about the root of the number of borders.
+    n, step = F.size("__cuts"), 32
+
+    def passed(candidates: Column) -> Column:
+        return F.size(F.filter(candidates, lambda c: ~_precedes(F.col("__o"), c, order_by)))
+
+    heads = F.filter("__cuts", lambda _, i: i % step == 0)
+    block = passed(heads)
+    fine = passed(F.slice("__cuts", (block - 1) * step + 1, F.lit(step)))
+    number = F.when(n.isNull() | (n <= 0) | (block == 0), 0).otherwise((block - 1) * step + fine)
+    return rows.withColumns({"__p": number, "__split": F.col("__g").isNotNull()}).drop("__g", "__cuts")
+
+
 def in_ranges(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
               ranges: int | None = None) -> DataFrame:
-    """``df`` with ``__p``: numbers of consecutive ranges of ``keys`` and ``order_by``."""
-    by = [*[F.col(k).asc() for k in keys], *order_columns(order_by)]
-    spread = df.repartitionByRange(ranges, *by) if ranges else df.repartitionByRange(*by)
-    return spread.withColumn("__p", F.spark_partition_id())
+    """``df`` with ``__p``, the number of a row's range in its group: 0 unless the group is split, which it is
+    beyond ``ROWS`` rows, or beyond its share of ``ranges`` ranges of the whole table."""
+    cuts = _borders(df, keys, order_by, ranges)
+    if cuts is None:
+        return df.withColumn("__p", F.lit(0))
+    return _numbered(df, keys, order_by, cuts).drop("__k", "__o", "__split")
 
 
 def _local(part: Sequence[str], order_by: Sequence[str], kind: str, args: Sequence[str]) -> Column:
@@ -59,21 +137,29 @@ def ordered_features(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]
     ``features`` maps a new column to one of ``("row_number",)``, ``("rank",)``, ``("dense_rank",)``,
     ``("count",)``, ``("running_sum", col)`` (the default RANGE frame on the leading order column:
     ties share a value), ``("total", col)``, ``("lag", col)`` or ``("lead", col)``. Ranks go by the
-    leading order column alone. Row numbers and neighbours need a total order. ``ranges`` is the
-    number of ranges, by default Spark's shuffle partitions.
+    leading order column alone. Row numbers and neighbours need a total order. ``ranges`` splits
+    groups beyond their share of that many ranges, instead of those beyond ``ROWS`` rows.
     """
-    part, lead = ["__p", *keys], _bare(order_by)[0]
+    lead = _bare(order_by)[0]
+    finish = {"row_number": "int", "rank": "int", "dense_rank": "int"}
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in features]
+    cuts = _borders(df, keys, order_by, ranges)
+    if cuts is None:
+        plain = {n: _local(keys, order_by, kind, args) for n, (kind, *args) in features.items()}
+        return df.select(*kept, *[(c.cast(finish[features[n][0]]) if features[n][0] in finish else c).alias(n)
+                                  for n, c in plain.items()])
+    rows, part = _numbered(df, keys, order_by, cuts), [*keys, "__p"]
     columns = {n: _local(part, order_by, kind, args) for n, (kind, *args) in features.items()}
-    columns["__n"] = _local(part, order_by, "row_number", ())
-    columns["__size"] = _local(part, order_by, "count", ())
-    columns |= {f"__sum_{c}": _local(part, order_by, "total", (c,)) for c in _summed(features)}
-    # Written once: the borders of the ranges are the same for the carried totals and the result.
-    local = settle(in_ranges(df, keys, order_by, ranges).withColumns(columns), "ranges")
-    carry = F.broadcast(_carry(local, keys, lead, features))
-    own = F.col("__p") == F.col("__cp")
-    for k in keys:
-        own = own & F.col(f"`{k}`").eqNullSafe(F.col("__c")[k])
-    joined = local.join(carry, own, "left")
+    columns |= {"__n": _local(part, order_by, "row_number", ()), "__size": _local(part, order_by, "count", ())}
+    needed = [f"`{c}`" for c in dict.fromkeys([*_summed(features), *_near(features)])]
+    split = settle(rows.where("__split").select(
+        F.col("__p"), F.col("__k").alias("__c"), F.struct(F.col(f"`{lead}`").alias("__value")).alias("__v"),
+        F.col("__o"), *[F.col(c).alias(f"__x{i}") for i, c in enumerate(needed)]), "split-groups")
+    names = {c.strip("`"): f"__x{i}" for i, c in enumerate(needed)}
+    # One row a range of a split group, of which there are MOST_RANGES at most.
+    carry = F.broadcast(_carry(split, order_by, features, names))
+    local = rows.withColumns(columns)
+    joined = local.join(carry, F.col("__split") & (F.col("__p") == F.col("__cp")) & F.col("__k").eqNullSafe(F.col("__c")), "left")
 
     none, value = F.lit(0).cast("bigint"), F.col(f"`{lead}`")
     # Whether the row's leading value can also lie in an earlier, or in a later range.
@@ -102,7 +188,6 @@ def ordered_features(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]
         else:
             merged[name] = F.when((F.col("__n") == F.col("__size")) & F.col("__cp").isNotNull(),
                                   F.col(f"__c_next.{args[0]}")).otherwise(here)
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in features]
     return joined.select(*kept, *[c.alias(n) for n, c in merged.items()])
 
 
@@ -110,29 +195,37 @@ def _summed(features: Mapping[str, tuple]) -> list[str]:
     return sorted({a[1] for a in features.values() if a[0] in ("running_sum", "total")})
 
 
-def _carry(local: DataFrame, keys: Sequence[str], lead: str, features: Mapping[str, tuple]) -> DataFrame:
-    """What a group's other ranges add to its rows in one range: (__cp, __c) and the totals.
+def _near(features: Mapping[str, tuple]) -> list[str]:
+    return sorted({a[1] for a in features.values() if a[0] in ("lag", "lead")})
 
-    Only the first and last group of a range can reach over a border, so there are at most two
-    rows for each range.
+
+def _carry(split: DataFrame, order_by: Sequence[str], features: Mapping[str, tuple], names: Mapping[str, str]) -> DataFrame:
+    """What a split group's other ranges add to its rows in one range: (__cp, __c) and the totals.
+
+    ``split`` has the rows of split groups: range, group, leading value, place and the columns ``names``
+    gives for those that features use.
     """
     summed, kinds = _summed(features), {a[0] for a in features.values()}
-    near = [F.col(f"`{c}`") for c in sorted({a[1] for a in features.values() if a[0] in ("lag", "lead")})]
-    dense = [n for n, a in features.items() if a[0] == "dense_rank"][:1]
-    named = local.select("*", F.struct(*[F.col(f"`{k}`") for k in keys]).alias("__c"),
-                         F.struct(F.col(f"`{lead}`").alias("__value")).alias("__v"))
-    first, last = F.col("__n") == 1, F.col("__n") == F.col("__size")
-    edges = (named.where(first).groupBy("__p").agg(F.min("__c").alias("a"), F.max("__c").alias("b"))
-             .select("__p", F.explode(F.array_distinct(F.array("a", "b"))).alias("edge"))
-             .groupBy("edge").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("edge"))
-    rows = named.join(F.broadcast(edges), F.col("__c").eqNullSafe(F.col("edge")), "left_semi")
-    heads = rows.where(first).select(
-        "__p", "__c", F.col("__size").alias("n"), F.col("__v").alias("head"), F.struct(F.lit(1), *near).alias("first"),
-        *[f"__sum_{c}" for c in summed])
-    tails = rows.where(last).select(
+    near = [F.col(names[c]).alias(c) for c in _near(features)]
+    dense = ["__values"] if "dense_rank" in kinds else []
+    places = [f"{'-' if c.startswith('-') else ''}__o{i}" for i, c in enumerate(order_by)]
+    flat = split.select("*", *[F.col(f"__o.o{i}").alias(f"__o{i}") for i in range(len(order_by))])
+    first = top_k(flat, ["__p", "__c"], places, 1, "__rank").select(
+        "__p", "__c", F.col("__v").alias("head"), F.struct(F.lit(1), *near).alias("first"))
+    last = top_k(flat, ["__p", "__c"], _turned(places), 1, "__rank").select(
         F.col("__p").alias("tp"), F.col("__c").alias("tc"), F.col("__v").alias("tail"),
-        F.struct(F.lit(1), *near).alias("last"), *[F.col(f"`{d}`").alias("n_values") for d in dense])
-    ranges = heads.join(tails, (F.col("__p") == F.col("tp")) & F.col("__c").eqNullSafe(F.col("tc"))).drop("tp", "tc")
+        F.struct(F.lit(1), *near).alias("last"))
+    values = split.groupBy("__p", "__c", "__v").agg(
+        F.count(F.lit(1)).alias("__count"), *[F.sum(names[c]).alias(c) for c in summed])
+    sizes = (values.groupBy("__p", "__c").agg(
+        F.sum("__count").alias("n"), *[F.count(F.lit(1)).alias("n_values") for _ in dense],
+        *[F.sum(F.col(f"`{c}`")).alias(f"__sum_{c}") for c in summed]) if kinds & {"rank", "running_sum", "dense_rank"}
+        else split.groupBy("__p", "__c").agg(
+            F.count(F.lit(1)).alias("n"), *[F.sum(names[c]).alias(f"__sum_{c}") for c in summed]))
+    ends = first.join(last, (F.col("__p") == F.col("tp")) & F.col("__c").eqNullSafe(F.col("tc"))).drop("tp", "tc")
+    sizes = sizes.withColumnsRenamed({"__p": "sp", "__c": "sc"})
+    ranges = ends.join(sizes, (F.col("__p") == F.col("sp")) & F.col("__c").eqNullSafe(F.col("sc"))).drop("sp", "sc")
+    ranges = settle(ranges, "range-totals")
 
     by = Window.partitionBy("__c").orderBy("__p")
     past, whole = by.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("__c")
@@ -150,11 +243,9 @@ def _carry(local: DataFrame, keys: Sequence[str], lead: str, features: Mapping[s
         return out.drop("head", "tail").withColumns({"__head": F.lit(None), "__tail": F.lit(None)})
 
     # Rows with the first or last leading value of their range: such a value can go on in others.
-    ends = F.broadcast(out.select(F.col("__cp").alias("ep"), F.col("__c").alias("ec"), "head", "tail"))
-    values = (rows.join(ends, (F.col("__p") == F.col("ep")) & F.col("__c").eqNullSafe(F.col("ec")))
-              .where(F.col("__v").eqNullSafe(F.col("head")) | F.col("__v").eqNullSafe(F.col("tail")))
-              .groupBy("__p", "__c", "__v").agg(
-                  F.count(F.lit(1)).alias("__count"), *[F.sum(F.col(f"`{c}`")).alias(c) for c in summed]))
+    edges = ranges.select(F.col("__p").alias("ep"), F.col("__c").alias("ec"), "head", "tail")
+    values = (values.join(F.broadcast(edges), (F.col("__p") == F.col("ep")) & F.col("__c").eqNullSafe(F.col("ec")))
+              .where(F.col("__v").eqNullSafe(F.col("head")) | F.col("__v").eqNullSafe(F.col("tail"))))
     along = Window.partitionBy("__c", "__v").orderBy("__p")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     later = along.rowsBetween(1, Window.unboundedFollowing)
@@ -210,33 +301,18 @@ def top_k_any(df: DataFrame, by: Sequence[str], rankings: Mapping[str, Sequence[
 def _place(df: DataFrame, out: DataFrame, found: DataFrame, by: Sequence[str], name: str,
            order_by: Sequence[str]) -> DataFrame:
     """``out`` with the position ``name`` of its rows among all rows of ``df`` in one ranking."""
-    names = _bare(order_by)
-
-    def row(prefix: str = "") -> Column:
-        return F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(names)])
-
-    def before(a: Column, b: Column) -> Column:
-        """Whether ``a`` stands before ``b``, with Spark's places for NULL."""
-        test = F.lit(False)
-        for i, c in reversed(list(enumerate(order_by))):
-            x, y = (b, a) if c.startswith("-") else (a, b)
-            x, y = x[f"o{i}"], y[f"o{i}"]
-            smaller = F.coalesce(x < y, x.isNull() & y.isNotNull())
-            test = smaller | (x.eqNullSafe(y) & test)
-        return test
-
     w = Window.partitionBy(*by).orderBy(*order_columns(order_by))
     group = F.struct(*[F.col(f"`{b}`") for b in by])
     # Candidates in their order; a group has no more of them than k times the rankings.
-    places = found.select(group.alias("__g"), row().alias("__o"), F.row_number().over(w).alias("__i"))
+    places = found.select(group.alias("__g"), _place_of(order_by).alias("__o"), F.row_number().over(w).alias("__i"))
     lists = places.groupBy("__g").agg(F.transform(
         F.array_sort(F.collect_list(F.struct("__i", "__o"))), lambda s: s["__o"]).alias("__list"))
-    counted = (df.select(group.alias("__g"), row().alias("__o")).join(lists, "__g")
-               .select("__g", (F.size(F.filter("__list", lambda c: ~before(F.col("__o"), c))) + 1).alias("__i"))
+    counted = (df.select(group.alias("__g"), _place_of(order_by).alias("__o")).join(lists, "__g")
+               .select("__g", (F.size(F.filter("__list", lambda c: ~_precedes(F.col("__o"), c, order_by))) + 1).alias("__i"))
                .groupBy("__g", "__i").agg(F.count(F.lit(1)).alias("n")))
     running = Window.partitionBy("__g").orderBy("__i")
     placed = (places.join(counted, ["__g", "__i"], "left")
               .select("__g", "__o", (F.sum(F.coalesce("n", F.lit(0))).over(running) + 1).cast("int").alias(name)))
-    ours = out.select("*", group.alias("__g2"), row().alias("__o2"))
+    ours = out.select("*", group.alias("__g2"), _place_of(order_by).alias("__o2"))
     return (ours.join(placed, F.col("__g2").eqNullSafe(F.col("__g")) & F.col("__o2").eqNullSafe(F.col("__o")))
             .drop("__g", "__o", "__g2", "__o2"))

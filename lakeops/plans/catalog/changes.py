@@ -1,15 +1,18 @@
 """MERGE, UPDATE, DELETE, slowly changing dimensions and change feeds."""
 
+from functools import reduce
+
 from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.columns import money
-from lakeops.operators import cdc
+from lakeops.operators import cdc, versions
 from lakeops.operators.merge import (
     AMBIGUOUS, by_source_delete, delete_where, matched_delete, matched_update, merge_into, not_matched_insert,
     update_where)
 from lakeops.operators.ordering import latest_per_key
-from lakeops.operators.tables import copy_version, write_table
+from lakeops.operators.tables import copy_version, empty_like, write_table
 from lakeops.plans import domain as d
 from lakeops.plans.domain import check, table
 from lakeops.plans.registry import query
@@ -314,3 +317,33 @@ def _(spark, sf):
     "customers"))
 def _(spark, sf):
     return cdc.net_changes(cdc.changes_between(_feed(spark, sf), 2, 2), ["customer_id"])
+
+
+def _log(spark, sf):
+    """Both versions as commits of a log, four days apart."""
+    old, new = _states(spark, sf)
+    log = scratch_path(spark, "log")
+    versions.commit_changes(cdc.change_feed(empty_like(old), old, ["customer_id"], 1), log, "2031-03-01 10:00:00")
+    versions.commit_changes(cdc.change_feed(old, new, ["customer_id"], 2), log, "2031-03-05 09:30:00")
+    return log
+
+
+@query("state_as_of_time", "M12", sql=check(f"""
+    WITH {_STATES}
+    SELECT moment, old.*, true AS refused_before FROM old, (VALUES ('2031-03-01 10:00:00'), ('2031-03-05 09:29:59')) t(moment)
+    UNION ALL SELECT moment, new.*, true FROM new, (VALUES ('2031-03-05 09:30:00'), ('2031-04-01 00:00:00')) t(moment)""", "customers"))
+def _(spark, sf):
+    log, refused, parts = _log(spark, sf), False, []
+    try:
+        versions.table_as_of(spark, log, ["customer_id"], at="2031-03-01 09:59:59")
+    except versions.NoSuchVersion:
+        refused = True
+    for at in ("2031-03-01 10:00:00", "2031-03-05 09:29:59", "2031-03-05 09:30:00", "2031-04-01 00:00:00"):
+        parts.append(versions.table_as_of(spark, log, ["customer_id"], at=at).select(
+            F.lit(at).alias("moment"), "*", F.lit(refused).alias("refused_before")))
+    return reduce(DataFrame.union, parts)
+
+
+@query("copied_state_of_a_time", "K11", "M12", sql=check(f"WITH {_STATES} SELECT * FROM old", "customers"))
+def _(spark, sf):
+    return versions.copy_as_of(spark, _log(spark, sf), ["customer_id"], scratch_path(spark, "copy"), at="2031-03-04")
