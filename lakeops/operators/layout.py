@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from itertools import pairwise
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeops.session import scratch_path
+from lakeops.operators.swaps import recover, replace_folder
+from lakeops.session import settle
 from lakeops.sources.files import list_files
 
+DRAWN = 64  # rows of the sample for each range of a clustering key
+
 
 def compact(spark: SparkSession, path: str, target_bytes: int = 1 << 30, where: str | None = None,
             partition_by: Sequence[str] = ()) -> int:
@@ -20,11 +24,13 @@ def compact(spark: SparkSession, path: str, target_bytes: int = 1 << 30, where:
     A table without partitions is packed by the scan: small files share a task, each task writes one
     file, and no row is shuffled. A partitioned table is rebalanced by its partition columns; with
     ``where``, a condition over these columns, only the named partitions are rewritten and all other
-    files stay untouched. The new files are written to the shared folder first, so a job
-    that dies leaves the table as it was. Sizes are set in a session of its own.
+    files stay untouched. The new files are written once, beside the table, and take the place of the old ones by
+    renames; a job that dies leaves the table as it was, or a swap that the next call of
+    :func:`lakeops.operators.swaps.recover` completes. Sizes are set in a session of its own.
     """
     if where and not partition_by:
         raise ValueError("only whole partitions can be compacted apart: name the partition columns")
+    recover(spark, path)
     own = spark.newSession()
     rows = spark.read.parquet(path)
     chosen = rows.where(where) if where else rows
@@ -34,19 +40,13 @@ def compact(spark: SparkSession, path: str, target_bytes: int = 1 << 30, where:
     parts = max(1, math.ceil(total / target_bytes))
     for key, value in {"spark.sql.files.maxPartitionBytes": target_bytes, "spark.sql.files.minPartitionNum": parts,
                        "spark.sql.files.openCostInBytes": 0, "spark.sql.adaptive.enabled": "true",
-                       "spark.sql.adaptive.advisoryPartitionSizeInBytes": target_bytes,
-                       "spark.sql.sources.partitionOverwriteMode": "dynamic"}.items():
+                       "spark.sql.adaptive.advisoryPartitionSizeInBytes": target_bytes}.items():
         own.conf.set(key, str(value))
-    staged = scratch_path(spark, "compacted")
     packed = own.read.parquet(path)
     packed = packed.where(where) if where else packed
     if partition_by:
         packed = packed.hint("rebalance", *partition_by)
-    packed.write.partitionBy(*partition_by).parquet(staged)
-    # Staged files have about the target size: no task splits one, small ones still share a task.
-    own.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes * 4 // 3))
-    staged_rows = own.read.schema(rows.schema).parquet(staged)
-    staged_rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    replace_folder(spark, path, packed.write.partitionBy(*partition_by).parquet, len(partition_by) if where else 0)
     return parts
 
 
@@ -64,8 +64,8 @@ def cluster_by(df: DataFrame, keys: Sequence[str], n_files: int) -> DataFrame:
     if len(keys) == 1:
         return df.repartitionByRange(n_files, *columns, spread).sortWithinPartitions(*columns)
     bits = max(4, math.ceil(math.log2(max(n_files, 2)) / len(keys)) + 2)
-    curve = df.withColumns({f"__r{i}": _rank(c, _cuts(df, k, 1 << bits))
-                            for i, (k, c) in enumerate(zip(keys, columns, strict=True))})
+    cuts = _cuts(df, keys, 1 << bits)
+    curve = df.withColumns({f"__r{i}": _rank(c, cuts[k]) for i, (k, c) in enumerate(zip(keys, columns, strict=True))})
     z = F.lit(0).cast("bigint")
     for bit in range(bits):
         for i in range(len(keys)):
@@ -75,23 +75,33 @@ def cluster_by(df: DataFrame, keys: Sequence[str], n_files: int) -> DataFrame:
             .sortWithinPartitions("__z", *columns).select(*df.columns))
 
 
-def _cuts(df: DataFrame, key: str, ranges: int) -> list:
-    """The smallest value of each of about ``ranges`` even ranges of a column, as literals."""
-    value = F.col(f"`{key}`")
-    firsts = (df.where(value.isNotNull()).select(value.alias("v")).repartitionByRange(ranges, "v")
-              .groupBy(F.spark_partition_id().alias("p")).agg(F.min("v").alias("v"))
-              .orderBy("v").select("v").collect())
-    return [r["v"] for r in firsts]
-
+def _cuts(df: DataFrame, keys: Sequence[str], ranges: int) -> dict[str, list]:
+    """For each key the smallest values of all but the first of ``ranges`` even ranges, as literals.
 
-def _rank(value: Column, cuts: list, step: int = 64) -> Column:
-    """How many cuts aren't above a value, found in two steps; 0 for NULL."""
-    if not cuts:
-        return F.lit(0)
-    block = F.size(F.filter(F.array(*[F.lit(c) for c in cuts[::step]]), lambda c: c <= value))
-    fine = F.filter(F.slice(F.array(*[F.lit(c) for c in cuts]), (block - 1) * step + 1, step), lambda c: c <= value)
-    return F.when(value.isNull() | (block <= 0), 0).otherwise(
-        F.least((block - 1) * step + F.size(fine), F.lit(len(cuts) - 1)))
+    One pass draws about ``DRAWN`` rows for each range, whatever the table's size; the sample of all keys is one
+    task's work. A value that fills several ranges is a border once.
+    """
+    share = min(1.0, DRAWN * ranges / max(df.count(), 1))
+    sample = settle(df.select(*[F.col(f"`{k}`") for k in keys]).sample(share, 7).coalesce(1), "cluster-sample")
+    out = {}
+    for k in keys:
+        value = F.col(f"`{k}`")
+        tile = F.ntile(ranges).over(Window.orderBy(value))
+        firsts = (sample.where(value.isNotNull()).select(value.alias("v"), tile.alias("t"))
+                  .groupBy("t").agg(F.min("v").alias("v")).orderBy("t").collect())
+        out[k] = [b["v"] for a, b in pairwise(firsts) if a["v"] != b["v"]]
+    return out
+
+
+def _rank(value: Column, cuts: list) -> Column:
+    """How many cuts aren't above a value, 0 for NULL: a balanced tree of comparisons, which is compiled."""
+    def tree(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value >= F.lit(cuts[middle]), tree(middle + 1, high)).otherwise(tree(low, middle))
+
+    return F.when(value.isNull(), 0).otherwise(tree(0, len(cuts)))
 
 
 def file_ranges(df: DataFrame, cols: Sequence[str]) -> DataFrame:
