@@ -11,10 +11,16 @@ that entity; from ``remove_at`` they are removed. All counts cover the whole cor
 
 With ``scope="document"`` (what the query and the pipeline use) a context is a distinct document: all
 words of a document stand with all its entities, wherever they are, and a disclosing term is
-masked wherever it occurs in the documents that hold its entity. ``P(c)`` is then the share of
-documents with the entity, and no number of contexts is asked for: ``P(c|t)`` is the lower end of
-its 95 % interval (Wilson), so a term seen once with a rare entity counts, but for less
-than one that keeps returning with it.
+masked wherever it occurs in the documents that hold its entity. Two things are asked of it:
+
+- It leaves little surprise about the entity, ``-log2 P(c|t)`` bits, with ``P(c|t)`` drawn towards ``P(c)``, the share of
+  documents with the entity, by ``SHRINK`` of an observation: ``generalise_at`` and ``remove_at`` are thresholds
+  on ``P(c|t)``, the same at every number of documents.
+- It doesn't only look so because it is rare. A word that occurs once stands in one document, and if that
+  holds an entity, nowhere else; so do most words of a large corpus. That ``b`` of a term's ``n`` documents are the
+  entity's is worth ``b log2 1/P(c)`` bits less ``n H(b/n)`` for which of them, less ``log2 M`` for the choice
+  among the ``M`` terms as frequent as this one; what is left must be ``EVIDENCE`` bits, i.e. chance gives an
+  entity less than one such term in twenty. Words that occur once fail this where there are many of them.
 
 Everything here is DataFrame expressions. Offsets are code points, ends exclusive.
 
@@ -47,6 +53,8 @@ NEEDS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "p
 MASKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]",
          "removed": ""}
 WORD = r"\p{L}{3,}"
+SHRINK = 0.25    # observations of the corpus' share that a term's share of an entity is drawn towards
+EVIDENCE = 4.4   # bits: log2 of one in twenty
 
 
 def _digits(value: Column) -> Column:
@@ -190,13 +198,6 @@ def _terms_of(text: Column) -> Column:
                                         lambda w: F.xxhash64(w)))
 
 
-def _lower_share(some: Column, of: Column) -> Column:
-    """Lower end of the one-sided 95 % Wilson interval of a share."""
-    z = 1.6448536269514722
-    share, n = some / of, of.cast("double")
-    return (share + z * z / (2 * n) - z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
-
-
 def count_documents(docs: DataFrame) -> tuple[DataFrame, int]:
     """(term, n_term): in how many distinct texts each word is; and the number of distinct texts."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -208,26 +209,41 @@ def count_documents(docs: DataFrame) -> tuple[DataFrame, int]:
     return settle(counts, "terms"), rows.select("h", "n").distinct().count()
 
 
+def _held_terms(found: DataFrame, *keep: Column) -> DataFrame:
+    """The columns ``keep``, entity and term of every word and entity of the rows that hold one."""
+    return (found.filter(F.size("base") > 0)
+            .select(*keep, F.explode(F.array_distinct("base.entity")).alias("entity"), _terms_of(F.col("text")).alias("terms"))
+            .select(*[F.col(c) for c in ("key",) if keep], "entity", F.explode("terms").alias("term")))
+
+
 def disclosing_in_documents(docs: DataFrame, found: DataFrame, generalise_at: float = 0.7) -> DataFrame:
     """(entity, term, disclosed) of the terms that disclose enough of an entity in its documents."""
     counts, total = count_documents(docs)
-    held = (found.filter(F.size("base") > 0)
-            .groupBy("key.h", "key.n").agg(F.first("base.entity").alias("entities"), F.first("text").alias("text"))
-            .select(F.explode(F.array_distinct("entities")).alias("entity"), _terms_of(F.col("text")).alias("terms")))
-    joint = (held.select("entity", F.explode("terms").alias("term"))
-             .groupBy("entity", "term").agg(F.count("*").alias("n_both")))
-    around = held.groupBy("entity").agg(F.count("*").alias("n_entity"))
+    once = found.filter(F.size("base") > 0).groupBy("key.h", "key.n").agg(
+        F.first("base").alias("base"), F.first("text").alias("text"))
+    joint = _held_terms(once).groupBy("entity", "term").agg(F.count("*").alias("n_both"))
+    around = (once.select(F.explode(F.array_distinct("base.entity")).alias("entity"))
+              .groupBy("entity").agg(F.count("*").alias("n_entity")))
+    # Frequencies in bins of a quarter of a power of two: a few hundred at most.
+    bin_of = F.floor(F.log2("n_term") * 4)
+    same = counts.groupBy(bin_of.alias("bin")).agg(F.count("*").alias("n_same"))
     prior = F.least(F.lit(0.5), F.col("n_entity") / F.lit(float(max(total, 1))))
-    disclosed = F.log2(_lower_share(F.col("n_both"), F.col("n_term")) / prior) / -F.log2(prior)
-    return (joint.join(around, "entity").join(counts, "term")
+    share = F.col("n_both") / F.col("n_term")
+    spread = F.when(share < 1, -(share * F.log2(share) + (1 - share) * F.log2(1 - share))).otherwise(0.0)
+    evidence = -F.col("n_both") * F.log2(prior) - F.col("n_term") * spread - F.log2("n_same")
+    disclosed = (F.col("n_both") + SHRINK * prior) / (F.col("n_term") + SHRINK)
+    return (joint.join(counts, "term").filter(F.col("n_both") / F.col("n_term") >= generalise_at)
+            .join(around, "entity").withColumn("bin", bin_of).join(F.broadcast(same), "bin")
+            .filter(evidence >= EVIDENCE)
             .select("entity", "term", disclosed.alias("disclosed")).filter(F.col("disclosed") >= generalise_at))
 
 
 def terms_in_documents(found: DataFrame, telling: DataFrame) -> DataFrame:
     """(key, start, end, disclosed) of every occurrence of a term in the rows that hold its entity."""
     held = found.filter(F.size("base") > 0)
-    told = (held.select("key", F.explode(F.array_distinct("base.entity")).alias("entity")).distinct()
-            .join(telling, "entity").groupBy("key", "term").agg(F.max("disclosed").alias("disclosed")))
+    # A row's own words are looked up, so an entity in many documents doesn't bring all its terms to each.
+    told = (_held_terms(found, F.col("key")).join(telling, ["entity", "term"])
+            .groupBy("key", "term").agg(F.max("disclosed").alias("disclosed")))
     words = held.select("key", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("word"),
                         F.split("text", WORD, -1).alias("gap"))
     first = F.slice("gap", F.lit(1), F.size("word"))
