@@ -43,7 +43,27 @@ NOTICES = (
     ("creative commons attribution", "cc-by"),
     ("dedicated to the public domain", "public-domain"),
     ("all rights reserved", "reserved"),
+    ("permission to use copy modify and or distribute this software", "isc"),
+    ("gnu affero general public license", "agpl"),
+    ("apache license version 2 0", "apache"),
+    ("licensed under the bsd license", "bsd"),
+    ("eclipse public license", "epl"),
+    ("common development and distribution license", "cddl"),
+    ("european union public licence", "eupl"),
+    ("boost software license version", "bsl"),
+    ("microsoft public license", "ms-pl"),
+    ("python software foundation license", "psf"),
+    ("sil open font license", "ofl"),
+    ("creative commons zero", "cc0"),
+    ("creative commons attribution sharealike", "cc-by-sa"),
+    ("creative commons attribution noncommercial", "cc-by-nc"),
+    ("spdx license identifier mit", "mit"),
+    ("spdx license identifier apache 2 0", "apache"),
+    ("spdx license identifier gpl", "gpl"),
+    ("spdx license identifier bsd", "bsd"),
+    ("this is free and unencumbered software released into the public domain", "unlicense"),
 )
+STRETCH = 4  # lengths of a notice that are searched at a time, besides an overlap
 ERRORS_PER_CHARACTERS = 10  # one error is allowed for each so many characters of a notice
 
 _BLANK = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32
@@ -103,18 +123,32 @@ class Scanner:
         out = []
         for k, spans in self.windows(text).items():
             notice = self.notices[k]
-            for begin, stop in spans:
-                # The pattern gives the best match, so what stands before and after it is searched again.
-                left = [(begin, min(stop, len(text)))]
-                while left:
-                    first, last = left.pop()
-                    m = notice.pattern.search(text, first, last, concurrent=False)
-                    if m:
-                        out.append((m.start(), m.end(), notice.label,
-                                    1 - sum(m.fuzzy_counts) / len(notice.text)))
-                        left += [(first, m.start()), (m.end(), last)]
+            longest = len(notice.text) + notice.errors + 2  # with the blanks around it
+            # A long window is searched in stretches: one match lies in one of them whole, and the work
+            # grows with the text.
+            step = STRETCH * longest
+            found = {m for begin, stop in spans for a in range(begin, max(begin + 1, min(stop, len(text)) - longest), step)
+                     for m in self._matches(notice, text, a, min(a + step + longest, stop, len(text)))}
+            ends: list[tuple[int, int]] = []  # of the chosen matches, the best first; none overlap
+            for errors, start, end in sorted(found):
+                at = bisect.bisect_left(ends, (start, end))
+                if (at and ends[at - 1][1] > start) or (at < len(ends) and ends[at][0] < end):
+                    continue
+                ends.insert(at, (start, end))
+                out.append((start, end, notice.label, 1 - errors / len(notice.text)))
         return sorted(out)
 
+    @staticmethod
+    def _matches(notice: Notice, text: str, begin: int, stop: int) -> Iterator[tuple[int, int, int]]:
+        """(errors, start, end): the best match, and those before and after it."""
+        left = [(begin, stop)]
+        while left:
+            first, last = left.pop()
+            m = notice.pattern.search(text, first, last, concurrent=False)
+            if m:
+                yield sum(m.fuzzy_counts), m.start(), m.end()
+                left += [(first, m.start()), (m.end(), last)]
+
 
 def read_words(text: str | None) -> str:
     """The words between single blanks, with a blank before and after."""
