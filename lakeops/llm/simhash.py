@@ -30,6 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeops.operators.joins import key_match
 from lakeops.session import settle
 
 SEED = 42
@@ -126,10 +127,13 @@ def components(edges: DataFrame) -> DataFrame:
     while before[0]:
         both = stars.union(stars.select("root", "node"))
         low = both.groupBy("node").agg(F.min("root").alias("low"))
-        large = (both.join(low, "node").filter(F.col("root") > F.col("node"))
+        # The root of a large component is a hot node: key_match lets AQE split it.
+        large = (both.alias("t").join(low.alias("s"), key_match(both, low, [("node", "node")]))
+                 .select("t.node", "t.root", "s.low").filter(F.col("root") > F.col("node"))
                  .select(F.col("root").alias("node"), F.least("low", "node").alias("root")).distinct())
         low = large.groupBy("node").agg(F.min("root").alias("low"))
-        small = (large.join(low, "node").select(
+        small = (large.alias("t").join(low.alias("s"), key_match(large, low, [("node", "node")]))
+                 .select("t.node", "t.root", "s.low").select(
             F.explode(F.array(F.struct(F.col("node"), F.col("low").alias("root")),
                               F.struct(F.col("root").alias("node"), F.col("low").alias("root"))))
             .alias("e")).select("e.*").filter("node > root").distinct())
