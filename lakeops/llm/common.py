@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -70,10 +71,11 @@ def running_starts(sizes: Column, chunk: int = 256) -> Column:
     return F.flatten(F.zip_with(cut, starts, prefix))
 
 
-def range_of(at: Column, cuts: list, kind: str, step: int = 32) -> Column:
-    """How many of the sorted ``cuts`` are not above a value, in two steps of few comparisons each."""
+def range_of(at: Column, cuts: list, kind: str) -> Column:
+    """How many of the sorted ``cuts`` are not above a value, in two steps of about the root of their number."""
     if not cuts:
         return F.lit(0)
+    step = max(32, math.isqrt(len(cuts)))
 
     def literal(values: list) -> Column:
         return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")

@@ -29,6 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm.common import in_slices, range_of
+from lakeops.operators.joins import plan_bytes
+
+BYTES_PER_RANGE = 1 << 30  # of the planner's estimate
 
 WORDS, FEW, LONG, PIECE = 4, 16, 128, 64
 
@@ -175,14 +178,14 @@ def _in_order(docs: DataFrame, ranges: int) -> DataFrame:
     firsts = sorted((r["part"], r["at"]) for r in rows.groupBy("part").agg(F.min("at").alias("at")).collect())
     if not firsts:
         return rows.select("doc_id", "text", "part", F.lit(False).alias("guest"))
-    # Where the first row of each range also goes: to the range before it, around the end.
-    guests = F.create_map(*[F.lit(v) for i, (_, at) in enumerate(firsts) for v in (at, firsts[i - 1][0])])
-    home = F.struct(F.col("part").alias("part"), F.lit(False).alias("guest"))
-    visit = F.struct(F.element_at(guests, F.col("at")).alias("part"), F.lit(True).alias("guest"))
-    placed = rows.select("doc_id", "text", "at", F.explode(
-        F.when(F.element_at(guests, F.col("at")).isNotNull(), F.array(home, visit))
-        .otherwise(F.array(home))).alias("to"))
-    return (placed.select("doc_id", "text", "at", "to.part", "to.guest").repartition("part")
+    # Where the first row of each range also goes: to the range before it, around the end. One row a range.
+    guests = F.broadcast(docs.sparkSession.createDataFrame(
+        [(at, firsts[i - 1][0]) for i, (_, at) in enumerate(firsts)], "first bigint, before int"))
+    home = F.struct(F.col("part").cast("int").alias("part"), F.lit(False).alias("guest"))
+    visit = F.struct(F.col("before").alias("part"), F.lit(True).alias("guest"))
+    placed = rows.join(guests, F.col("at") == F.col("first"), "left").select("doc_id", "text", "at", F.explode(
+        F.when(F.col("first").isNotNull(), F.array(home, visit)).otherwise(F.array(home))).alias("to"))
+    return (placed.select("doc_id", "text", "at", "to.part", "to.guest").repartition(ranges, "part")
             .sortWithinPartitions("part", "guest", "at", F.xxhash64("text"))
             .select("doc_id", "text", "part", "guest"))
 
@@ -191,7 +194,8 @@ def compare_with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """For each row: its fingerprint, that of its text with the last quarter replaced from the next
     document, and how alike the tree is to the edited text's and to the next document's."""
     if ranges is None:
-        ranges = min(2048, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        ranges = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                     -(-plan_bytes(docs) // BYTES_PER_RANGE))
     kind = dict(docs.dtypes)["doc_id"]
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from lakeops.llm.common import hash_sample, lower_ascii, range_of
 
+ROWS_PER_RANGE = 1 << 20
 RULE = "struct<size:int,host_size:int,rule:string,path:string,action:string>"
 
 
@@ -118,7 +119,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, ranges: int | None = None) -
     """One row per row of ``pages``: page_id, host, path, rule, verdict."""
     spark = pages.sparkSession
     if ranges is None:
-        ranges = min(1024, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+        ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-pages.count() // ROWS_PER_RANGE))
     host, path = url_parts(F.col("url"))
     parts = pages.select("page_id", F.col("url"), host.alias("host"), path.alias("path"))
     keyed = parts.select("page_id", "host", "path", F.concat(
