@@ -180,15 +180,17 @@ def learn_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000) ->
              .filter(~held_out(F.col("doc_id"), 3, 1))
              .groupBy("doc_id").agg(F.round(F.avg("quality")).cast("int").alias("label")))
     chosen = hash_sample(known, max_rows, "doc_id")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in in_slices(batches):
             got = [text_features(t) for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [part.column("label"), pa.array(got, pa.list_(pa.float64()))], ["label", "x"])
+                [part.column("doc_id"), part.column("label"), pa.array(got, pa.list_(pa.float64()))], ["doc_id", "label", "x"])
 
-    got = rows.mapInArrow(featured, "label int, x array<double>").toPandas()
+    # One row an id, however often it occurs: at most max_rows reach the driver.
+    got = (rows.mapInArrow(featured, f"doc_id {dict(rows.dtypes)['doc_id']}, label int, x array<double>")
+           .groupBy("doc_id").agg(F.min(F.struct("label", "x")).alias("r")).select("r.label", "r.x").toPandas())
     if got.empty:
         return AdditiveModel()
     # The same rows in another order would add up to other last digits.
