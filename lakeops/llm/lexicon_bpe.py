@@ -48,7 +48,7 @@ from lakeops.session import settle, write_bytes
 
 LONGEST = 48        # bytes of a word of the lexicon
 RUN = 1 << 16       # words of a long text that are handled at a time
-KEPT = 1 << 17      # distinct words that a counting task holds before it hands them on, and an encoding one keeps
+KEPT = 1 << 16      # distinct words that a counting task holds before it hands them on, and an encoding one keeps
 STEPS = 16          # bins of a frequency between one power of two and the next
 
 _SPLIT = regex.compile(public_tokenizers.PATTERN)
@@ -405,8 +405,9 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, splitter: Splitter, w
 
 # -- encoding -------------------------------------------------------------------------------------
 
-def encode_texts(docs: DataFrame, tokenizer: str, words: int = 1 << 17) -> DataFrame:
-    """doc_id and ids (binary: little-endian, 32 bits each) of every row's text."""
+def encode_texts(docs: DataFrame, tokenizer: str, words: int = 1 << 17, back: bool = False) -> DataFrame:
+    """doc_id and ids (binary: little-endian, 32 bits each) of every row's text; with ``back`` also ``decoded``,
+    the text that the ids give, made by the same task."""
     vocabulary = Vocabulary.of(tokenizer)
     differing = differing_characters()
     lexicon = build_lexicon(docs, vocabulary, Splitter(vocabulary.cut, differing), words)
@@ -426,10 +427,19 @@ def encode_texts(docs: DataFrame, tokenizer: str, words: int = 1 << 17) -> DataF
                         _encode_runs(waiting, vocab, lex, known, out)
                         size = 0
             _encode_runs(waiting, vocab, lex, known, out)
-            yield pa.array([b"".join(parts) for parts in out], pa.binary())
+            for k, parts in enumerate(out):
+                out[k] = b"".join(parts)
+            ids = pa.array(out, pa.binary())
+            texts = pa.array([_decode(b, vocab) for b in out] if back else [None] * len(out), pa.string())
+            yield pa.StructArray.from_arrays([ids, texts], ["ids", "decoded"])
 
-    coded = F.arrow_udf(encode, "binary").asNondeterministic()
-    return docs.select("doc_id", coded("text").alias("ids"))
+    coded = F.arrow_udf(encode, "ids binary, decoded string").asNondeterministic()
+    rows = docs.select("doc_id", coded("text").alias("_llm_ids"))
+    return rows.select("doc_id", "_llm_ids.ids", *["_llm_ids.decoded"] * back)
+
+
+def _decode(ids: bytes, vocab: Vocabulary) -> str:
+    return b"".join(map(vocab.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
 def _encode_runs(waiting: list[tuple[int, list[str]]], vocab: Vocabulary, lex: Lexicon,
@@ -454,10 +464,8 @@ def _encode_runs(waiting: list[tuple[int, list[str]]], vocab: Vocabulary, lex: L
 def decoded(ids: str, tokenizer: str) -> Column:
     """The text of a column of ids as ``encode_texts`` gives them; null for null."""
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        table = Vocabulary.of(tokenizer).bytes_of
+        vocab = Vocabulary.of(tokenizer)
         for batch in batches:
-            yield pa.array([None if b is None else b"".join(
-                [table[i] for i in np.frombuffer(b, "<u4").tolist()]).decode("utf-8", "replace")
-                for b in batch.to_pylist()], pa.string())
+            yield pa.array([_decode(b.as_py(), vocab) if b.is_valid else None for b in batch], pa.string())
 
     return F.arrow_udf(decode, "string").asNondeterministic()(ids)

@@ -12,7 +12,7 @@ from lakeops.llm.byte_bpe import encode_documents
 from lakeops.llm.common import table
 from lakeops.llm.infilling import rearrange, restored
 from lakeops.llm.langid import identify_language
-from lakeops.llm.lexicon_bpe import decoded, encode_texts
+from lakeops.llm.lexicon_bpe import encode_texts
 from lakeops.llm.licenses import scan_licenses
 from lakeops.llm.merkle import compare_with_next
 from lakeops.llm.packing import pack
@@ -198,6 +198,6 @@ def _(spark, sf):
 @query("op13_lexicon_bpe")
 def _(spark, sf):
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return (encode_texts(table(spark, sf, "documents"), path).select("doc_id", "ids", decoded("ids", path).alias("back"))
-            .select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                    F.sha2("ids", 256).alias("ids_sha256"), F.sha2("back", 256).alias("decoded_sha256")))
+    return encode_texts(table(spark, sf, "documents"), path, back=True).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
