@@ -3,32 +3,52 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.functions.columns import derive_region, uncastable
+from lakeops.functions.columns import uncastable
 from lakeops.operators.ordering import latest_per_key
 
 
-def normalize_customers(df: DataFrame, with_region: bool = False) -> DataFrame:
-    """Typed, trimmed customers with an id and an email; the latest signup per id wins.
+CASES = {"title": F.initcap, "lower": F.lower, "upper": F.upper}
 
-    Rows with the same id and signup date are told apart by all their values, so a re-run picks
-    the same winner.
-    """
-    typed = df.withColumns({
-        "customer_id": F.col("customer_id").cast("bigint"),
-        "signup_date": F.to_date(F.col("signup_date").cast("string"), "yyyy-MM-dd"),
-        "name": F.initcap(F.trim("name")),
-        "email": F.lower(F.trim("email")),
-        "country": F.upper(F.trim("country")),
-    })
-    if with_region:
-        typed = typed.withColumn("region", derive_region("country"))
-    known = typed.dropna(subset=["customer_id", "email"])
-    tie = [c for c in known.columns if c not in ("customer_id", "signup_date")]
-    return latest_per_key(known, ["customer_id"], ["-signup_date", *tie])
+
+@dataclass(frozen=True)
+class Feed:
+    """What the rows of a feed become: ``texts`` are trimmed and brought to a case, ``types`` cast (a value
+    that does not fit fails the load), rows without a ``required`` value go, and of a key's rows the one
+    that is first under ``newest`` stays."""
+
+    key: tuple[str, ...]
+    newest: tuple[str, ...]
+    required: tuple[str, ...]
+    texts: Mapping[str, str]
+    types: Mapping[str, str]
+
+
+CUSTOMER_FEED = Feed(
+    key=("customer_id",), newest=("-signup_date",), required=("email", "customer_id"),
+    texts={"country": "upper", "email": "lower", "name": "title"},
+    types={"signup_date": "date", "customer_id": "bigint"})
+
+
+def tidy(df: DataFrame, feed: Feed) -> DataFrame:
+    """One clean row per key. Rows that are equally new are told apart by all their values, so a re-run
+    picks the same one."""
+    def value(name: str) -> Column:
+        col = F.col(f"`{name}`")
+        if name in feed.texts:
+            col = CASES[feed.texts[name]](F.trim(col))
+        return col.cast(feed.types[name]).alias(name) if name in feed.types else col.alias(name)
+
+    complete = reduce(and_, [F.col(f"`{c}`").isNotNull() for c in feed.required], F.lit(True))
+    named = {c.lstrip("-") for c in (*feed.key, *feed.newest)}
+    ties = [c for c in df.columns if c not in named]
+    return latest_per_key(df.select(*map(value, df.columns)).where(complete), feed.key, [*feed.newest, *ties])
 
 
 def uncastable_rows(df: DataFrame, col: str, type_name: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from lakeops.functions.columns import REGION_COUNTRIES, derive_region, money
-from lakeops.operators.clean import load_typed, normalize_customers, order_lines, uncastable_rows
+from lakeops.operators.clean import CUSTOMER_FEED, load_typed, order_lines, tidy, uncastable_rows
 from lakeops.operators.ordering import latest_per_key
 from lakeops.plans import domain as d
 from lakeops.plans.domain import check, table
@@ -166,7 +166,7 @@ def _(spark, sf):
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("signup_date"),
         F.lit(" bUYER ").alias("name"),
         F.when(F.col("o_orderstatus") != "P", email).alias("email"), "country")
-    return normalize_customers(raw, with_region=True)
+    return tidy(raw, CUSTOMER_FEED).withColumn("region", derive_region("country"))
 
 
 @query("distinct_rows", "P11", sql="""

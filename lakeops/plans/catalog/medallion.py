@@ -201,6 +201,53 @@ def _(spark, sf):
     return _dataset_sizes(m.refresh_medallion(spark, places, out, "2030-01-01"))
 
 
+def _fed_in_two_parts(spark, sf):
+    """Most customers and orders, a refresh, then the others, and a refresh that follows them."""
+    land, out = scratch_path(spark, "landing"), scratch_path(spark, "medallion")
+    items = _items_bronze(table(spark, sf, "part"))
+    items.write.parquet(f"{land}/items")
+    feeds = {"customers": (bronze_customers(spark, sf), "customer_id % 10 = 3"),
+             "orders": (bronze_orders(spark, sf), "order_id % 50 = 7")}
+    places = {n: m.Landing(f"{land}/{n}", "parquet", feed.schema) for n, (feed, _) in feeds.items()}
+    places["items"] = m.Landing(f"{land}/items", "parquet", items.schema)
+    for part in ("NOT ({})", "{}"):
+        for name, (feed, late) in feeds.items():
+            feed.where(part.format(late)).write.mode("append").parquet(f"{land}/{name}")
+        datasets = m.refresh_medallion(spark, places, out, "2030-01-01")
+    return datasets
+
+
+@query("gold_daily_revenue_followed", "D5", "D9", sql=check(f"""
+    WITH {_CUSTOMERS}, {_ORDERS}
+    SELECT CAST(order_date AS VARCHAR) AS order_date, region, count(DISTINCT order_id) AS orders,
+           CAST(sum(amount) AS DOUBLE) AS revenue, {_AVG} AS avg_order_amount
+    FROM silver_orders JOIN silver_customers USING (customer_id) GROUP BY ALL""", "sales"))
+def _(spark, sf):
+    return _fed_in_two_parts(spark, sf)["gold_daily_revenue"]
+
+
+@query("gold_rankings_followed", "D6", "D7", "D9", sql=check(f"""
+    WITH {_CUSTOMERS}, {_ORDERS}, spend AS (
+        SELECT customer_id, region, count(DISTINCT order_id) AS n, sum(amount) AS s
+        FROM silver_orders JOIN silver_customers USING (customer_id) GROUP BY ALL),
+    best AS (SELECT *, row_number() OVER (PARTITION BY region ORDER BY s DESC, customer_id) AS rank FROM spend),
+    sold AS (SELECT l.item_id, p_type AS category, sum(quantity)::BIGINT AS u,
+                    sum(quantity * unit_price) AS r FROM nested_lines l JOIN part ON l.item_id = 'I' || p_partkey
+             WHERE quantity > 0 GROUP BY ALL),
+    top_items AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY r DESC, item_id) AS rr,
+                         row_number() OVER (PARTITION BY category ORDER BY u DESC, item_id) AS ru FROM sold)
+    SELECT 'customer' AS kind, CAST(customer_id AS VARCHAR) AS id, n, CAST(s AS DOUBLE) AS total, rank AS place, rank AS other
+    FROM best WHERE rank <= 10
+    UNION ALL SELECT 'item', item_id, u, CAST(r AS DOUBLE), rr, ru FROM top_items WHERE rr <= 10 OR ru <= 10""", "sales", "nested_lines"))
+def _(spark, sf):
+    gold = _fed_in_two_parts(spark, sf)
+    return gold["gold_top_10_customers"].select(
+        F.lit("customer").alias("kind"), F.col("customer_id").cast("string").alias("id"), F.col("lifetime_orders").alias("n"),
+        F.col("lifetime_spend").cast("double").alias("total"), F.col("rank").alias("place"), F.col("rank").alias("other")).union(
+        gold["gold_top_10_items"].select(
+            F.lit("item"), "item_id", "units_sold", F.col("revenue").cast("double"), "rank_revenue", "rank_units"))
+
+
 @query("units_per_title", "D10", sql=check("""
     SELECT i.name AS title, count(*) AS n, sum(n.quantity)::BIGINT AS quantity
     FROM nested_lines n JOIN items i ON n.item_id = 'I' || i.item_id GROUP BY ALL""",

@@ -5,7 +5,7 @@ from pyspark.testing.utils import assertDataFrameEqual
 from lakeops.functions.columns import derive_region, first_letter_mask, mask_email
 from lakeops.functions.sqlfuncs import register_sql_functions
 from lakeops.operators.aggregates import column_profile, distinct_values, run_metrics, two_stage_agg
-from lakeops.operators.clean import load_typed, normalize_customers, order_lines, uncastable_rows
+from lakeops.operators.clean import CUSTOMER_FEED, load_typed, order_lines, tidy, uncastable_rows
 from lakeops.operators.joins import full_outer, salted_join
 from lakeops.operators.ordering import latest_per_key
 
@@ -17,18 +17,18 @@ def people(spark, *rows):
 
 
 def test_normalise(spark):
-    got = normalize_customers(people(
+    got = tidy(people(
         spark, (11, "  joão da silva ", "João.Silva@MAIL.example", " br ", "2021-12-31"),
-        (12, "O'NEIL-smith", " x@Y.example ", "Jp", "1999-02-28")))
+        (12, "O'NEIL-smith", " x@Y.example ", "Jp", "1999-02-28")), CUSTOMER_FEED)
     assert [(r.customer_id, r.email, r.country, str(r.signup_date)) for r in got.orderBy("customer_id").collect()] == [
         (11, "joão.silva@mail.example", "BR", "2021-12-31"), (12, "x@y.example", "JP", "1999-02-28")]
     assert all(r.name == r.name.strip() and r.name[:1].isupper() for r in got.collect())
 
 
 def test_rows_without_key_or_address_go_and_the_newest_stays(spark):
-    got = normalize_customers(people(
+    got = tidy(people(
         spark, (7, "first entry", "f@y.example", "FR", "2020-03-01"), (7, "second entry", "f@y.example", "FR", "2022-03-01"),
-        (8, "nobody", None, "FR", "2020-01-01"), (None, "no key", "k@y.example", "FR", "2020-01-01"))).collect()
+        (8, "nobody", None, "FR", "2020-01-01"), (None, "no key", "k@y.example", "FR", "2020-01-01")), CUSTOMER_FEED).collect()
     assert [(r.customer_id, str(r.signup_date)) for r in got] == [(7, "2022-03-01")]
 
 
