@@ -605,8 +605,11 @@ def test_components_of_near_fingerprints(spark, max_bucket):
 
 
 def test_near_copies_of_documents(docs, texts):
-    near = {i: t + " extra" for i, t in list(texts.items())[:0]}
-    rows = [*texts.items(), *near.items()]
+    # Long texts with one word more share most shingles: some of them come within two bits.
+    near = {10_000 + i: f"{t} {'extra' if i % 2 else 'more'}" for i, t in texts.items() if len(t) > 1500}
+    assert sum(0 < (slow_simhash(t) ^ slow_simhash(texts[i - 10_000])).bit_count() <= 2 for i, t in near.items()) > 5
+    texts = texts | near
+    rows = list(texts.items())
     parts = clusters({slow_simhash(t) for _, t in rows})
     first = {}
     for i, t in rows:
