@@ -17,6 +17,7 @@ from lakeops.operators.merge import (
 )
 from lakeops.operators.ordering import latest_per_key
 from lakeops.operators.windows import ordered_features
+from lakeops.session import settle
 
 FEED_COLUMNS = ("_change_type", "_commit_version", "_commit_timestamp")
 
@@ -81,12 +82,12 @@ def scd2_history(log: DataFrame, keys: Sequence[str], coalesce_noop: bool = Fals
     in several ranges of the sequence (:func:`lakeops.operators.windows.ordered_features`).
     """
     payload = [c for c in log.columns if c not in ("__seq", "__deleted")]
-    steps = log
+    steps = settle(log, "scd2-events")  # read by each pass of the windows
     if coalesce_noop:
         rest = [c for c in payload if c not in keys]
         steps = steps.withColumn("__row", F.struct(F.col("__deleted"), *rest))
         steps = ordered_features(steps, keys, ["__seq"], {"__prev": ("lag", "__row")}, ranges)
-        steps = steps.where(~F.col("__row").eqNullSafe(F.col("__prev"))).drop("__row", "__prev")
+        steps = settle(steps.where(~F.col("__row").eqNullSafe(F.col("__prev"))).drop("__row", "__prev"), "scd2-steps")
     steps = ordered_features(steps, keys, ["__seq"], {"__END_AT": ("lead", "__seq")}, ranges)
     return steps.where(~F.col("__deleted")).select(
         *payload, F.col("__seq").alias("__START_AT"), "__END_AT")
