@@ -288,7 +288,7 @@ def _written(spans: Column) -> Column:
 
 
 def personal_data_report(docs: DataFrame, **settings) -> DataFrame:
-    """doc_id, counts by kind, the digest of the base spans, and all spans as text."""
+    """doc_id, counts by kind, the digest of the base spans, all spans as text, and how many they are."""
     rows = find_personal_data(docs, **settings)
 
     def count(rank: int) -> Column:
@@ -298,7 +298,7 @@ def personal_data_report(docs: DataFrame, **settings) -> DataFrame:
         "doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)],
         F.sha2(_written(F.col("base")), 256).alias("base_sha256"),
         _written(F.array_sort(F.concat("base", "terms"))).alias("spans"),
-        F.size("terms").cast("long").alias("n_terms"))
+        F.size("terms").cast("long").alias("n_terms"), (F.size("base") + F.size("terms")).cast("long").alias("n_spans"))
 
 
 def sanitise(docs: DataFrame, **settings) -> DataFrame:
