@@ -149,6 +149,25 @@ def _(spark, sf):
         "user_id", "event_id", "event_type", "value")
 
 
+@query("stream_upsert_lookup", "M16", sql="""
+    SELECT user_id, event_id, event_type, value FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+    WHERE rn = 1 AND event_type <> 'error' AND user_id IN (SELECT user_id FROM events WHERE event_type = 'signup')""")
+def _(spark, sf):
+    # All but sign-ups, a fold, the sign-ups, a fold of the buckets they touch; then only the users who signed up.
+    out, order, keys = scratch_path(spark, "lookup"), ["-ts", "-event_id"], ["user_id"]
+    events = d.table(spark, sf, "events")
+    signups = events.where("event_type = 'signup'")
+    for rows in (events.where("event_type <> 'signup'"), signups):
+        rows.write.mode("append").parquet(f"{out}/events")
+        upserts.upsert_stream(flows.read_stream(spark, f"{out}/events", "parquet", events.schema), keys, order,
+                              f"{out}/store", f"{out}/cp", "event_type = 'error'", buckets=16)
+        upserts.fold(spark, f"{out}/store", keys, order)
+    upserts.vacuum(spark, f"{out}/store")
+    return upserts.read_keys(spark, f"{out}/store", keys, order, signups).select(
+        "user_id", "event_id", "event_type", "value")
+
+
 @query("stream_evolved_column", "S10", "S11", "T3", sql="""
     SELECT event_id, user_id, CASE WHEN event_type = 'purchase' THEN value END AS price FROM events""")
 def _(spark, sf):
