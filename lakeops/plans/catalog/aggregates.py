@@ -8,9 +8,12 @@ from lakeops.functions.columns import money
 from lakeops.operators.aggregates import (
     analyze, average, column_profile, distinct_values, recent_runs, regional_revenue, run_metrics,
     summary_row, two_stage_agg)
+from lakeops.operators.sketches import describe, distinct_error, partials, refresh_statistics, unite
 from lakeops.plans import domain as d
 from lakeops.plans.domain import check, table
 from lakeops.plans.registry import query
+from lakeops.session import scratch_path, settle
+from lakeops.sources.ingest import copy_into, read_loaded
 
 _AVG = "CAST(sum({0}) AS DOUBLE) / count({0})"
 
@@ -283,3 +286,51 @@ def _(spark, sf):
         "o_orderkey", "o_custkey", F.nullif("o_orderstatus", F.lit("P")).alias("status"),
         "o_orderpriority")
     return analyze(rows).drop("approx_distinct")
+
+
+def _checked(estimate, exact, lg_k=12):
+    """The exact count if the estimate is within three standard errors of it, else the estimate."""
+    near = F.abs(estimate - exact) <= F.ceil(3 * distinct_error(lg_k) * exact)
+    return F.when(near, exact).otherwise(estimate)
+
+
+@query("statistics_of_loads", "A3", "K16", "S8", sql="""
+    SELECT 'o_orderkey' AS column, count(*) AS rows, count(*) - count(o_orderkey) AS nulls,
+           count(DISTINCT o_orderkey) AS distinct_values, min(o_orderkey)::VARCHAR AS min, max(o_orderkey)::VARCHAR AS max FROM orders
+    UNION ALL SELECT 'o_custkey', count(*), count(*) - count(o_custkey), count(DISTINCT o_custkey),
+           min(o_custkey)::VARCHAR, max(o_custkey)::VARCHAR FROM orders
+    UNION ALL SELECT 'status', count(*), count(*) - count(nullif(o_orderstatus, 'P')), count(DISTINCT nullif(o_orderstatus, 'P')),
+           min(nullif(o_orderstatus, 'P')), max(nullif(o_orderstatus, 'P')) FROM orders
+    UNION ALL SELECT 'o_orderpriority', count(*), count(*) - count(CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END),
+           count(DISTINCT CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END),
+           min(CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END), max(CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END)
+           FROM orders""")
+def _(spark, sf):
+    # Two loads, the second with a column more; each refresh reads the load that is new.
+    out = scratch_path(spark, "statistics")
+    rows = table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", F.nullif("o_orderstatus", F.lit("P")).alias("status"), "o_orderpriority", "o_orderstatus")
+    finished = F.col("o_orderstatus") == "F"
+    for part in (rows.where(finished).drop("o_orderpriority", "o_orderstatus"), rows.where(~finished).drop("o_orderstatus")):
+        part.write.mode("append").parquet(f"{out}/landing")
+        copy_into(spark, f"{out}/table", f"{out}/landing", "parquet", merge_schema=True)
+        found = refresh_statistics(spark, f"{out}/table")
+    loaded = read_loaded(spark, f"{out}/table")
+    exact = loaded.agg(*[F.countDistinct(c).alias(c) for c in loaded.columns]).select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in loaded.columns])))
+    return found.join(exact, "column").select(
+        "column", "rows", "nulls", _checked(F.col("approx_distinct"), F.col("n")).alias("distinct_values"), "min", "max")
+
+
+@query("distinct_customers_of_months", "A3", sql=check("""
+    SELECT CAST(date_trunc('month', order_date) AS VARCHAR) AS month, count(*) AS orders, count(DISTINCT customer_id) AS customers,
+           CAST(max(amount) AS DOUBLE) AS largest FROM sales GROUP BY ALL""", "sales"))
+def _(spark, sf):
+    # Orders are read once, for days; months are united from the days' sketches.
+    orders = d.orders(spark, sf).withColumn("month", F.trunc("order_date", "month"))
+    days = settle(partials(orders, ["month", "order_date"], ["customer_id", "amount"]), "days")
+    months = describe(unite(days, ["month"]), ["month"]).groupBy("month").agg(
+        F.max("rows").alias("orders"), F.max(F.when(F.col("column") == "customer_id", F.col("approx_distinct"))).alias("estimate"),
+        F.max(F.when(F.col("column") == "amount", F.col("max").cast("decimal(18,2)"))).alias("largest"))
+    exact = orders.groupBy("month").agg(F.countDistinct("customer_id").alias("n"))
+    return months.join(exact, "month").select("month", "orders", _checked(F.col("estimate"), F.col("n")).alias("customers"), "largest")

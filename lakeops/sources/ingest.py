@@ -38,7 +38,8 @@ def _ledger(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.schema(LEDGER).parquet(f"{target}/ledger")
 
 
-def _last_load(spark: SparkSession, target: str) -> int:
+def last_load(spark: SparkSession, target: str) -> int:
+    """The number of the last finished load, 0 before the first."""
     return _ledger(spark, target).agg(F.coalesce(F.max("__load"), F.lit(0))).first()[0]
 
 
@@ -56,17 +57,22 @@ def load_schema(spark: SparkSession, path: str) -> T.StructType | None:
     return T.StructType.fromJson(json.loads(spark.read.text(path).first()[0]))
 
 
-def read_loaded(spark: SparkSession, target: str) -> DataFrame:
-    """Rows of all finished loads, in the table's current schema."""
+def read_loads(spark: SparkSession, target: str, after: int = 0, upto: int | None = None) -> DataFrame:
+    """Rows of the finished loads after number ``after`` until ``upto``, in the table's current schema, with ``__load``."""
     schema = load_schema(spark, f"{target}/schema")
     if schema is None:
         raise FileNotFoundError(f"nothing has been loaded into {target}")
-    last = _last_load(spark, target)
+    last = last_load(spark, target) if upto is None else upto
     with_load = T.StructType([*schema.fields, T.StructField("__load", T.IntegerType())])
     if last == 0:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], with_load)
     data = spark.read.schema(with_load).parquet(f"{target}/data")
-    return data.where(F.col("__load") <= last).drop("__load")
+    return data.where((F.col("__load") > after) & (F.col("__load") <= last))
+
+
+def read_loaded(spark: SparkSession, target: str) -> DataFrame:
+    """Rows of all finished loads, in the table's current schema."""
+    return read_loads(spark, target).drop("__load")
 
 
 def _chunks(rows: Iterator, size: int) -> Iterator[list]:
@@ -122,7 +128,7 @@ def _load_chunk(spark, target, chunk, fmt, schema, select, merge_schema, widen_t
             save_schema(spark, f"{target}/schema", current)
     fitted = [F.col(f.name).cast(f.dataType) if f.name in rows.columns
               else F.lit(None).cast(f.dataType).alias(f.name) for f in current.fields]
-    number = _last_load(spark, target) + 1
+    number = last_load(spark, target) + 1
     rows.select(*fitted).write.mode("overwrite").parquet(f"{target}/data/__load={number}")
     entry = spark.createDataFrame([(r["path"], r["modificationTime"], r["length"])
                                    for r in chunk], as_struct(LEDGER.rsplit(",", 1)[0]))
