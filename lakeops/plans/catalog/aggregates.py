@@ -323,7 +323,7 @@ def _(spark, sf):
 
 
 @query("distinct_customers_of_months", "A3", sql=check("""
-    SELECT CAST(date_trunc('month', order_date) AS VARCHAR) AS month, count(*) AS orders, count(DISTINCT customer_id) AS customers,
+    SELECT CAST(CAST(date_trunc('month', order_date) AS DATE) AS VARCHAR) AS month, count(*) AS orders, count(DISTINCT customer_id) AS customers,
            CAST(max(amount) AS DOUBLE) AS largest FROM sales GROUP BY ALL""", "sales"))
 def _(spark, sf):
     # Orders are read once, for days; months are united from the days' sketches.
