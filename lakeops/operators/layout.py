@@ -13,7 +13,8 @@ from lakeops.operators.swaps import recover, replace_folder
 from lakeops.session import settle
 from lakeops.sources.files import list_files
 
-DRAWN = 64  # rows of the sample for each range of a clustering key
+DRAWN = 64   # rows of the sample for each range of a clustering key
+WRITERS = 4  # open files of a task that writes partitions; each holds a row group
 
 
 def compact(spark: SparkSession, path: str, target_bytes: int = 1 << 30, where: str | None = None,
@@ -26,21 +27,23 @@ def compact(spark: SparkSession, path: str, target_bytes: int = 1 << 30, where:
     ``where``, a condition over these columns, only the named partitions are rewritten and all other
     files stay untouched. The new files are written once, beside the table, and take the place of the old ones by
     renames; a job that dies leaves the table as it was, or a swap that the next call of
-    :func:`lakeops.operators.swaps.recover` completes. Sizes are set in a session of its own.
+    :func:`lakeops.operators.swaps.recover` completes. Sizes are set in a session of its own. No task reads
+    much more than ``target_bytes``; one that meets at most ``WRITERS`` partitions doesn't sort its rows.
     """
     if where and not partition_by:
         raise ValueError("only whole partitions can be compacted apart: name the partition columns")
     recover(spark, path)
-    own = spark.newSession()
+    own = unsorted_writes(spark)
     rows = spark.read.parquet(path)
     chosen = rows.where(where) if where else rows
     total = (chosen.select("_metadata.file_path", "_metadata.file_size").distinct()
              .agg(F.coalesce(F.sum("file_size"), F.lit(0))).first()[0] if where else
              list_files(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
     parts = max(1, math.ceil(total / target_bytes))
-    for key, value in {"spark.sql.files.maxPartitionBytes": target_bytes, "spark.sql.files.minPartitionNum": parts,
-                       "spark.sql.files.openCostInBytes": 0, "spark.sql.adaptive.enabled": "true",
-                       "spark.sql.adaptive.advisoryPartitionSizeInBytes": target_bytes}.items():
+    sizes = ({"spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.advisoryPartitionSizeInBytes": target_bytes}
+             if partition_by else {"spark.sql.files.maxPartitionBytes": target_bytes,
+                                   "spark.sql.files.minPartitionNum": parts, "spark.sql.files.openCostInBytes": 0})
+    for key, value in sizes.items():
         own.conf.set(key, str(value))
     packed = own.read.parquet(path)
     packed = packed.where(where) if where else packed
@@ -50,6 +53,13 @@ def compact(spark: SparkSession, path: str, target_bytes: int = 1 << 30, where:
     return parts
 
 
+def unsorted_writes(spark: SparkSession) -> SparkSession:
+    """A session whose tasks write up to ``WRITERS`` partitions side by side, and sort only the rows after those of more."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.maxConcurrentOutputFileWriters", str(WRITERS))
+    return own
+
+
 def cluster_by(df: DataFrame, keys: Sequence[str], n_files: int) -> DataFrame:
     """Lay rows out along a Z-order curve over up to four columns of any orderable types.
 
@@ -78,11 +88,11 @@ def cluster_by(df: DataFrame, keys: Sequence[str], n_files: int) -> DataFrame:
 def _cuts(df: DataFrame, keys: Sequence[str], ranges: int) -> dict[str, list]:
     """For each key the smallest values of all but the first of ``ranges`` even ranges, as literals.
 
-    One pass draws about ``DRAWN`` rows for each range, whatever the table's size; the sample of all keys is one
-    task's work. A value that fills several ranges is a border once.
+    One pass over all files side by side draws about ``DRAWN`` rows for each range, whatever the table's size; only this
+    sample of all keys goes to one task. A value that fills several ranges is a border once.
     """
     share = min(1.0, DRAWN * ranges / max(df.count(), 1))
-    sample = settle(df.select(*[F.col(f"`{k}`") for k in keys]).sample(share, 7).coalesce(1), "cluster-sample")
+    sample = settle(df.select(*[F.col(f"`{k}`") for k in keys]).sample(share, 7).repartition(1), "cluster-sample")
     out = {}
     for k in keys:
         value = F.col(f"`{k}`")

@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.columns import money
-from lakeops.operators.layout import cluster_by, compact, file_ranges
+from lakeops.operators.layout import cluster_by, compact, file_ranges, unsorted_writes
 from lakeops.plans.domain import table
 from lakeops.plans.registry import query
 from lakeops.session import scratch_path
@@ -35,7 +35,7 @@ def _(spark, sf):
 def _(spark, sf):
     # Only the files of one partition are rewritten; the rows of all are still there.
     path = scratch_path(spark, "partitions")
-    rows = table(spark, sf, "lineitem")
+    rows = table(unsorted_writes(spark), sf, "lineitem")
     rows.repartition(6).write.partitionBy("l_returnflag").parquet(path)
     compact(spark, path, 1 << 30, "l_returnflag = 'A'", ["l_returnflag"])
     packed = spark.read.parquet(path)

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lakeops.operators import swaps
+from lakeops.operators import layout, swaps
 from lakeops.operators.layout import _cuts, _rank, cluster_by, compact, file_ranges
 
 
@@ -110,3 +110,42 @@ def test_clustered_files_are_narrow_in_every_key(spark, tmp_path):
     ranges = file_ranges(spark.read.parquet(str(tmp_path / "z")), ["a"]).collect()
     assert sum(r.rows for r in ranges) == 20_000 and len(ranges) == 16
     assert sum(r.max_a - r.min_a for r in ranges) / len(ranges) < 550  # 999 without clustering, 250 for perfect squares
+
+
+def test_borders_come_from_a_pass_over_all_files_side_by_side(spark, monkeypatch):
+    plans, settle = [], layout.settle
+    monkeypatch.setattr(layout, "settle", lambda df, label: plans.append(df._jdf.queryExecution().toString()) or settle(df, label))
+    cuts = _cuts(spark.range(0, 4000, 1, 8).withColumnRenamed("id", "v"), ["v"], 16)["v"]
+    assert len(cuts) == 15 and all(abs(c - 250 * (k + 1)) < 120 for k, c in enumerate(cuts))
+    assert "Coalesce 1" not in plans[0] and "Exchange" in plans[0]  # only the sample goes to one task
+
+
+def test_partitions_are_written_without_a_sort(spark, table, monkeypatch):
+    found, replace = [], layout.replace_folder
+
+    def noted(spark, path, write, inner):
+        found.append(int(write.__self__._spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")))
+        replace(spark, path, write, inner)
+
+    monkeypatch.setattr(layout, "replace_folder", noted)
+    compact(spark, str(table / "parts"), partition_by=["p"])
+    assert found == [layout.WRITERS] and total(spark, table / "parts") == (300, 44850)
+
+
+@pytest.mark.parametrize("parts", [3, 4, 5, 40])
+def test_unsorted_writes_of_few_and_many_partitions(spark, tmp_path, parts):
+    rows = layout.unsorted_writes(spark).range(2000).select("id", (F.col("id") % parts).alias("p"))
+    rows.repartition(6).write.partitionBy("p").parquet(str(tmp_path / "t"))
+    assert len(files(tmp_path / "t")) == 6 * parts
+    got = spark.read.parquet(str(tmp_path / "t"))
+    assert got.where(f"p = id % {parts}").count() == got.count() == got.select("id").distinct().count() == 2000
+
+
+@pytest.mark.parametrize("n", [2, 12])
+def test_compacted_files_stay_near_the_target(spark, tmp_path, n):
+    path = tmp_path / "t"
+    spark.range(20_000 * n).select(F.xxhash64("id").alias("h")).repartition(4 * n).write.parquet(str(path))
+    size = max(f.stat().st_size for f in path.rglob("*.parquet"))
+    compact(spark, str(path), target := 4 * size)
+    sizes = [f.stat().st_size for f in path.rglob("*.parquet")]
+    assert n <= len(sizes) <= 2 * n and max(sizes) <= 1.1 * target  # whatever the table's size
