@@ -50,6 +50,14 @@ def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa
             yield batch.slice(start, rows)
 
 
+def letters_of_bytes() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself where it is visible
+    in Latin-1, else the next one from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b if b in visible else next(others)) for b in range(256)]
+
+
 def running_starts(sizes: Column, chunk: int = 256) -> Column:
     """Sum of all entries before each entry of ``array<int>``; ``[3, 1, 4]`` gives ``[0, 3, 4]``.
 

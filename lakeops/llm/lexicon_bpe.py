@@ -43,17 +43,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Regex, pre_tokenizers
 
-from lakeops.llm.common import in_slices
+from lakeops.llm.common import in_slices, letters_of_bytes
 from lakeops.session import settle, write_bytes
 
 LONGEST = 48        # bytes of a word of the lexicon
 RUN = 1 << 16       # words of a long text that are handled at a time
-KEPT = 1 << 16      # distinct words that a counting task holds before it hands them on, and an encoding one keeps
+KEPT = 1 << 18      # distinct words that a counting task holds before it hands them on, and an encoding one keeps
 STEPS = 16          # bins of a frequency between one power of two and the next
 
 _SPLIT = regex.compile(public_tokenizers.PATTERN)
 # The same pattern where every character is ASCII.
 _SPLIT_ASCII = re.compile(r" ?[A-Za-z]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.A)
+# And where every character is in Latin-1, whose letters, numbers and spaces are spelled out.
+_L, _N, _S = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be", "\t-\r \u0085\u00a0"
+_SPLIT_LATIN = re.compile(f" ?[{_L}]+| ?[{_N}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+_BEYOND_LATIN = re.compile("[^\x00-\xff]")
 _LIBRARY = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
 
 _opened: dict[str, object] = {}
@@ -73,7 +77,7 @@ class Vocabulary:
                 or not split["use_regex"]
                 or any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added)):
             raise ValueError("not a plain byte-level BPE tokenizer")
-        byte_of = {c: b for b, c in enumerate(_letters_of_bytes())}
+        byte_of = {c: b for b, c in enumerate(letters_of_bytes())}
 
         def raw(token: str) -> bytes:
             return bytes(byte_of[c] for c in token)
@@ -176,14 +180,6 @@ class Vocabulary:
         return {(p >> 32, p & 0xFFFFFFFF): r for p, r in zip(self.pairs.tolist(), self.pair_ranks.tolist(), strict=True)}
 
 
-def _letters_of_bytes() -> list[str]:
-    """The character that stands for each byte in a byte-level vocabulary: itself where it is visible
-    in Latin-1, else the next one from 256 on."""
-    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = iter(range(256, 512))
-    return [chr(b if b in visible else next(others)) for b in range(256)]
-
-
 # -- words ----------------------------------------------------------------------------------------
 
 def differing_characters() -> str:
@@ -230,8 +226,8 @@ class Splitter:
     def _plain(self, text: str) -> Iterator[list[str]]:
         if not text:
             return
-        pattern = _SPLIT_ASCII if text.isascii() else _SPLIT
-        if pattern is _SPLIT and self.odd and self.high.search(text) and self.odd.search(text):
+        pattern = _SPLIT_ASCII if text.isascii() else _SPLIT if _BEYOND_LATIN.search(text) else _SPLIT_LATIN
+        if pattern is not _SPLIT_ASCII and self.odd and self.high.search(text) and self.odd.search(text):
             yield _by_library(text)
         elif len(text) <= RUN:
             yield pattern.findall(text)
@@ -374,7 +370,7 @@ class Lexicon:
     def ids_at(self, places: np.ndarray) -> list[bytes]:
         """The ids of each place as little-endian numbers of 32 bits."""
         starts, ends = self.starts[places].tolist(), self.starts[places + 1].tolist()
-        return [self.ids[4 * a:4 * b] for a, b in zip(starts, ends, strict=True)]
+        return [bytes(self.ids[4 * a:4 * b]) for a, b in zip(starts, ends, strict=True)]
 
 
 def frequent_words(counted: DataFrame, words: int) -> DataFrame:

@@ -7,8 +7,9 @@ range-sorted by key, and inside each range the documents are laid end to end and
 ``length`` ids, so neighbours on the curve share sequences. What is left at the end of a range is cut
 into runs of powers of two, which need no padding.
 
-Texts are tokenised piece by piece through a bounded cache; pieces never interact in a vocabulary
-with word ends (its pattern doesn't cross them), so the ids are those of the whole text.
+Texts are tokenised word by word through a bounded cache, and a new word piece by piece; pieces never
+interact in a vocabulary with word ends (its pattern doesn't cross them), so the ids are those of the whole
+text.
 
 Defined results: a null text is empty, and has the end id alone. Rows with the same doc_id and text
 are packed each for itself. ``sequence_id`` is unique, not dense. An empty table gives no pieces.
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -26,42 +28,47 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import in_slices
+from lakeops.llm.common import in_slices, letters_of_bytes
 from lakeops.session import settle
 
 END_ID = 1
 DIMENSIONS, BITS = 4, 8
-CACHED_PIECES = 600_000
+CACHED_WORDS = 1_200_000
 
 # Lower-case letters of Latin-1. In texts of Latin-1 characters without the exceptions below,
 # the vocabulary's pattern cuts exactly where a run of letters, or of other marks, ends.
 _LETTERS = "a-zªµºß-öø-ÿ"
 _PIECE = re.compile(f"[{_LETTERS}]+|[^{_LETTERS}\\s]+")
-_EXCEPTIONS = "'\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"  # contractions, unusual white space
+_LETTER_RUN = re.compile(f"[{_LETTERS}]+")
+# Contractions, unusual white space, and what isn't Latin-1.
+_UNUSUAL = re.compile("['\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0]|[^\x00-\xff]")
+_BYTE_LETTER = letters_of_bytes()
 
 _coders: dict[str, PieceCoder] = {}
 
 
-class PieceCoder:
-    """Token ids of texts as little-endian unsigned 16-bit numbers, by a cache of pieces.
+class PieceCoder(dict):
+    """Token ids of texts as little-endian unsigned 16-bit numbers, by a cache of words.
 
-    A piece is a run of letters or of other marks, or in other texts a word between blanks. Pieces
-    have the same ids in any text.
+    A word stands between blanks and has the same ids in any text. A new one is cut into pieces, runs of letters
+    or of other marks; a run of letters is merged by the model alone. The cache has two generations: the
+    older one goes when the younger is full, without the words that were met since.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        vocabulary = self.tokenizer.get_vocab()
-        if max(vocabulary.values()) >= 1 << 16:
+        self.model = self.tokenizer.model
+        if max(self.tokenizer.get_vocab().values()) >= 1 << 16:
             raise ValueError("ids of this vocabulary need more than 16 bits")
-        self.ends = np.zeros(1 << 16, bool)
-        for token, i in vocabulary.items():
-            self.ends[i] = token.endswith("</w>")
-        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        if not self.model.end_of_word_suffix or any(
+                self[w] != _packed(self.tokenizer.encode(w, add_special_tokens=False).ids) for w in ("plain", "größe")):
+            raise ValueError("the model of this vocabulary doesn't close every word by itself")
 
     @classmethod
     def of(cls, path: str) -> PieceCoder:
@@ -69,47 +76,41 @@ class PieceCoder:
             _coders[path] = cls(path)
         return _coders[path]
 
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            if word.isalpha() and word.isascii():
+                ids = _packed([t.id for t in self.model.tokenize(word.lower())])
+            elif _LETTER_RUN.fullmatch(word):
+                ids = _packed([t.id for t in self.model.tokenize("".join(map(_BYTE_LETTER.__getitem__, word.encode())))])
+            elif len(pieces := self.pieces(word)) > 1:
+                ids = b"".join([self[p] for p in pieces])
+            else:
+                ids = _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        self[word] = ids
+        return ids
+
     @staticmethod
-    def pieces(text: str) -> list[str]:
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        if any(c in text for c in _EXCEPTIONS):
-            return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        return _PIECE.findall(text.lower())
-
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.cache) + len(pieces) > CACHED_PIECES:
-            self.cache.clear()
-        words = [p for p in pieces if p.isalpha() and p.isascii()]
-        # Many words at once: each ends with the token that closes a word.
-        for at in range(0, len(words), 2048):
-            part = words[at:at + 2048]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u2")
-            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(cuts) != len(part):
-                raise ValueError("this vocabulary doesn't close every word")
-            raw, start = ids.tobytes(), 0
-            for word, cut in zip(part, cuts, strict=True):
-                self.cache[word] = raw[2 * start:2 * cut]
-                start = cut
-        others = [p for p in pieces if not (p.isalpha() and p.isascii())]
-        for at in range(0, len(others), 4096):
-            part = others[at:at + 4096]
-            for piece, got in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False),
-                                  strict=True):
-                self.cache[piece] = np.array(got.ids, "<u2").tobytes()
+    def pieces(word: str) -> list[str]:
+        """The pieces of a word of plain Latin-1 characters; none if it has others."""
+        return [] if _UNUSUAL.search(word) else _PIECE.findall(word.lower())
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(t) for t in texts]
-        new = {p for own in cut for p in own if p not in self.cache}
-        if len(self.cache) + len(new) > CACHED_PIECES:
-            new = {p for own in cut for p in own}  # the cache is emptied first
-        if new:
-            self._learn(new)
-        known = self.cache
-        return [b"".join([known[p] for p in own]) for own in cut]
+        out = []
+        for text in texts:
+            if len(self) > CACHED_WORDS // 2:
+                self.older = dict(self)
+                self.clear()
+            if _UNUSUAL.search(text):
+                words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            else:
+                words = text.lower().split()
+            out.append(b"".join(map(self.__getitem__, words)))
+        return out
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}H", *ids)
 
 
 def projection(seed: int = 11, buckets: int = 4096) -> np.ndarray:
